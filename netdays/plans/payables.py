@@ -19,13 +19,14 @@ OFFER_COLUMNS = (
 )
 
 
-def canonical_invoices(extract: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+def canonical_invoices(extract: DataFrame, with_gl_date: bool = False) -> DataFrame:
     """Key and base-currency gross of the ERP's invoices, exact repeats removed.
 
-    The distinct combines before its shuffle, so many copies of one invoice
-    leave each map task as one row.
+    Repeats combine before the shuffle, so many copies of one invoice leave each
+    map task as one row. The GL date takes no part in what makes a repeat; when
+    asked for it is the last one of the copies.
     """
-    return extract.select(
+    invoices = extract.select(
         keys.invoice_key(F.col("vendorId"), F.col("invoiceNumber")).alias("invoiceUniqueKey"),
         "invoiceDate",
         "vendorId",
@@ -33,8 +34,11 @@ def canonical_invoices(extract: DataFrame, extra: tuple[str, ...] = ()) -> DataF
         money.in_base_currency(F.col("amount"), F.col("currency"), F.col("rate")).alias(
             "invoiceGrossValue"
         ),
-        *extra,
-    ).distinct()
+        *(["glDate"] if with_gl_date else []),
+    )
+    if with_gl_date:
+        return invoices.groupBy(*INVOICE_COLUMNS).agg(F.max("glDate").alias("glDate"))
+    return invoices.distinct()
 
 
 def eligible_suppliers(suppliers: DataFrame) -> DataFrame:
