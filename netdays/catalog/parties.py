@@ -58,7 +58,7 @@ _SITE_COLUMNS = (
 def ar_customer_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customer site extract with all its look-ups."""
     relations = standins.customer_relations(spark, sf_dir)
-    return receivables.customer_extract(relations).select(*_SITE_COLUMNS)
+    return receivables.customer_extract(relations, columns=_SITE_COLUMNS)
 
 
 @query(f"""
@@ -69,7 +69,7 @@ FROM ({_SITE_SQL}) GROUP BY customerKey""")
 def ar_customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer key; the uses of a site differ in their terms only."""
     relations = standins.customer_relations(spark, sf_dir)
-    return receivables.customer_master(receivables.customer_extract(relations))
+    return receivables.customer_master(relations)
 
 
 @query(f"""
@@ -94,8 +94,10 @@ def customer_rollup_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _numbered_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    extract = receivables.customer_extract(standins.customer_relations(spark, sf_dir))
-    return extract.withColumn("siteUseNumber", F.col("siteUseId").cast("bigint"))
+    columns = [*receivables.CUSTOMER_COLUMNS, "siteUseId"]
+    relations = standins.customer_relations(spark, sf_dir)
+    rows = receivables.customer_rows(relations, columns=columns)
+    return rows.withColumn("siteUseNumber", F.col("siteUseId").cast("bigint"))
 
 
 @query(f"""

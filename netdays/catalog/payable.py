@@ -74,7 +74,9 @@ def attachment_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
         .filter(F.col("o_orderstatus") == "P")
         .select(F.col("o_orderkey").alias("documentKey"))
     )
-    return membership_flag(invoices, attached, "documentKey", "attachments").drop("documentKey")
+    return membership_flag(
+        invoices, attached, "documentKey", "attachments", spread_by=["invoiceUniqueKey"]
+    ).drop("documentKey")
 
 
 @query(f"""

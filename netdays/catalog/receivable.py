@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from netdays.catalog import query, sql
 from netdays.functions import dates, terms
 from netdays.operators.consolidate import consolidate_lines, consolidate_to_headers
-from netdays.operators.incremental import watermark
+from netdays.operators.incremental import not_yet_offered, watermark
 from netdays.operators.pricing import gross_interest, price_whole_term
 from netdays.params import CAPPED_CUSTOMER, SAMPLE_CUSTOMER, CustomerParams
 from netdays.plans.receivables import receivable_offers
@@ -19,9 +19,11 @@ from netdays.streaming.offers import file_stream, offer_stream
 
 
 def new_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Invoices since the watermark, consolidated, with their customer key."""
-    since = watermark(standins.offered_headers(spark, sf_dir), standins.AS_OF)
+    """Invoices since the watermark without an offer, consolidated, with customer key."""
+    offered = standins.offered_headers(spark, sf_dir)
+    since = watermark(offered, standins.AS_OF)
     headers = standins.invoice_headers(spark, sf_dir, since)
+    headers = not_yet_offered(headers, offered, "invoiceNumber")
     invoices = consolidate_to_headers(headers, standins.invoice_lines(spark, sf_dir))
     return standins.with_customer_key(invoices, spark, sf_dir)
 
@@ -30,7 +32,6 @@ def _offers(spark: SparkSession, sf_dir: str, params: CustomerParams) -> DataFra
     return receivable_offers(
         new_invoices(spark, sf_dir),
         standins.customers(spark, sf_dir),
-        standins.offered_headers(spark, sf_dir),
         params,
     )
 
@@ -49,7 +50,7 @@ def ar_offers_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH flat AS (
   SELECT o_orderkey, cast(o_orderdate AS date) AS invoiceDate, o_custkey, {sql.CURRENCY} AS currency,
     {sql.PARTY_KEY} AS customerKey, {sql.LINE_GROSS} AS gross,
-    (l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS ord
+    l_linenumber * 1000000000000000000 + l_partkey * 10000000 + l_suppkey % 10000000 AS ord
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey
   LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey
 )

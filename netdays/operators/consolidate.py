@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 
 
 def first_by(value: str, order: Sequence[str]) -> Column:
-    """First non-null ``value`` of a group by the ``order`` columns."""
+    """First non-null ``value`` of a group by the ``order`` columns.
+
+    Rows with a null value get a null rank, which the aggregate passes over. One
+    fixed-width order column keeps its state, and so the shuffle, small.
+    """
     rank = F.struct(*order) if len(order) > 1 else F.col(order[0])
-    return F.min_by(F.when(F.col(value).isNotNull(), F.col(value)),
-                    F.when(F.col(value).isNotNull(), rank)).alias(value)
+    return F.min_by(value, F.when(F.col(value).isNotNull(), rank)).alias(value)
 
 
 def consolidate_lines(

@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from netdays.operators.joins import spread_left_join
+
 
 def first_match(
     candidates: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]
@@ -36,14 +38,18 @@ def keys_with_many_values(rows: DataFrame, keys: Sequence[str], value: str) -> D
 
 
 def membership_flag(
-    rows: DataFrame, members: DataFrame, key: str, flag: str, yes: str = "Yes", no: str = "No"
+    rows: DataFrame,
+    members: DataFrame,
+    key: str,
+    flag: str,
+    spread_by: Sequence[str],
+    yes: str = "Yes",
+    no: str = "No",
 ) -> DataFrame:
     """Whether the key occurs in ``members``, which may repeat and hold nulls."""
     known = members.filter(F.col(key).isNotNull()).select(key).distinct()
-    marked = known.withColumn("_member", F.lit(True))
-    return rows.join(marked, key, "left").withColumn(
-        flag, F.when(F.col("_member"), yes).otherwise(no)
-    ).drop("_member")
+    marked = spread_left_join(rows, known.withColumn("_member", F.lit(True)), [key], spread_by)
+    return marked.withColumn(flag, F.when(F.col("_member"), yes).otherwise(no)).drop("_member")
 
 
 def values_by_name(

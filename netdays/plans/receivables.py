@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netdays.functions import terms
-from netdays.operators.incremental import not_yet_offered
 from netdays.operators.pricing import price_receivables
 from netdays.params import CustomerParams
 
@@ -31,29 +30,25 @@ def eligible_customers(customers: DataFrame) -> DataFrame:
 
 
 def receivable_offers(
-    invoices: DataFrame,
-    customers: DataFrame,
-    offered: DataFrame,
-    params: CustomerParams,
+    invoices: DataFrame, customers: DataFrame, params: CustomerParams
 ) -> DataFrame:
     """Offers for consolidated invoices that have none yet.
 
+    Leave out the offered ones by ``not_yet_offered`` while the rows are still
+    partitioned by invoice number, before they are keyed by customer.
     ``customers`` holds one row per ``customerKey``. Joining only the eligible
     ones is the outer join followed by the terms filter, which drops the
     unmatched rows. The invoice side of that join is a plain shuffle, so
     adaptive execution can split a customer that holds a large share of it.
     """
-    new = not_yet_offered(invoices, offered, "invoiceNumber")
-    enriched = new.join(eligible_customers(customers), "customerKey", "inner")
+    enriched = invoices.join(eligible_customers(customers), "customerKey", "inner")
     return price_receivables(enriched, params).select(*OFFER_COLUMNS)
 
 
-def unparsable_terms(
-    invoices: DataFrame, customers: DataFrame, offered: DataFrame
-) -> DataFrame:
+def unparsable_terms(invoices: DataFrame, customers: DataFrame) -> DataFrame:
     """New invoices on "days net" terms that do not start with a number of days."""
     odd = customers.filter(
         terms.is_days_net(F.col("creditTerms"))
         & terms.leading_days(F.col("creditTerms")).isNull()
     ).select("customerKey", "creditTerms")
-    return not_yet_offered(invoices, offered, "invoiceNumber").join(odd, "customerKey", "inner")
+    return invoices.join(odd, "customerKey", "inner")

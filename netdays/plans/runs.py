@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from netdays import schemas
 from netdays.operators import quality
 from netdays.operators.consolidate import consolidate_lines
-from netdays.operators.incremental import missing_parties, only_keys
+from netdays.operators.incremental import missing_parties, not_yet_offered, only_keys
 from netdays.params import CustomerParams, SupplierParams
 from netdays.plans import payables as payable_plans
 from netdays.plans import receivables as receivable_plans
@@ -77,8 +77,9 @@ def ensure_customers(ledger: Ledger, invoices: DataFrame, relations: Relations)
     if missing.isEmpty():
         return 0
     numbers = only_keys(invoices, missing, "customerKey").select("customerNumber").distinct()
-    extract = receivable_sources.customer_extract(relations, numbers)
-    fetched = only_keys(receivable_sources.customer_master(extract), missing, "customerKey")
+    fetched = only_keys(
+        receivable_sources.customer_master(relations, numbers), missing, "customerKey"
+    )
     # The ledger has no use for these two, and the phone is not kept for customers.
     loaded, _ = append_checked(
         ledger, "customers", fetched.drop("location", "phone"), "customerId"
@@ -96,11 +97,11 @@ def run_receivables(
     new_parties = ensure_customers(ledger, invoices, relations)
 
     customers = ledger.read("customers")
-    offered = ledger.read("customerOffers").select("invoiceNumber")
-    odd = receivable_plans.unparsable_terms(invoices, customers, offered).withColumn(
+    new = not_yet_offered(invoices, ledger.read("customerOffers"), "invoiceNumber")
+    odd = receivable_plans.unparsable_terms(new, customers).withColumn(
         "rejectReason", F.lit("creditTerms not readable")
     )
-    offers = receivable_plans.receivable_offers(invoices, customers, offered, params).withColumn(
+    offers = receivable_plans.receivable_offers(new, customers, params).withColumn(
         "offerStatus", F.lit(schemas.NOT_SENT)
     )
     odd = checkpointed(odd)

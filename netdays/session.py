@@ -45,3 +45,20 @@ def checkpointed(rows: DataFrame) -> DataFrame:
     """The rows with fixed partitions and no lineage, kept in the scratch folder."""
     scratch_folder(rows.sparkSession)
     return rows.checkpoint()
+
+
+# Settings the plans count on; all may be changed while a session runs.
+ADAPTIVE = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join even if the aggregate above it then needs a shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Switch adaptive execution and its skew handling on."""
+    for key, value in ADAPTIVE.items():
+        spark.conf.set(key, value)
+    return spark

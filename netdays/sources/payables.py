@@ -59,7 +59,9 @@ def invoice_extract(
         .select(F.col("pk1_value").cast("bigint").alias("invoice_id"))
     )
     joined = lookups.look_up(ap.join(vendors, "vendor_number"), users, "created_by")
-    joined = lookups.membership_flag(joined, attached, "invoice_id", "attachments")
+    joined = lookups.membership_flag(
+        joined, attached, "invoice_id", "attachments", spread_by=["vendor_id", "invoice_num"]
+    )
     return joined.select(
         F.col("invoice_date").cast("date").alias("invoiceDate"),
         F.col("gl_date").cast("date").alias("glDate"),
@@ -226,8 +228,11 @@ def supplier_rows(extract: DataFrame) -> DataFrame:
 
 
 def supplier_master(extract: DataFrame) -> DataFrame:
-    """One row per vendor, so that a join to invoices keeps their count."""
+    """One row per vendor, so that a join to invoices keeps their count.
+
+    No distinct comes first: repeats do not change a minimum.
+    """
     firsts = [c for c in SUPPLIER_COLUMNS if c != "vendorId"]
     return one_row_per_party(
-        supplier_rows(extract), "vendorId", firsts, ["supplierName", "creditTerms", "phone", "email"]
+        extract.select(*SUPPLIER_COLUMNS), "vendorId", firsts, ["supplierName", "creditTerms", "phone", "email"]
     )

@@ -8,14 +8,16 @@ for few joins: the optimizer removes the left joins it does not read.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netdays.functions import codes, dates, keys
 from netdays.operators import lookups
 from netdays.operators.consolidate import one_row_per_party
 from netdays.operators.incremental import only_keys
+from netdays.operators.joins import spread_left_join
 from netdays.sources.relations import Relations, prefixed
 
 INVOICE_COLUMNS = (
@@ -73,7 +75,7 @@ def with_item_details(lines: DataFrame, relations: Relations) -> DataFrame:
     with_cost = lookups.look_up(
         lines, lookups.nonzero_unit_cost(costs), ["itemId", "organizationId"]
     )
-    return lookups.look_up(with_cost, lookups.item_attributes(pairs), "itemId")
+    return spread_left_join(with_cost, lookups.item_attributes(pairs), ["itemId"], ["lineId"])
 
 
 def customer_sites(relations: Relations, customer_numbers: DataFrame | None = None) -> DataFrame:
@@ -127,47 +129,98 @@ def customer_sites(relations: Relations, customer_numbers: DataFrame | None = No
     )
 
 
-def _site_lookups(sites: DataFrame, relations: Relations) -> DataFrame:
-    """Descriptions by unique id. Literal filters sit on the outer side, before the join."""
-    site_use = relations("ar_lookups").filter(F.col("lookup_type") == "SITE_USE_CODE").select(
-        F.col("lookup_code").alias("hcsu_site_use_code"), F.col("meaning").alias("siteUseMeaning")
+def _described(relation: DataFrame, key: str, joined_to: str, **columns: str) -> DataFrame:
+    """Description columns of a relation by the site column they are joined to."""
+    return relation.select(
+        F.col(key).alias(joined_to), *[F.col(old).alias(new) for new, old in columns.items()]
     )
-    price_lists = relations("oe_price_lists_active_v").select(
-        F.col("price_list_id").alias("hcsu_price_list_id"), F.col("price_list").alias("priceList")
-    )
-    order_types = relations("oe_transaction_types_tl").select(
-        F.col("transaction_type_id").alias("hcsu_order_type_id"), F.col("name").alias("orderType")
-    )
-    sales_reps = relations("ra_salesreps_all").select(
-        F.col("salesrep_id").alias("hcsu_primary_salesrep_id"),
-        F.col("name").alias("defaultSalesPerson"),
-        F.col("resource_id").alias("resourceId"),
-    )
-    resources = relations("jtf_rs_defresources_v").select(
-        F.col("resource_id").alias("resourceId"), F.col("resource_name").alias("salesPerson")
-    )
-    terms = relations("ra_terms_tl").filter(F.col("language") == "US").select(
-        F.col("term_id").alias("hcsu_payment_term_id"),
-        F.col("name").alias("creditTerms"),
-        F.col("description").alias("termsDescription"),
-    )
-    collectors = relations("ar_collectors").select(
-        F.col("collector_id").alias("hcp_collector_id"), F.col("name").alias("collector")
-    )
-    classes = relations("hz_cust_profile_classes").select(
-        F.col("profile_class_id").alias("hcp_profile_class_id"), F.col("name").alias("profileClass")
-    )
-    for table, key in (
-        (site_use, "hcsu_site_use_code"),
-        (price_lists, "hcsu_price_list_id"),
-        (order_types, "hcsu_order_type_id"),
-        (sales_reps, "hcsu_primary_salesrep_id"),
-        (resources, "resourceId"),
-        (terms, "hcsu_payment_term_id"),
-        (collectors, "hcp_collector_id"),
-        (classes, "hcp_profile_class_id"),
-    ):
-        sites = lookups.look_up(sites, table, key)
+
+
+def _site_lookups(sites: DataFrame, relations: Relations, wanted: set[str]) -> DataFrame:
+    """The one-row look-ups that give a wanted column.
+
+    Literal filters sit on the outer side, before the join.
+    """
+    account_site = ["ac_customer_id", "hcas_cust_acct_site_id"]
+    account_use = ["ac_customer_id", "hcsu_site_use_id"]
+    available = (
+        (
+            {"siteUse"},
+            "hcsu_site_use_code",
+            lambda: _described(
+                relations("ar_lookups").filter(F.col("lookup_type") == "SITE_USE_CODE"),
+                "lookup_code", "hcsu_site_use_code", siteUseMeaning="meaning",
+            ),
+        ),
+        (
+            {"priceList"},
+            "hcsu_price_list_id",
+            lambda: _described(
+                relations("oe_price_lists_active_v"),
+                "price_list_id", "hcsu_price_list_id", priceList="price_list",
+            ),
+        ),
+        (
+            {"orderType"},
+            "hcsu_order_type_id",
+            lambda: _described(
+                relations("oe_transaction_types_tl"),
+                "transaction_type_id", "hcsu_order_type_id", orderType="name",
+            ),
+        ),
+        (
+            {"defaultSalesPerson", "salesPerson"},
+            "hcsu_primary_salesrep_id",
+            lambda: _described(
+                relations("ra_salesreps_all"),
+                "salesrep_id", "hcsu_primary_salesrep_id",
+                defaultSalesPerson="name", resourceId="resource_id",
+            ),
+        ),
+        (
+            {"salesPerson"},
+            "resourceId",
+            lambda: _described(
+                relations("jtf_rs_defresources_v"),
+                "resource_id", "resourceId", salesPerson="resource_name",
+            ),
+        ),
+        (
+            {"creditTerms", "termsDescription"},
+            "hcsu_payment_term_id",
+            lambda: _described(
+                relations("ra_terms_tl").filter(F.col("language") == "US"),
+                "term_id", "hcsu_payment_term_id",
+                creditTerms="name", termsDescription="description",
+            ),
+        ),
+        (
+            {"collector"},
+            "hcp_collector_id",
+            lambda: _described(
+                relations("ar_collectors"), "collector_id", "hcp_collector_id", collector="name"
+            ),
+        ),
+        (
+            {"profileClass"},
+            "hcp_profile_class_id",
+            lambda: _described(
+                relations("hz_cust_profile_classes"),
+                "profile_class_id", "hcp_profile_class_id", profileClass="name",
+            ),
+        ),
+        (set(lookups.CREDIT_LIMITS.values()), account_use, lambda: _site_credit_limits(relations)),
+        (
+            {"bankName", "bankAccountNumber", "bankBranchName"},
+            account_use,
+            lambda: site_banks(relations),
+        ),
+        ({"phone", "contactEmail"}, account_site, lambda: site_contact_points(relations)),
+        ({"contactPerson", "jobTitle"}, account_site, lambda: site_contact_people(relations)),
+    )
+    for gives, key, table in available:
+        if gives & wanted:
+            sites = lookups.look_up(sites, table(), key)
     return sites
 
 
@@ -350,76 +403,98 @@ def site_contact_people(relations: Relations) -> DataFrame:
     )
 
 
-def customer_extract(relations: Relations, customer_numbers: DataFrame | None = None) -> DataFrame:
-    """Every column of the customer site extract, distinct rows."""
-    account_site = ["ac_customer_id", "hcas_cust_acct_site_id"]
-    account_use = ["ac_customer_id", "hcsu_site_use_id"]
-    sites = _site_lookups(customer_sites(relations, customer_numbers), relations)
-    sites = lookups.look_up(sites, _site_credit_limits(relations), account_use)
-    sites = lookups.look_up(sites, site_banks(relations), account_use)
-    sites = lookups.look_up(sites, site_contact_points(relations), account_site)
-    sites = lookups.look_up(sites, site_contact_people(relations), account_site)
+def _extract_columns() -> dict[str, Column]:
+    """Output columns of the extract that are not plain look-up columns."""
     number = F.col("ac_customer_number").cast("bigint")
-    return sites.select(
-        F.col("ac_customer_class_code").alias("customerClass"),
-        F.col("ac_status").alias("status"),
-        dates.day_month_year(F.col("hp_creation_date")).alias("creationDate"),
-        F.col("hp_party_type").alias("customerType"),
-        codes.decode(F.col("hca_customer_type"), codes.ACCOUNT_TYPES).alias("accountType"),
-        F.col("ac_customer_name").alias("name"),
-        number.alias("customerNumber"),
-        F.col("hps_party_site_name").alias("siteName"),
-        F.col("hps_party_site_number").alias("siteNumber"),
-        F.col("hcsu_site_use_id").cast("string").alias("siteUseId"),
-        F.col("hcas_cust_account_id").alias("custAccountId"),
-        F.col("hcsu_status").alias("siteStatus"),
-        F.col("hcsu_location").alias("location"),
-        codes.byte_prefix(F.col("siteUseMeaning"), 8).alias("siteUse"),
-        F.col("hp_country").alias("country"),
-        F.col("hp_address1").alias("address1"),
-        F.col("hp_address2").alias("address2"),
-        F.col("hp_address3").alias("address3"),
-        F.col("hp_address4").alias("address4"),
-        F.col("hp_party_number").alias("partyNumber"),
-        F.col("hl_city").alias("city"),
-        F.col("hl_location_id").alias("locationId"),
-        F.col("hp_postal_code").alias("postalCode"),
-        F.col("hp_state").alias("state"),
-        F.col("hl_province").alias("territory"),
-        F.col("hca_attribute10").alias("subDistCreditPercent"),
-        F.col("hca_attribute3").alias("selfCollectRebate"),
-        F.col("hps_attribute1").alias("transportRebate"),
-        F.col("hcsu_attribute1").alias("teamLeader"),
-        F.col("hcsu_attribute2").alias("tradeType"),
-        F.col("hca_attribute2").alias("salesTerritory"),
-        "creditTerms", "termsDescription",
-        "kesCreditLimit", "usdCreditLimit", "gbpCreditLimit",
-        "priceList",
-        F.col("hcsu_price_list_id").alias("priceListId"),
-        F.col("hcsu_order_type_id").alias("orderTypeId"),
-        "orderType",
-        codes.decode(F.col("hcp_credit_checking"), codes.YES_NO).alias("creditCheck"),
-        F.col("hcp_credit_hold").alias("creditHold"),
-        F.col("hcp_autocash_hierarchy_id").alias("autocashHierarchyId"),
-        F.col("hcp_autocash_hierarchy_id_for_adr").alias("autocashHierarchyIdForAdr"),
-        F.col("hcsu_freight_term").alias("freightTerms"),
-        "collector", "defaultSalesPerson", "salesPerson", "profileClass",
-        F.col("ac_taxpayer_id").alias("taxpayerId"),
-        F.col("ac_tax_reference").alias("taxRegistrationNumber"),
-        F.col("ac_attribute4").alias("companyRegisterId"),
-        "bankName", "bankAccountNumber", "bankBranchName",
-        "contactPerson", "jobTitle", "phone", "contactEmail",
-        F.col("hp_party_id").alias("partyId"),
-        F.col("hp_email_address").alias("email"),
-        keys.party_key(F.col("hcsu_location"), number).alias("customerKey"),
-    ).distinct()
-
-
-def customer_master(extract: DataFrame) -> DataFrame:
-    """The extract to the eight canonical columns, one row per customer key.
-
-    Rows of a key are ranked by their own text, as the extract has no order.
+    return {
+        "customerNumber": number,
+        "customerKey": keys.party_key(F.col("hcsu_location"), number),
+        "creationDate": dates.day_month_year(F.col("hp_creation_date")),
+        "accountType": codes.decode(F.col("hca_customer_type"), codes.ACCOUNT_TYPES),
+        "siteUseId": F.col("hcsu_site_use_id").cast("string"),
+        "siteUse": codes.byte_prefix(F.col("siteUseMeaning"), 8),
+        "creditCheck": codes.decode(F.col("hcp_credit_checking"), codes.YES_NO),
+    } | {new: F.col(old) for new, old in _PASSED.items()}
+
+
+# Extract columns that are passed on as they are.
+_PASSED = {
+    "customerClass": "ac_customer_class_code",
+    "status": "ac_status",
+    "customerType": "hp_party_type",
+    "name": "ac_customer_name",
+    "siteName": "hps_party_site_name",
+    "siteNumber": "hps_party_site_number",
+    "custAccountId": "hcas_cust_account_id",
+    "siteStatus": "hcsu_status",
+    "location": "hcsu_location",
+    "country": "hp_country",
+    "address1": "hp_address1",
+    "address2": "hp_address2",
+    "address3": "hp_address3",
+    "address4": "hp_address4",
+    "partyNumber": "hp_party_number",
+    "city": "hl_city",
+    "locationId": "hl_location_id",
+    "postalCode": "hp_postal_code",
+    "state": "hp_state",
+    "territory": "hl_province",
+    "subDistCreditPercent": "hca_attribute10",
+    "selfCollectRebate": "hca_attribute3",
+    "transportRebate": "hps_attribute1",
+    "teamLeader": "hcsu_attribute1",
+    "tradeType": "hcsu_attribute2",
+    "salesTerritory": "hca_attribute2",
+    "priceListId": "hcsu_price_list_id",
+    "orderTypeId": "hcsu_order_type_id",
+    "creditHold": "hcp_credit_hold",
+    "autocashHierarchyId": "hcp_autocash_hierarchy_id",
+    "autocashHierarchyIdForAdr": "hcp_autocash_hierarchy_id_for_adr",
+    "freightTerms": "hcsu_freight_term",
+    "taxpayerId": "ac_taxpayer_id",
+    "taxRegistrationNumber": "ac_tax_reference",
+    "companyRegisterId": "ac_attribute4",
+    "partyId": "hp_party_id",
+    "email": "hp_email_address",
+}
+_LOOKED_UP = (
+    "priceList", "orderType", "defaultSalesPerson", "salesPerson", "creditTerms",
+    "termsDescription", "collector", "profileClass", "kesCreditLimit", "usdCreditLimit",
+    "gbpCreditLimit", "bankName", "bankAccountNumber", "bankBranchName", "phone",
+    "contactEmail", "contactPerson", "jobTitle",
+)
+
+
+def customer_rows(
+    relations: Relations,
+    customer_numbers: DataFrame | None = None,
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """Rows of the customer site extract; fewer ``columns`` mean fewer joins."""
+    made = _extract_columns()
+    names = list(columns) if columns is not None else [*made, *_LOOKED_UP]
+    sites = _site_lookups(customer_sites(relations, customer_numbers), relations, set(names))
+    return sites.select(*[made.get(n, F.col(n)).alias(n) for n in names])
+
+
+def customer_extract(
+    relations: Relations,
+    customer_numbers: DataFrame | None = None,
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """The customer site extract, distinct rows."""
+    return customer_rows(relations, customer_numbers, columns).distinct()
+
+
+def customer_master(
+    relations: Relations, customer_numbers: DataFrame | None = None
+) -> DataFrame:
+    """The eight canonical columns, one row per customer key.
+
+    Rows of a key are ranked by their own text, as the extract has no order. No
+    distinct comes first: repeats do not change a minimum.
     """
     firsts = [c for c in CUSTOMER_COLUMNS if c != "customerKey"]
     order = ["customerNumber", "location", "creditTerms", "name", "email", "phone", "customerType"]
-    return one_row_per_party(extract.select(*CUSTOMER_COLUMNS), "customerKey", firsts, order)
+    rows = customer_rows(relations, customer_numbers, CUSTOMER_COLUMNS)
+    return one_row_per_party(rows, "customerKey", firsts, order)

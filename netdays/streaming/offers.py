@@ -65,9 +65,8 @@ def offer_stream(
         new = batch.distinct()
         if offered_elsewhere is not None:
             new = not_yet_offered(new, offered_elsewhere, "invoiceNumber")
-        offered = ledger.read("customerOffers").select("invoiceNumber")
-        new = not_yet_offered(new, offered, "invoiceNumber")
-        offers = receivable_offers(to_invoices(new), customers, offered, params)
+        new = not_yet_offered(new, ledger.read("customerOffers"), "invoiceNumber")
+        offers = receivable_offers(to_invoices(new), customers, params)
         append_checked(
             ledger,
             "customerOffers",
