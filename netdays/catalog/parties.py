@@ -24,7 +24,6 @@ SELECT c_custkey AS customerNumber, c_name AS name, c_mktsegment AS customerClas
   {sql.terms_case('(c_custkey + k)', standins.CUSTOMER_TERMS)} AS creditTerms,
   cast(c_custkey * 100 AS decimal(20,2)) AS kesCreditLimit,
   cast(c_custkey AS decimal(20,2)) AS usdCreditLimit,
-  cast(NULL AS decimal(20,2)) AS gbpCreditLimit,
   CASE c_custkey % 2 WHEN 0 THEN 'Yes' ELSE 'No' END AS creditCheck,
   'COL ' || n_name AS collector, 'REP ' || n_name AS defaultSalesPerson,
   'RES ' || n_name AS salesPerson, 'CLASS ' || n_name AS profileClass,
@@ -48,7 +47,7 @@ WHERE c_custkey % 13 <> 0 AND (c_custkey + d) % 11 <> 0"""
 _SITE_COLUMNS = (
     "customerNumber", "name", "customerClass", "accountType", "creationDate", "customerType",
     "siteUseId", "location", "siteUse", "creditTerms", "kesCreditLimit", "usdCreditLimit",
-    "gbpCreditLimit", "creditCheck", "collector", "defaultSalesPerson", "salesPerson",
+    "creditCheck", "collector", "defaultSalesPerson", "salesPerson",
     "profileClass", "bankName", "bankAccountNumber", "bankBranchName", "contactPerson",
     "jobTitle", "phone", "contactEmail", "email", "customerKey",
 )

@@ -89,7 +89,8 @@ def _termed(spark: SparkSession, sf_dir: str) -> DataFrame:
     parties = standins.customers(spark, sf_dir).select("customerNumber", days.alias("termDays"))
     headers = standins.invoice_headers(spark, sf_dir)
     invoices = consolidate_to_headers(headers, standins.invoice_lines(spark, sf_dir))
-    return invoices.join(parties.filter(F.col("termDays").isNotNull()), "customerNumber")
+    joined = invoices.join(parties.filter(F.col("termDays").isNotNull()), "customerNumber")
+    return joined.withColumn("paymentDate", F.date_add("invoiceDate", F.col("termDays")))
 
 
 _TERMED = f"""{sql.INVOICES}, {sql.CUSTOMERS},
@@ -109,7 +110,9 @@ _WHOLE_TERM_COLUMNS = (
 )
 
 
-def _whole_term_sql(value: str, capped: str, keep: str, only: str = "TRUE") -> str:
+def _whole_term_sql(
+    value: str, capped: str, keep: str, only: str = "TRUE", start: str = "invoiceDate"
+) -> str:
     early = sql.tier_case("days", dict(_WHOLE_TERM.tiers))
     return f"""
 WITH {_TERMED},
@@ -119,7 +122,7 @@ priced AS (
     cast(baseValue * (cast(days AS decimal(5,0)) * cast(0.006 AS decimal(4,3))) AS decimal(20,4)) AS grossFinance,
     cast({capped} * cast(0.09 AS decimal(3,2)) AS decimal(20,4)) AS maxAllowedOffer,
     cast(baseValue * (cast(days AS decimal(5,0)) * cast(0.0024 AS decimal(5,4))) AS decimal(20,4)) AS discountAmount,
-    cast(invoiceDate + cast({early} AS integer) AS date) AS offerAvailableDate
+    cast({start} + cast({early} AS integer) AS date) AS offerAvailableDate
   FROM valued
 )
 SELECT * FROM priced WHERE maxAllowedOffer {keep} discountAmount"""
@@ -134,10 +137,12 @@ def notebook_offer_ge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return price_whole_term(_termed(spark, sf_dir), _WHOLE_TERM, ">=").select(*_WHOLE_TERM_COLUMNS)
 
 
-@query(_whole_term_sql(_USD_VALUE, "baseValue", ">", "days IN (14, 21, 30, 60)"))
+@query(_whole_term_sql(_USD_VALUE, "baseValue", ">", "days IN (14, 21, 30, 60)", "invoiceDate + days"))
 def notebook_offer_gt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole-term cost, offers below the cap, only terms that have a tier."""
-    offers = price_whole_term(_termed(spark, sf_dir), _WHOLE_TERM, ">", strict_tiers=True)
+    """Whole-term cost, offers below the cap, only terms with a tier, from the payment date."""
+    offers = price_whole_term(
+        _termed(spark, sf_dir), _WHOLE_TERM, ">", available_from="paymentDate", strict_tiers=True
+    )
     return offers.select(*_WHOLE_TERM_COLUMNS)
 
 

@@ -63,19 +63,20 @@ def invoice_customer_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A decision for every third order; the key comes as text."""
-    number = F.col("o_orderkey")
-    return standins.table(spark, sf_dir, "orders").filter(number % 3 == 0).select(
-        number.cast("string").alias("invoiceNumber"),
-        F.when(number % 2 == 0, "accepted").otherwise("rejected").alias("offerStatus"),
+    """Urgent orders are accepted, low ones rejected; the key comes as text."""
+    decision = F.when(F.col("o_orderpriority") == "1-URGENT", "accepted").when(
+        F.col("o_orderpriority") == "5-LOW", "rejected"
+    )
+    return standins.table(spark, sf_dir, "orders").filter(decision.isNotNull()).select(
+        F.col("o_orderkey").cast("string").alias("invoiceNumber"), decision.alias("offerStatus")
     )
 
 
 @query(f"""
 SELECT invoiceNumber, customerKey, discountedAmount,
-  CASE WHEN invoiceNumber % 6 = 0 THEN 'accepted' WHEN invoiceNumber % 3 = 0 THEN 'rejected'
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'accepted' WHEN '5-LOW' THEN 'rejected'
        ELSE 'not_sent' END AS offerStatus
-FROM ({_AR})""")
+FROM ({_AR}) JOIN orders ON o_orderkey = invoiceNumber""")
 def offer_status_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offers after a batch of decisions."""
     offers = ar_offers(spark, sf_dir).select(
@@ -86,8 +87,8 @@ def offer_status_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 SELECT cast(o_orderkey AS varchar) AS invoiceNumber,
-  CASE WHEN o_orderkey % 2 = 0 THEN 'accepted' ELSE 'rejected' END AS offerStatus
-FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey NOT IN (SELECT invoiceNumber FROM ({_AR}))""")
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'accepted' ELSE 'rejected' END AS offerStatus
+FROM orders WHERE o_orderpriority IN ('1-URGENT', '5-LOW') AND o_orderkey NOT IN (SELECT invoiceNumber FROM ({_AR}))""")
 def offer_status_update_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decisions on invoices that have no offer."""
     return updates_without_row(

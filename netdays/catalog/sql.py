@@ -56,7 +56,7 @@ invoices AS (
 # CTE: the ledger's customers.
 CUSTOMERS = f"""
 parties AS (
-  SELECT c_custkey, {PARTY_KEY} AS customerKey, {CUSTOMER_TERMS} AS creditTerms, c_name, n_name
+  SELECT c_custkey, {PARTY_KEY} AS customerKey, {CUSTOMER_TERMS} AS creditTerms, c_name, c_mktsegment
   FROM customer JOIN nation ON n_nationkey = c_nationkey
 )"""
 

@@ -119,10 +119,11 @@ def with_customer_key(headers: DataFrame, spark: SparkSession, sf_dir: str) -> D
     ).drop("shipTo")
 
 
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ledger's customers: one row per key."""
+def customers(spark: SparkSession, sf_dir: str, known: Column | None = None) -> DataFrame:
+    """The ledger's customers: one row per key, all or those a condition names."""
     number = F.col("c_custkey")
-    return customers_with_nation(spark, sf_dir).select(
+    rows = customers_with_nation(spark, sf_dir)
+    return (rows if known is None else rows.filter(known)).select(
         number.alias("customerId"),
         number.alias("customerNumber"),
         keys.party_key(site_text(), number).alias("customerKey"),
