@@ -65,7 +65,6 @@ FROM payables""")
 def attachment_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invoices that have an attached document: those of pending orders."""
     invoices = standins.payable_invoices(spark, sf_dir).select(
-        keys.invoice_key(F.col("vendorId"), F.col("invoiceNumber")).alias("invoiceUniqueKey"),
         "vendorId", "invoiceNumber", "invoiceDate",
         F.split_part("invoiceNumber", F.lit("-"), F.lit(1)).cast("bigint").alias("documentKey"),
     )
@@ -74,9 +73,12 @@ def attachment_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
         .filter(F.col("o_orderstatus") == "P")
         .select(F.col("o_orderkey").alias("documentKey"))
     )
-    return membership_flag(
-        invoices, attached, "documentKey", "attachments", spread_by=["invoiceUniqueKey"]
-    ).drop("documentKey")
+    flagged = membership_flag(
+        invoices, attached, "documentKey", "attachments", spread_by=["vendorId", "invoiceNumber"]
+    )
+    return flagged.drop("documentKey").withColumn(
+        "invoiceUniqueKey", keys.invoice_key(F.col("vendorId"), F.col("invoiceNumber"))
+    )
 
 
 @query(f"""

@@ -14,18 +14,25 @@ ROW_BITS = 33
 
 
 def dense_ids(
-    rows: DataFrame, column: str, first: int = 1, order: Sequence[str] = ()
+    rows: DataFrame,
+    column: str,
+    first: int = 1,
+    order: Sequence[str] = (),
+    fixed: bool = False,
 ) -> DataFrame:
     """Ids ``first, first + 1, ...`` without gaps, optionally in the order of a key.
 
     The rows are checkpointed, so that their partitions are the same in both
-    passes and after a lost executor. Then each partition's row count gives the
-    start of the next one: that table has one row per partition, and only it
-    goes through the unpartitioned window and the broadcast.
+    passes and after a lost executor; ``fixed`` says they come from a checkpoint
+    already. Then each partition's row count gives the start of the next one:
+    that table has one row per partition, and only it goes through the
+    unpartitioned window and the broadcast.
     """
     if order:
         rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    numbered = checkpointed(rows).withColumn("_raw", F.monotonically_increasing_id()).select(
+    if order or not fixed:
+        rows = checkpointed(rows)
+    numbered = rows.withColumn("_raw", F.monotonically_increasing_id()).select(
         "*",
         F.shiftright("_raw", ROW_BITS).alias("_part"),
         F.col("_raw").bitwiseAND(F.lit((1 << ROW_BITS) - 1)).alias("_row"),

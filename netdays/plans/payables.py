@@ -10,8 +10,6 @@ from netdays.operators.incremental import not_yet_offered
 from netdays.operators.pricing import price_payables
 from netdays.params import SupplierParams
 
-INVOICE_COLUMNS = ("invoiceUniqueKey", "invoiceDate", "vendorId", "invoiceNumber", "invoiceGrossValue")
-
 OFFER_COLUMNS = (
     "invoiceUniqueKey", "invoiceDate", "vendorId", "invoiceNumber", "supplierId", "termDays",
     "creditAmount", "discountAmount", "discountRate", "discountPercentage",
@@ -23,22 +21,22 @@ def canonical_invoices(extract: DataFrame, with_gl_date: bool = False) -> DataFr
     """Key and base-currency gross of the ERP's invoices, exact repeats removed.
 
     Repeats combine before the shuffle, so many copies of one invoice leave each
-    map task as one row. The GL date takes no part in what makes a repeat; when
-    asked for it is the last one of the copies.
+    map task as one row; the key, made of two of the columns, is added after it.
+    The GL date takes no part in what makes a repeat; when asked for it is the
+    last one of the copies.
     """
-    invoices = extract.select(
-        keys.invoice_key(F.col("vendorId"), F.col("invoiceNumber")).alias("invoiceUniqueKey"),
-        "invoiceDate",
-        "vendorId",
-        "invoiceNumber",
-        money.in_base_currency(F.col("amount"), F.col("currency"), F.col("rate")).alias(
-            "invoiceGrossValue"
-        ),
-        *(["glDate"] if with_gl_date else []),
+    plain = ["invoiceDate", "vendorId", "invoiceNumber", "invoiceGrossValue"]
+    invoices = extract.withColumn(
+        "invoiceGrossValue",
+        money.in_base_currency(F.col("amount"), F.col("currency"), F.col("rate")),
     )
     if with_gl_date:
-        return invoices.groupBy(*INVOICE_COLUMNS).agg(F.max("glDate").alias("glDate"))
-    return invoices.distinct()
+        single = invoices.groupBy(*plain).agg(F.max("glDate").alias("glDate"))
+    else:
+        single = invoices.select(*plain).distinct()
+    return single.withColumn(
+        "invoiceUniqueKey", keys.invoice_key(F.col("vendorId"), F.col("invoiceNumber"))
+    )
 
 
 def eligible_suppliers(suppliers: DataFrame) -> DataFrame:

@@ -50,12 +50,12 @@ def append_checked(
         F.count_if(F.col("rejectReason").isNull()).alias("accepted"),
         F.count_if(F.col("rejectReason").isNotNull()).alias("rejected"),
     )
-    staged = written(marked, table)
+    staged = checkpointed(marked)
     accepted, rejected = seen.get["accepted"], seen.get["rejected"]
     if rejected:
         add_rejects(ledger, table, quality.rejected(staged))
     if accepted:
-        ledger.append(table, quality.accepted(staged))
+        ledger.append(table, quality.accepted(staged), fixed=True)
     return accepted, rejected
 
 

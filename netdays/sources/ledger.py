@@ -73,14 +73,16 @@ class Ledger:
     def last_id(self, table: str) -> int:
         return self.read(table).agg(F.coalesce(F.max(IDS[table]), F.lit(0))).head()[0]
 
-    def append(self, table: str, rows: DataFrame) -> None:
+    def append(self, table: str, rows: DataFrame, fixed: bool = False) -> None:
         """Append rows with new ids. Rows must have passed the not-null rules.
 
+        ``fixed`` rows come from a checkpoint, which numbers them without another.
+
         The rebalance keeps the files of a small month few and cuts those of a
         large one, so that no task writes a whole hot month.
         """
         identified = fit(
-            dense_ids(rows, IDS[table], first=self.last_id(table) + 1), TABLES[table]
+            dense_ids(rows, IDS[table], first=self.last_id(table) + 1, fixed=fixed), TABLES[table]
         )
         if table in BY_MONTH:
             identified = identified.withColumn(MONTH, F.trunc("invoiceDate", "month")).hint(
