@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from netdays.catalog import query, sql
 from netdays.functions import dates, terms
 from netdays.operators.consolidate import consolidate_lines, consolidate_to_headers
-from netdays.operators.incremental import not_yet_offered, watermark
+from netdays.operators.incremental import not_yet_offered, only_keys, watermark
 from netdays.operators.pricing import gross_interest, price_whole_term
 from netdays.params import CAPPED_CUSTOMER, SAMPLE_CUSTOMER, CustomerParams
 from netdays.plans.receivables import receivable_offers
@@ -183,6 +183,7 @@ def streaming_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def to_invoices(batch: DataFrame) -> DataFrame:
         lines = standins.invoice_lines(batch.sparkSession, sf_dir)
+        lines = only_keys(lines, batch.select("invoiceNumber"), "invoiceNumber")
         invoices = consolidate_to_headers(batch, lines)
         return standins.with_customer_key(invoices, batch.sparkSession, sf_dir)
 

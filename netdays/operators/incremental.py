@@ -30,6 +30,18 @@ def not_yet_offered(invoices: DataFrame, offered: DataFrame, key: str) -> DataFr
     return invoices.join(offered.select(F.col(key).cast(key_type).alias(key)), key, "left_anti")
 
 
+def offered_among(invoices: DataFrame, offered: DataFrame, key: str) -> DataFrame:
+    """Ledger keys that occur among the invoices.
+
+    With invoices that were written before, and so have a known size, a small
+    load is broadcast to where the ledger is read: the whole ledger's keys are
+    then scanned but not shuffled for the anti join that follows.
+    """
+    key_type = invoices.schema[key].dataType
+    keys = offered.select(F.col(key).cast(key_type).alias(key))
+    return only_keys(keys, invoices.select(key), key)
+
+
 def missing_parties(incoming: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Distinct incoming keys that are not known yet."""
     keys = incoming.filter(F.col(key).isNotNull()).select(key).distinct()

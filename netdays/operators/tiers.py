@@ -56,10 +56,10 @@ def tier_table(spark: SparkSession, params: CustomerParams | SupplierParams) ->
 def join_tiers(rows: DataFrame, tiers: DataFrame, days: str, strict: bool = False) -> DataFrame:
     """Tier columns by term days: default 0, or with ``strict`` only known terms.
 
-    For tables made by :func:`tier_table`, whose size ``params`` bounds; the hint
-    therefore broadcasts at most ``MAX_TIERS`` small rows.
+    No hint: the optimizer knows the size of a :func:`tier_table` and broadcasts
+    it; a tier table from elsewhere is broadcast only if its size allows it.
     """
-    keyed = F.broadcast(tiers.withColumnRenamed("termDays", days))
+    keyed = tiers.withColumnRenamed("termDays", days)
     if strict:
         return rows.join(keyed, days, "inner")
     return rows.join(keyed, days, "left").withColumns(

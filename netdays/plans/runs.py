@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 from netdays import schemas
 from netdays.operators import quality
 from netdays.operators.consolidate import consolidate_lines
-from netdays.operators.incremental import missing_parties, not_yet_offered, only_keys
+from netdays.operators.incremental import (
+    missing_parties,
+    not_yet_offered,
+    offered_among,
+    only_keys,
+)
 from netdays.params import CustomerParams, SupplierParams
 from netdays.plans import payables as payable_plans
 from netdays.plans import receivables as receivable_plans
@@ -97,7 +102,8 @@ def run_receivables(
     new_parties = ensure_customers(ledger, invoices, relations)
 
     customers = ledger.read("customers")
-    new = not_yet_offered(invoices, ledger.read("customerOffers"), "invoiceNumber")
+    held = offered_among(invoices, ledger.read("customerOffers"), "invoiceNumber")
+    new = not_yet_offered(invoices, held, "invoiceNumber")
     odd = receivable_plans.unparsable_terms(new, customers).withColumn(
         "rejectReason", F.lit("creditTerms not readable")
     )
@@ -137,7 +143,7 @@ def run_payables(
     invoices = written(payable_plans.canonical_invoices(extract, with_gl_date=True), "payables")
     new_parties = ensure_suppliers(ledger, invoices, relations)
 
-    offered = ledger.read("supplierPayment").select("invoiceUniqueKey")
+    offered = offered_among(invoices, ledger.read("supplierPayment"), "invoiceUniqueKey")
     offers = payable_plans.payable_offers(
         invoices, ledger.read("suppliers"), offered, params
     ).withColumn("offerStatus", F.lit(schemas.NOT_SENT))

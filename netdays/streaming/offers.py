@@ -14,10 +14,11 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from netdays import schemas
-from netdays.operators.incremental import not_yet_offered
+from netdays.operators.incremental import not_yet_offered, offered_among
 from netdays.params import CustomerParams
 from netdays.plans.receivables import receivable_offers
 from netdays.plans.runs import append_checked
+from netdays.session import written
 from netdays.sources.ledger import Ledger
 
 
@@ -57,15 +58,19 @@ def offer_stream(
 ) -> StreamingQuery:
     """Start appending offers for arriving invoice headers; stops when all is read.
 
-    ``to_invoices`` consolidates the headers of a batch with their lines.
+    ``to_invoices`` consolidates a batch: its own lines, or its headers with
+    lines from elsewhere, of which it should read only those of the batch. A
+    batch is written before it is used, so it is computed once and its size is
+    known to the joins.
     """
     ledger.create()
 
     def append_batch(batch: DataFrame, _batch_id: int) -> None:
-        new = batch.distinct()
-        if offered_elsewhere is not None:
-            new = not_yet_offered(new, offered_elsewhere, "invoiceNumber")
-        new = not_yet_offered(new, ledger.read("customerOffers"), "invoiceNumber")
+        new = written(batch.distinct(), "batch")
+        for offered in (ledger.read("customerOffers"), offered_elsewhere):
+            if offered is not None:
+                held = offered_among(new, offered, "invoiceNumber")
+                new = not_yet_offered(new, held, "invoiceNumber")
         offers = receivable_offers(to_invoices(new), customers, params)
         append_checked(
             ledger,
