@@ -57,7 +57,7 @@ _SITE_COLUMNS = (
 def ar_customer_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customer site extract with all its look-ups."""
     relations = standins.customer_relations(spark, sf_dir)
-    return receivables.customer_extract(relations, columns=_SITE_COLUMNS)
+    return _with_number(receivables.customer_extract(relations, columns=_SITE_COLUMNS))
 
 
 @query(f"""
@@ -68,7 +68,7 @@ FROM ({_SITE_SQL}) GROUP BY customerKey""")
 def ar_customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer key; the uses of a site differ in their terms only."""
     relations = standins.customer_relations(spark, sf_dir)
-    return receivables.customer_master(relations)
+    return _with_number(receivables.customer_master(relations))
 
 
 @query(f"""
@@ -96,7 +96,11 @@ def _numbered_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = [*receivables.CUSTOMER_COLUMNS, "siteUseId"]
     relations = standins.customer_relations(spark, sf_dir)
     rows = receivables.customer_rows(relations, columns=columns)
-    return rows.withColumn("siteUseNumber", F.col("siteUseId").cast("bigint"))
+    return _with_number(rows).withColumn("siteUseNumber", F.col("siteUseId").cast("bigint"))
+
+
+def _with_number(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("customerNumber", F.col("customerNumber").cast("bigint"))
 
 
 @query(f"""

@@ -14,6 +14,11 @@ def normalize_text(text: Column) -> Column:
     return F.coalesce(F.regexp_replace(F.lower(text), "[^a-z0-9]", ""), F.lit(""))
 
 
+def number_text(number: Column) -> Column:
+    """A party number as text, spelled the same from text, whole and float sources."""
+    return F.regexp_replace(F.trim(number.cast("string")), r"\.0+$", "")
+
+
 def party_key(site: Column, number: Column) -> Column:
     """``normalized-site_number``; a null number is spelled ``None``."""
     return F.concat(

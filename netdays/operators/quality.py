@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -54,6 +54,12 @@ def orphans(rows: DataFrame, parents: DataFrame, foreign: str, primary: str) ->
     return rows.filter(F.col(foreign).isNotNull()).join(keys, foreign, "left_anti")
 
 
+def counted(rows: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+    """The rows, and how many there were once an action has computed them."""
+    seen = Observation()
+    return rows.observe(seen, F.count(F.lit(1)).alias("n")), lambda: seen.get["n"]
+
+
 def stage_counts(rows: DataFrame, stages: Mapping[str, Column]) -> DataFrame:
     """Rows that reach each stage, as one aggregate over stage conditions."""
     return rows.agg(*[F.count_if(reached).alias(name) for name, reached in stages.items()])

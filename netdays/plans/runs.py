@@ -30,9 +30,11 @@ from netdays.sources.relations import Relations
 @dataclass(frozen=True)
 class RunResult:
     watermark: dt.date
+    fetched: int
+    invoices: int
+    new_parties: int
     inserted: int
     rejected: int
-    new_parties: int
 
     @property
     def message(self) -> str:
@@ -85,10 +87,11 @@ def ensure_customers(ledger: Ledger, invoices: DataFrame, relations: Relations)
     fetched = only_keys(
         receivable_sources.customer_master(relations, numbers), missing, "customerKey"
     )
-    # The ledger has no use for these two, and the phone is not kept for customers.
-    loaded, _ = append_checked(
-        ledger, "customers", fetched.drop("location", "phone"), "customerId"
+    # The ledger holds numbers as such, no location, and no phone of a customer.
+    parties = fetched.drop("location", "phone").withColumn(
+        "customerNumber", F.col("customerNumber").try_cast("bigint")
     )
+    loaded, _ = append_checked(ledger, "customers", parties, "customerId")
     return loaded
 
 
@@ -97,8 +100,9 @@ def run_receivables(
 ) -> RunResult:
     ledger.create()
     since = ledger.watermark("customerOffers", as_of)
-    lines = receivable_sources.invoice_lines(relations, since)
-    invoices = written(consolidate_lines(lines, receivable_sources.LINE_ORDER), "receivables")
+    lines, fetched = quality.counted(receivable_sources.invoice_lines(relations, since))
+    consolidated, kept = quality.counted(consolidate_lines(lines, receivable_sources.LINE_ORDER))
+    invoices = written(consolidated, "receivables")
     new_parties = ensure_customers(ledger, invoices, relations)
 
     customers = ledger.read("customers")
@@ -115,7 +119,9 @@ def run_receivables(
     unreadable = odd.count()
     if unreadable:
         add_rejects(ledger, "customerOffers", odd)
-    return RunResult(since, inserted, rejected + unreadable, new_parties)
+    return RunResult(
+        since, fetched(), kept(), new_parties, inserted, rejected + unreadable
+    )
 
 
 def ensure_suppliers(ledger: Ledger, invoices: DataFrame, relations: Relations) -> int:
@@ -139,8 +145,13 @@ def run_payables(
     """The extract is windowed by GL date, so the watermark is the last GL date."""
     ledger.create()
     since = ledger.watermark("supplierPayment", as_of, "glDate")
-    extract = payable_sources.invoice_extract(relations, since, as_of, org_id)
-    invoices = written(payable_plans.canonical_invoices(extract, with_gl_date=True), "payables")
+    extract, fetched = quality.counted(
+        payable_sources.invoice_extract(relations, since, as_of, org_id)
+    )
+    canonical, kept = quality.counted(
+        payable_plans.canonical_invoices(extract, with_gl_date=True)
+    )
+    invoices = written(canonical, "payables")
     new_parties = ensure_suppliers(ledger, invoices, relations)
 
     offered = offered_among(invoices, ledger.read("supplierPayment"), "invoiceUniqueKey")
@@ -148,4 +159,4 @@ def run_payables(
         invoices, ledger.read("suppliers"), offered, params
     ).withColumn("offerStatus", F.lit(schemas.NOT_SENT))
     inserted, rejected = append_checked(ledger, "supplierPayment", offers, "supplierPaymentId")
-    return RunResult(since, inserted, rejected, new_parties)
+    return RunResult(since, fetched(), kept(), new_parties, inserted, rejected)

@@ -38,7 +38,7 @@ _SENDING = (
 
 CUSTOMERS = _table(
     ("customerId", LONG),
-    ("customerNumber", LONG),
+    ("customerNumber", LONG, True),
     ("customerKey", TEXT),
     ("name", TEXT, True),
     ("email", TEXT, True),

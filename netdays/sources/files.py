@@ -74,7 +74,7 @@ def receivable_lines(rows: DataFrame) -> DataFrame:
     named = canonical(rows, RECEIVABLE_HEADERS).withColumns(
         {
             "invoiceDate": F.col("invoiceDate").cast("date"),
-            "customerNumber": F.col("customerNumber").cast("bigint"),
+            "customerNumber": keys.number_text(F.col("customerNumber")),
             "invoiceGrossValue": F.col("invoiceGrossValue").cast("decimal(18,2)"),
         }
     )
@@ -85,7 +85,7 @@ def receivable_lines(rows: DataFrame) -> DataFrame:
 
 def customer_sites(rows: DataFrame) -> DataFrame:
     named = canonical(rows, CUSTOMER_HEADERS).withColumn(
-        "customerNumber", F.col("customerNumber").cast("bigint")
+        "customerNumber", keys.number_text(F.col("customerNumber"))
     )
     return named.withColumn(
         "customerKey", keys.party_key(F.col("location"), F.col("customerNumber"))

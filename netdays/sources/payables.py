@@ -56,7 +56,7 @@ def invoice_extract(
     attached = (
         relations("fnd_attached_documents")
         .filter(F.col("entity_name") == "AP_INVOICES")
-        .select(F.col("pk1_value").cast("bigint").alias("invoice_id"))
+        .select(F.col("pk1_value").try_cast("bigint").alias("invoice_id"))
     )
     joined = lookups.look_up(ap.join(vendors, "vendor_number"), users, "created_by")
     joined = lookups.membership_flag(

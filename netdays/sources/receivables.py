@@ -41,7 +41,7 @@ def invoice_lines(relations: Relations, since: dt.date) -> DataFrame:
     headers = relations("ra_customer_trx_all").select("customer_trx_id", "sold_to_customer_id")
     customers = relations("ar_customers").select(
         F.col("customer_id").alias("sold_to_customer_id"),
-        F.col("customer_number").cast("bigint").alias("customerNumber"),
+        keys.number_text(F.col("customer_number")).alias("customerNumber"),
     )
     joined = lines.join(headers, "customer_trx_id", "left").join(
         customers, "sold_to_customer_id", "left"
@@ -79,7 +79,10 @@ def with_item_details(lines: DataFrame, relations: Relations) -> DataFrame:
 
 
 def customer_sites(relations: Relations, customer_numbers: DataFrame | None = None) -> DataFrame:
-    """Active sites of active customers, optionally of a list of numbers only."""
+    """Active sites of active customers, optionally of a list of numbers only.
+
+    Numbers stay text here, as some are no numbers; the ledger holds them as such.
+    """
     customers = relations("ar_customers").filter(F.col("status") == "A")
     if customer_numbers is not None:
         wanted = customer_numbers.select(F.col("customerNumber").alias("customer_number"))
@@ -405,7 +408,7 @@ def site_contact_people(relations: Relations) -> DataFrame:
 
 def _extract_columns() -> dict[str, Column]:
     """Output columns of the extract that are not plain look-up columns."""
-    number = F.col("ac_customer_number").cast("bigint")
+    number = keys.number_text(F.col("ac_customer_number"))
     return {
         "customerNumber": number,
         "customerKey": keys.party_key(F.col("hcsu_location"), number),

@@ -24,7 +24,7 @@ def test_invoice_lines_and_item_details(spark):
                  invoice_date=dt.datetime(2024, 1, 29, 23)),
         ],
         ra_customer_trx_all=[dict(customer_trx_id=1, sold_to_customer_id=70)],
-        ar_customers=[dict(customer_id=70, customer_number="7")],
+        ar_customers=[dict(customer_id=70, customer_number="7.0")],
         cst_item_cost_type_v=[
             dict(inventory_item_id=5, organization_id=1, item_cost=D("2.0000049"), cost_type_id=2),
             dict(inventory_item_id=5, organization_id=1, item_cost=D("9"), cost_type_id=1),
@@ -39,7 +39,7 @@ def test_invoice_lines_and_item_details(spark):
     lines = receivables.invoice_lines(erp, dt.date(2024, 1, 30))
     got = {r.invoiceNumber: r for r in receivables.with_item_details(lines, erp).collect()}
     assert set(got) == {"I1", "I2"}
-    assert (got["I1"].customerKey, got["I1"].customerNumber) == ("west01_7", 7)
+    assert (got["I1"].customerKey, got["I1"].customerNumber) == ("west01_7", "7")
     assert (got["I2"].customerKey, got["I2"].customerNumber) == ("_None", None)
     assert (got["I1"].unitCost, got["I1"].skuSize, got["I1"].productCode) == (D("2.00000"), "1L", None)
     assert got["I2"].unitCost is None

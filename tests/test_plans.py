@@ -118,6 +118,23 @@ def test_hot_document_is_split_beside_an_aggregated_table(small_skew):
     assert parts.count() >= 4
 
 
+def test_hot_invoice_is_split_before_it_is_consolidated(small_skew):
+    """The join is split although the aggregate above it then needs a shuffle."""
+    spark = small_skew
+    number = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 2000)
+    lines = spark.range(0, 60_000, numPartitions=8).select(
+        number.alias("invoiceNumber"),
+        F.col("id").alias("lineId"),
+        (F.pmod(F.xxhash64("id"), F.lit(1000)) / 100).cast("decimal(18,2)").alias("invoiceGrossValue"),
+    )
+    headers = invoices(spark, 2000).drop("invoiceGrossValue").withColumn("customerNumber", F.lit(1))
+    flat = consolidate_lines(lines.join(headers, "invoiceNumber"), ["lineId"])
+    got = {r.invoiceNumber: r.invoiceGrossValue for r in flat.collect()}
+    assert "skew=true" in plan_text(flat)
+    sums = lines.groupBy("invoiceNumber").agg(F.sum("invoiceGrossValue").alias("s")).collect()
+    assert got == {r.invoiceNumber: r.s for r in sums}
+
+
 def test_hot_invoice_is_consolidated(small_skew):
     spark = small_skew
     lines = spark.range(0, 60_000, numPartitions=8).select(
