@@ -37,11 +37,30 @@ WHERE glDate BETWEEN DATE '1999-01-01' AND DATE '2001-12-31'""")
 def ap_invoice_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The invoice extract over a GL window, with flags and three base amounts."""
     relations = standins.payable_relations(spark, sf_dir)
-    extract = payables.invoice_extract(relations, standins.GL_FROM, standins.AS_OF, org_id=82)
-    return extract.select(
+    columns = (
         "vendorId", "invoiceNumber", "invoiceDate", "glDate", "currency", "tax", "amount",
         "distributionFlag", "exclusive", "exclusiveBase", "taxBase", "inclusiveBase",
     )
+    return payables.invoice_extract(
+        relations, standins.GL_FROM, standins.AS_OF, org_id=82, columns=columns
+    )
+
+
+@query(f"""
+WITH {sql.PAYABLES}
+SELECT p.vendorId, p.invoiceNumber, p.invoiceDate, n_name AS createdBy, p.amount,
+  CASE WHEN o_orderstatus = 'P' THEN 'Yes' ELSE 'No' END AS attachments
+FROM payables p JOIN supplier ON s_suppkey = vendorId
+LEFT JOIN nation ON n_nationkey = cast(split_part(invoiceNumber, '-', 2) AS integer)
+LEFT JOIN orders ON o_orderkey = cast(split_part(invoiceNumber, '-', 1) AS bigint)
+WHERE glDate BETWEEN DATE '1999-01-01' AND DATE '2001-12-31'""")
+def ap_invoice_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The invoice extract with creator and attachment flag."""
+    relations = standins.payable_relations(spark, sf_dir)
+    columns = ("vendorId", "invoiceNumber", "invoiceDate", "createdBy", "amount", "attachments")
+    return payables.invoice_extract(
+        relations, standins.GL_FROM, standins.AS_OF, org_id=82, columns=columns
+    )
 
 
 @query(f"""

@@ -146,7 +146,9 @@ def run_payables(
     ledger.create()
     since = ledger.watermark("supplierPayment", as_of, "glDate")
     extract, fetched = quality.counted(
-        payable_sources.invoice_extract(relations, since, as_of, org_id)
+        payable_sources.invoice_extract(
+            relations, since, as_of, org_id, payable_sources.OFFER_INPUT
+        )
     )
     canonical, kept = quality.counted(
         payable_plans.canonical_invoices(extract, with_gl_date=True)

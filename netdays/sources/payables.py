@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,13 +36,36 @@ def add_amounts(invoices: DataFrame) -> DataFrame:
     )
 
 
+# Columns of the invoice view that are passed on under another name.
+_PASSED = {
+    "vendorSiteId": "vendor_site_id",
+    "vendorNumber": "vendor_number",
+    "supplierName": "vendor_name",
+    "invoiceNumber": "invoice_num",
+    "controlUnitInvoiceNumber": "supplier_tax_invoice_number",
+    "itemDescription": "description",
+    "currency": "invoice_currency_code",
+    "creditedInvoiceNumber": "credited_invoice_num",
+    "poNumber": "po_number",
+    "receiptNumber": "receipt_number",
+    "distributionTotal": "distribution_total",
+}
+# What an offer needs of an invoice.
+OFFER_INPUT = ("vendorId", "invoiceNumber", "invoiceDate", "glDate", "amount", "currency", "rate")
+
+
 def invoice_extract(
     relations: Relations,
     gl_from: dt.date,
     gl_to: dt.date,
     org_id: int | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Supplier invoices with a GL date in a closed window, of one operating unit."""
+    """Supplier invoices with a GL date in a closed window, of one operating unit.
+
+    Only invoices of known vendors. Fewer ``columns`` mean fewer look-ups: the
+    creator's name and the attachment flag are joined only if wanted.
+    """
     ap = relations("ap_invoices_v").filter(dates.in_closed_window(F.col("gl_date"), gl_from, gl_to))
     if org_id is not None:
         ap = ap.filter(F.col("org_id") == org_id)
@@ -50,41 +74,32 @@ def invoice_extract(
         F.col("vendor_type_disp").alias("vendorType"),
         F.col("vat_registration_num").alias("vatNumber"),
     )
-    users = relations("fnd_user").select(
-        F.col("user_id").alias("created_by"), F.col("user_name").alias("createdBy")
-    )
-    attached = (
-        relations("fnd_attached_documents")
-        .filter(F.col("entity_name") == "AP_INVOICES")
-        .select(F.col("pk1_value").try_cast("bigint").alias("invoice_id"))
-    )
-    joined = lookups.look_up(ap.join(vendors, "vendor_number"), users, "created_by")
-    joined = lookups.membership_flag(
-        joined, attached, "invoice_id", "attachments", spread_by=["vendor_id", "invoice_num"]
-    )
-    return joined.select(
-        F.col("invoice_date").cast("date").alias("invoiceDate"),
-        F.col("gl_date").cast("date").alias("glDate"),
-        "vendorType",
-        F.col("vendor_id").cast("bigint").alias("vendorId"),
-        F.col("vendor_site_id").alias("vendorSiteId"),
-        F.col("vendor_number").alias("vendorNumber"),
-        F.col("vendor_name").alias("supplierName"),
-        "vatNumber",
-        F.col("invoice_num").alias("invoiceNumber"),
-        F.col("supplier_tax_invoice_number").alias("controlUnitInvoiceNumber"),
-        "createdBy",
-        F.col("description").alias("itemDescription"),
-        F.col("invoice_currency_code").alias("currency"),
-        F.col("exchange_rate").cast(money.RATE).alias("rate"),
-        F.col("credited_invoice_num").alias("creditedInvoiceNumber"),
-        F.col("po_number").alias("poNumber"),
-        F.col("receipt_number").alias("receiptNumber"),
-        F.col("distribution_total").alias("distributionTotal"),
-        "attachments",
-        F.col("total_tax_amount").cast(money.LINE_GROSS).alias("tax"),
-        F.col("actual_invoice_amount").cast(money.LINE_GROSS).alias("amount"),
-    ).transform(add_amounts)
+    joined = ap.join(vendors, "vendor_number")
+    if columns is None or "createdBy" in columns:
+        users = relations("fnd_user").select(
+            F.col("user_id").alias("created_by"), F.col("user_name").alias("createdBy")
+        )
+        joined = lookups.look_up(joined, users, "created_by")
+    if columns is None or "attachments" in columns:
+        attached = (
+            relations("fnd_attached_documents")
+            .filter(F.col("entity_name") == "AP_INVOICES")
+            .select(F.col("pk1_value").try_cast("bigint").alias("invoice_id"))
+        )
+        joined = lookups.membership_flag(
+            joined, attached, "invoice_id", "attachments", spread_by=["vendor_id", "invoice_num"]
+        )
+    made = {new: F.col(old) for new, old in _PASSED.items()} | {
+        "invoiceDate": F.col("invoice_date").cast("date"),
+        "glDate": F.col("gl_date").cast("date"),
+        "vendorId": F.col("vendor_id").cast("bigint"),
+        "rate": F.col("exchange_rate").cast(money.RATE),
+        "tax": F.col("total_tax_amount").cast(money.LINE_GROSS),
+        "amount": F.col("actual_invoice_amount").cast(money.LINE_GROSS),
+    }
+    looked_up = [c for c in ("vendorType", "vatNumber", "createdBy", "attachments") if c in joined.columns]
+    extract = joined.select(*[c.alias(n) for n, c in made.items()], *looked_up).transform(add_amounts)
+    return extract if columns is None else extract.select(*columns)
 
 
 def supplier_banks(relations: Relations) -> DataFrame:
