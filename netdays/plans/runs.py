@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netdays import schemas
@@ -30,7 +30,6 @@ from netdays.sources.relations import Relations
 @dataclass(frozen=True)
 class RunResult:
     watermark: dt.date
-    fetched: int
     invoices: int
     new_parties: int
     inserted: int
@@ -51,14 +50,9 @@ def append_checked(
     """
     required = [c for c in schemas.required_columns(TABLES[table]) if c != id_column]
     present = [c for c in required if c in rows.columns]
-    seen = Observation()
-    marked = quality.with_reject_reason(rows, quality.not_null_rules(present)).observe(
-        seen,
-        F.count_if(F.col("rejectReason").isNull()).alias("accepted"),
-        F.count_if(F.col("rejectReason").isNotNull()).alias("rejected"),
-    )
-    staged = checkpointed(marked)
-    accepted, rejected = seen.get["accepted"], seen.get["rejected"]
+    staged = checkpointed(quality.with_reject_reason(rows, quality.not_null_rules(present)))
+    good = F.col("rejectReason").isNull()
+    accepted, rejected = quality.stage_counts(staged, {"good": good, "bad": ~good}).head()
     if rejected:
         add_rejects(ledger, table, quality.rejected(staged))
     if accepted:
@@ -100,9 +94,8 @@ def run_receivables(
 ) -> RunResult:
     ledger.create()
     since = ledger.watermark("customerOffers", as_of)
-    lines, fetched = quality.counted(receivable_sources.invoice_lines(relations, since))
-    consolidated, kept = quality.counted(consolidate_lines(lines, receivable_sources.LINE_ORDER))
-    invoices = written(consolidated, "receivables")
+    lines = receivable_sources.invoice_lines(relations, since)
+    invoices = written(consolidate_lines(lines, receivable_sources.LINE_ORDER), "receivables")
     new_parties = ensure_customers(ledger, invoices, relations)
 
     customers = ledger.read("customers")
@@ -119,9 +112,7 @@ def run_receivables(
     unreadable = odd.count()
     if unreadable:
         add_rejects(ledger, "customerOffers", odd)
-    return RunResult(
-        since, fetched(), kept(), new_parties, inserted, rejected + unreadable
-    )
+    return RunResult(since, invoices.count(), new_parties, inserted, rejected + unreadable)
 
 
 def ensure_suppliers(ledger: Ledger, invoices: DataFrame, relations: Relations) -> int:
@@ -145,15 +136,10 @@ def run_payables(
     """The extract is windowed by GL date, so the watermark is the last GL date."""
     ledger.create()
     since = ledger.watermark("supplierPayment", as_of, "glDate")
-    extract, fetched = quality.counted(
-        payable_sources.invoice_extract(
-            relations, since, as_of, org_id, payable_sources.OFFER_INPUT
-        )
-    )
-    canonical, kept = quality.counted(
-        payable_plans.canonical_invoices(extract, with_gl_date=True)
+    extract = payable_sources.invoice_extract(
+        relations, since, as_of, org_id, payable_sources.OFFER_INPUT
     )
-    invoices = written(canonical, "payables")
+    invoices = written(payable_plans.canonical_invoices(extract, with_gl_date=True), "payables")
     new_parties = ensure_suppliers(ledger, invoices, relations)
 
     offered = offered_among(invoices, ledger.read("supplierPayment"), "invoiceUniqueKey")
@@ -161,4 +147,4 @@ def run_payables(
         invoices, ledger.read("suppliers"), offered, params
     ).withColumn("offerStatus", F.lit(schemas.NOT_SENT))
     inserted, rejected = append_checked(ledger, "supplierPayment", offers, "supplierPaymentId")
-    return RunResult(since, fetched(), kept(), new_parties, inserted, rejected)
+    return RunResult(since, invoices.count(), new_parties, inserted, rejected)
