@@ -41,4 +41,5 @@ def load() -> None:
         quality,
         receivable,
         reports,
+        runs,
     )

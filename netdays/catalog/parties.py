@@ -13,7 +13,7 @@ from netdays.sources import receivables, standins
 _SITE_ORDER = ["siteUseNumber"]
 
 # One row per active use of an active customer, by formula from the tables.
-_SITE_SQL = f"""
+SITE_SQL = f"""
 SELECT c_custkey AS customerNumber, c_name AS name, c_mktsegment AS customerClass,
   CASE c_custkey % 3 WHEN 0 THEN 'External' WHEN 1 THEN 'Internal' ELSE 'X' END AS accountType,
   strftime(DATE '2014-01-01' + cast(c_custkey % 3650 AS integer), '%d-%m-%Y') AS creationDate,
@@ -53,7 +53,7 @@ _SITE_COLUMNS = (
 )
 
 
-@query(_SITE_SQL)
+@query(SITE_SQL)
 def ar_customer_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customer site extract with all its look-ups."""
     relations = standins.customer_relations(spark, sf_dir)
@@ -64,7 +64,7 @@ def ar_customer_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT customerKey, min(customerNumber) AS customerNumber, min(name) AS name, min(email) AS email,
   min(phone) AS phone, min(customerType) AS customerType, min(creditTerms) AS creditTerms,
   min(location) AS location
-FROM ({_SITE_SQL}) GROUP BY customerKey""")
+FROM ({SITE_SQL}) GROUP BY customerKey""")
 def ar_customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer key; the uses of a site differ in their terms only."""
     relations = standins.customer_relations(spark, sf_dir)
@@ -74,7 +74,7 @@ def ar_customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
 SELECT customerNumber, min(name) AS name, min(email) AS email, arg_min(phone, siteUseId) AS phone,
   min(customerType) AS customerType, max(creditTerms) AS creditTerms
-FROM (SELECT * REPLACE (cast(siteUseId AS bigint) AS siteUseId) FROM ({_SITE_SQL}))
+FROM (SELECT * REPLACE (cast(siteUseId AS bigint) AS siteUseId) FROM ({SITE_SQL}))
 GROUP BY customerNumber""")
 def customer_rollup_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per number, with the largest terms."""
@@ -85,7 +85,7 @@ def customer_rollup_max(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT customerKey, min(name) AS name, min(email) AS email, arg_min(phone, siteUseId) AS phone,
   min(customerType) AS customerType, min(location) AS location,
   max(creditTerms) AS creditTerms, avg(customerNumber) AS customerNumber
-FROM (SELECT * REPLACE (cast(siteUseId AS bigint) AS siteUseId) FROM ({_SITE_SQL}))
+FROM (SELECT * REPLACE (cast(siteUseId AS bigint) AS siteUseId) FROM ({SITE_SQL}))
 GROUP BY customerKey""")
 def customer_rollup_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per key, with the largest terms and the mean number."""

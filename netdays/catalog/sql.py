@@ -68,14 +68,9 @@ def tier_case(days: str, values: dict[int, object], default: str = "0") -> str:
     return f"CASE {days} {whens} ELSE {default} END"
 
 
-def receivable_offers(params: CustomerParams) -> str:
-    """The priced offers, from the sample parameters as plain SQL literals."""
-    cost = f"{params.cost_of_finance_per_day / 100:f}"
-    share = f"{params.share_of_savings / 100:f}"
-    cap = f"{params.max_discount / 100:f}"
-    early = tier_case("days", dict(params.tiers))
-    return f"""
-WITH {INVOICES}, {CUSTOMERS},
+# CTEs: what is new since the watermark, with the terms of its customer.
+FRESH = f"""
+{CUSTOMERS},
 wm AS (SELECT coalesce(max(cast(o_orderdate AS date)), DATE '2001-10-31') AS d FROM orders WHERE {OFFERED}),
 fresh AS (
   SELECT i.*, p.customerKey, p.c_custkey AS customerId,
@@ -84,7 +79,20 @@ fresh AS (
   WHERE i.invoiceDate >= (SELECT d FROM wm)
     AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = i.invoiceNumber AND {OFFERED})
     AND lower(p.creditTerms) LIKE '%days net%'
-),
+)"""
+
+
+def receivable_offers(params: CustomerParams, fresh: str | None = None) -> str:
+    """The priced offers, from the sample parameters as plain SQL literals.
+
+    ``fresh`` replaces the CTEs that give the new invoices with key and days.
+    """
+    cost = f"{params.cost_of_finance_per_day / 100:f}"
+    share = f"{params.share_of_savings / 100:f}"
+    cap = f"{params.max_discount / 100:f}"
+    early = tier_case("days", dict(params.tiers))
+    return f"""
+WITH {INVOICES}, {fresh or FRESH},
 credited AS (
   SELECT *, cast({early} AS integer) AS early,
          cast(CASE WHEN currency = 'USD' THEN gross * {params.exchange_rate} ELSE gross END AS decimal(20,2)) AS credit
@@ -130,7 +138,12 @@ def in_base(amount: str) -> str:
     return f"cast(CASE WHEN currency = 'USD' THEN {amount} * rate ELSE {amount} END AS decimal(20,2))"
 
 
-def payable_offers(params: SupplierParams) -> str:
+def payable_offers(
+    params: SupplierParams,
+    gl_from: str = "(SELECT d FROM wm)",
+    suppliers: str = "TRUE",
+    offered: str = AP_OFFERED,
+) -> str:
     early = tier_case("days", {k: t.early_days for k, t in params.tiers.items()})
     percent = tier_case(
         "days",
@@ -142,14 +155,14 @@ WITH {PAYABLES},
 wm AS (SELECT coalesce(max(cast(l_shipdate AS date)), DATE '2001-10-31') AS d FROM lineitem WHERE {AP_OFFERED}),
 canonical AS (
   SELECT DISTINCT invoiceUniqueKey, invoiceDate, vendorId, invoiceNumber, {in_base('amount')} AS gross
-  FROM payables WHERE glDate BETWEEN (SELECT d FROM wm) AND DATE '2001-12-31'
+  FROM payables WHERE glDate BETWEEN {gl_from} AND DATE '2001-12-31'
 ),
 fresh AS (
   SELECT c.*, s_suppkey AS supplierId,
     try_cast(nullif(regexp_extract({SUPPLIER_TERMS}, '\\d+'), '') AS integer) AS days
   FROM canonical c LEFT JOIN supplier ON s_suppkey = c.vendorId
-  WHERE lower({SUPPLIER_TERMS}) LIKE '%days net%'
-    AND NOT EXISTS (SELECT 1 FROM lineitem WHERE {AP_KEY} = c.invoiceUniqueKey AND {AP_OFFERED})
+  WHERE lower({SUPPLIER_TERMS}) LIKE '%days net%' AND {suppliers}
+    AND NOT EXISTS (SELECT 1 FROM lineitem WHERE {AP_KEY} = c.invoiceUniqueKey AND {offered})
 ),
 tiered AS (SELECT *, {early} AS early, {percent} AS percent FROM fresh WHERE days > 7),
 priced AS (

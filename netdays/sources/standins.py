@@ -634,3 +634,42 @@ def customer_relations(spark: SparkSession, sf_dir: str) -> Relations:
             ),
         }
     )
+
+
+def receivable_relations(spark: SparkSession, sf_dir: str) -> Relations:
+    """The customer master and, as flat invoice lines, orders with their lineitems.
+
+    An invoice ships to the site of its customer that its priority names.
+    """
+    master = customer_relations(spark, sf_dir)
+    orders = table(spark, sf_dir, "orders")
+    nations = customers_with_nation(spark, sf_dir).select(F.col("c_custkey").alias("o_custkey"), "n_name")
+    headers = orders.join(nations, "o_custkey").select(
+        F.col("o_orderkey").alias("invoiceNumber"),
+        "o_orderdate",
+        F.concat(F.lit(" "), "n_name", F.lit("-"), "o_orderpriority").alias("shipTo"),
+    )
+    lines = headers.join(invoice_lines(spark, sf_dir), "invoiceNumber").select(
+        F.col("invoiceNumber").alias("customer_trx_id"),
+        F.col("lineId").alias("customer_trx_line_id"),
+        F.col("invoiceNumber").cast("string").alias("invoice_number"),
+        F.col("o_orderdate").alias("invoice_date"),
+        F.col("invoiceGrossValue").alias("invoice_gross_value"),
+        currency(F.col("invoiceNumber")).alias("invoice_currency_code"),
+        F.col("shipTo").alias("ship_to_locations1"),
+        F.lit(None).cast("bigint").alias("inventory_item_id"),
+        F.lit(None).cast("bigint").alias("organization_id"),
+    )
+    headers_only = orders.select(
+        F.col("o_orderkey").alias("customer_trx_id"), F.col("o_custkey").alias("sold_to_customer_id")
+    )
+    own = {"invoice_lines": lines, "ra_customer_trx_all": headers_only}
+    return lambda name: own[name] if name in own else master(name)
+
+
+def supplier_side_relations(spark: SparkSession, sf_dir: str) -> Relations:
+    """Supplier invoices and the supplier master together."""
+    invoices = payable_relations(spark, sf_dir)
+    master = supplier_relations(spark, sf_dir)
+    own = ("ap_invoices_v", "ap_vendors_v", "fnd_attached_documents")
+    return lambda name: invoices(name) if name in own else master(name)
