@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from netdays.catalog import query, sql
 from netdays.functions import dates, terms
@@ -13,7 +16,7 @@ from netdays.operators.pricing import gross_interest, price_whole_term
 from netdays.params import CAPPED_CUSTOMER, SAMPLE_CUSTOMER, CustomerParams
 from netdays.plans.receivables import receivable_offers
 from netdays.session import new_scratch_path
-from netdays.sources import standins
+from netdays.sources import files, receivables, standins
 from netdays.sources.ledger import Ledger
 from netdays.streaming.offers import file_stream, offer_stream
 
@@ -76,6 +79,48 @@ def ar_invoice_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consolidate_to_headers(headers, standins.invoice_lines(spark, sf_dir))
 
 
+@query(f"""
+SELECT cast(o_orderkey AS varchar) AS invoiceNumber, cast(o_orderdate AS date) AS invoiceDate,
+  cast(o_custkey AS varchar) AS customerNumber, {sql.LINE_GROSS} AS invoiceGrossValue,
+  {sql.CURRENCY} AS invoiceCurrencyCode, l_partkey AS itemId,
+  {sql.normalized("' ' || n_name || '-' || o_orderpriority")} || '_' || o_custkey AS customerKey,
+  CASE WHEN p_brand <> 'Brand#1' THEN cast(p_retailprice AS decimal(12,2)) END AS "unitCost",
+  p_name AS "productCode", cast(p_size AS varchar) AS "skuSize", p_type AS "subVariant"
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
+LEFT JOIN part ON p_partkey = l_partkey
+WHERE o_orderdate >= TIMESTAMP '1996-01-01'""")
+def ar_invoice_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoice lines since a day, with customer key, unit cost and item attributes."""
+    relations = standins.receivable_relations(spark, sf_dir)
+    lines = receivables.invoice_lines(relations, dt.date(1996, 1, 1))
+    return receivables.with_item_details(lines, relations).select(
+        "invoiceNumber", "invoiceDate", "customerNumber", "invoiceGrossValue",
+        "invoiceCurrencyCode", "itemId", "customerKey",
+        F.col("unitCost").cast("decimal(12,2)").alias("unitCost"),
+        "productCode", "skuSize", "subVariant",
+    )
+
+
+@query(f"""
+WITH {sql.INVOICES}, {sql.CUSTOMERS}
+SELECT cast(invoiceNumber AS varchar) AS invoiceNumber, invoiceDate,
+  cast(customerNumber AS varchar) AS customerNumber, gross AS invoiceGrossValue,
+  currency AS invoiceCurrencyCode, customerKey
+FROM invoices JOIN parties ON c_custkey = customerNumber""")
+def ar_invoice_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoice lines exported as CSV under the ERP's headers, read and consolidated."""
+    headers = standins.invoice_headers(spark, sf_dir)
+    headers = headers.join(standins.ship_to(spark, sf_dir), "customerNumber")
+    lines = headers.join(standins.invoice_lines(spark, sf_dir), "invoiceNumber")
+    path = new_scratch_path(spark, "invoice-file")
+    names = [F.col(new).alias(old) for old, new in files.RECEIVABLE_HEADERS.items()]
+    files.write_csv(lines.select(*names, "lineId"), path)
+    schema = ", ".join(f"`{c}` string" for c in files.RECEIVABLE_HEADERS) + ", lineId bigint"
+    stored = files.read_csv(spark, path, StructType.fromDDL(schema))
+    return consolidate_lines(files.receivable_lines(stored, ["lineId"]), ["lineId"])
+
+
 # Parameters of the earlier pricing forms: a 0.6 % cost makes the cap bind.
 _WHOLE_TERM = CustomerParams(
     exchange_rate="160", cost_of_finance_per_day="0.6", max_discount="9", share_of_savings="40",

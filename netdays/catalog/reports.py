@@ -11,6 +11,7 @@ from netdays.catalog.receivable import ar_offers
 from netdays.operators.updates import update_column, updates_without_row
 from netdays.params import SAMPLE_CUSTOMER, SAMPLE_SUPPLIER
 from netdays.plans import reports
+from netdays.session import new_scratch_path
 from netdays.sources import standins
 
 _AR = sql.receivable_offers(SAMPLE_CUSTOMER)
@@ -39,6 +40,28 @@ def offer_report_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""
+WITH {sql.CUSTOMERS}
+SELECT invoiceNumber, name, creditAmount,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'accepted' WHEN '5-LOW' THEN 'rejected'
+       ELSE 'not_sent' END AS offerStatus
+FROM (SELECT o.invoiceNumber, p.c_name AS name, o.creditAmount FROM ({_AR}) o
+      LEFT JOIN parties p ON p.customerKey = o.customerKey)
+JOIN orders ON o_orderkey = invoiceNumber""")
+def offer_report_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report after decisions, exported as CSV by status and read back."""
+    offers = ar_offers(spark, sf_dir).select(
+        "invoiceNumber", "customerKey", "creditAmount", F.lit("not_sent").alias("offerStatus")
+    )
+    decided = update_column(offers, _decisions(spark, sf_dir), "invoiceNumber", "offerStatus")
+    report = reports.customer_offer_report(decided, standins.customers(spark, sf_dir))
+    columns = ("invoiceNumber", "name", "creditAmount", "offerStatus")
+    path = new_scratch_path(spark, "report")
+    reports.export_by_status(report.select(*columns), path)
+    schema = "invoiceNumber bigint, name string, creditAmount decimal(20,2), offerStatus string"
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
 @query(f"""
 WITH {sql.CUSTOMERS}
 SELECT o_custkey AS customerNumber, o_orderkey AS invoiceNumber, cast(o_orderdate AS date) AS invoiceDate,

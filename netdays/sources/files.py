@@ -64,14 +64,19 @@ def write_csv(rows: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     rows.write.partitionBy(*partition_by).option("header", True).csv(path)
 
 
-def canonical(rows: DataFrame, headers: dict[str, str]) -> DataFrame:
-    """The columns a header map names, under their canonical names."""
-    return rows.select(*[F.col(f"`{old}`").alias(new) for old, new in headers.items()])
+def canonical(
+    rows: DataFrame, headers: dict[str, str], keep: Sequence[str] = ()
+) -> DataFrame:
+    """The columns a header map names, under their canonical names, and some others."""
+    return rows.select(*[F.col(f"`{old}`").alias(new) for old, new in headers.items()], *keep)
+
 
+def receivable_lines(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """An invoice file's lines with customer key, typed like the ERP extract.
 
-def receivable_lines(rows: DataFrame) -> DataFrame:
-    """An invoice file's lines with customer key, typed like the ERP extract."""
-    named = canonical(rows, RECEIVABLE_HEADERS).withColumns(
+    ``keep`` names further columns, such as the one that orders the lines.
+    """
+    named = canonical(rows, RECEIVABLE_HEADERS, keep).withColumns(
         {
             "invoiceDate": F.col("invoiceDate").cast("date"),
             "customerNumber": keys.number_text(F.col("customerNumber")),

@@ -61,7 +61,7 @@ class Ledger:
     def create(self) -> None:
         """Empty tables where there are none."""
         for table in TABLES:
-            self._write(self.spark.createDataFrame([], self.stored_schema(table)), table, "ignore")
+            self._write(fit(self.spark.range(0), self.stored_schema(table)), table, "ignore")
 
     def read(self, table: str) -> DataFrame:
         return self.spark.read.schema(self.stored_schema(table)).parquet(self.path(table))

@@ -35,7 +35,8 @@ def invoice_lines(relations: Relations, since: dt.date) -> DataFrame:
     """Invoice lines from a day on, with customer number and key.
 
     The transaction-line relation gives no column and could only repeat rows
-    that are summed later, so it is not joined.
+    that are summed later, so it is not joined. Headers get their customer
+    number first, so that the lines are joined, and moved, only once.
     """
     lines = relations("invoice_lines").filter(dates.on_or_after(F.col("invoice_date"), since))
     headers = relations("ra_customer_trx_all").select("customer_trx_id", "sold_to_customer_id")
@@ -43,10 +44,8 @@ def invoice_lines(relations: Relations, since: dt.date) -> DataFrame:
         F.col("customer_id").alias("sold_to_customer_id"),
         keys.number_text(F.col("customer_number")).alias("customerNumber"),
     )
-    joined = lines.join(headers, "customer_trx_id", "left").join(
-        customers, "sold_to_customer_id", "left"
-    )
-    return joined.select(
+    numbers = headers.join(customers, "sold_to_customer_id", "left").drop("sold_to_customer_id")
+    return lines.join(numbers, "customer_trx_id", "left").select(
         F.col("invoice_number").alias("invoiceNumber"),
         F.col("customer_trx_line_id").alias("lineId"),
         F.col("invoice_date").cast("date").alias("invoiceDate"),

@@ -99,6 +99,7 @@ def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             + F.col("l_partkey") * 10**7
             + F.col("l_suppkey") % 10**7
         ).alias("lineId"),
+        F.col("l_partkey").alias("partKey"),
     )
 
 
@@ -657,13 +658,32 @@ def receivable_relations(spark: SparkSession, sf_dir: str) -> Relations:
         F.col("invoiceGrossValue").alias("invoice_gross_value"),
         currency(F.col("invoiceNumber")).alias("invoice_currency_code"),
         F.col("shipTo").alias("ship_to_locations1"),
-        F.lit(None).cast("bigint").alias("inventory_item_id"),
-        F.lit(None).cast("bigint").alias("organization_id"),
+        F.col("partKey").alias("inventory_item_id"),
+        F.lit(1).cast("bigint").alias("organization_id"),
     )
+    part = table(spark, sf_dir, "part")
     headers_only = orders.select(
         F.col("o_orderkey").alias("customer_trx_id"), F.col("o_custkey").alias("sold_to_customer_id")
     )
-    own = {"invoice_lines": lines, "ra_customer_trx_all": headers_only}
+    own = {
+        "invoice_lines": lines,
+        "ra_customer_trx_all": headers_only,
+        "cst_item_cost_type_v": part.select(
+            F.col("p_partkey").alias("inventory_item_id"),
+            F.lit(1).cast("bigint").alias("organization_id"),
+            F.lit(2).alias("cost_type_id"),
+            F.when(F.col("p_brand") == "Brand#1", F.lit(0).cast(money.AMOUNT))
+            .otherwise(F.col("p_retailprice").cast(money.AMOUNT))
+            .alias("item_cost"),
+        ),
+        "mtl_descr_element_values_v": part.select(
+            F.col("p_partkey").alias("inventory_item_id"),
+            F.expr(
+                "stack(3, 'Product Code', p_name, 'Size', cast(p_size AS string),"
+                " 'Sub Variant', p_type) AS (element_name, element_value)"
+            ),
+        ),
+    }
     return lambda name: own[name] if name in own else master(name)
 
 
