@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # The phrase an eligible term holds, and the shortest useful term.
 DAYS_NET = "days net"
 MIN_TERM_DAYS = 7
+# Beyond this a number in the terms is taken for something else.
+MAX_TERM_DAYS = 9999
 
 
 def is_days_net(terms: Column) -> Column:
@@ -15,14 +17,19 @@ def is_days_net(terms: Column) -> Column:
     return F.coalesce(F.lower(terms).contains(DAYS_NET), F.lit(False))
 
 
+def _as_days(text: Column) -> Column:
+    days = text.try_cast("int")
+    return F.when(days.between(0, MAX_TERM_DAYS), days)
+
+
 def leading_days(terms: Column) -> Column:
-    """The first blank-separated word as a whole number, else null."""
-    return F.get(F.split(terms, " ", 2), 0).try_cast("int")
+    """The first blank-separated word as a number of days, else null."""
+    return _as_days(F.get(F.split(terms, " ", 2), 0))
 
 
 def first_digits(terms: Column) -> Column:
     """The first run of digits anywhere in the text, else null."""
-    return F.nullif(F.regexp_extract(terms, r"\d+", 0), F.lit("")).try_cast("int")
+    return _as_days(F.nullif(F.regexp_extract(terms, r"\d+", 0), F.lit("")))
 
 
 def long_enough(days: Column) -> Column:

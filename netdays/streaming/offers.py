@@ -55,8 +55,12 @@ def offer_stream(
     params: CustomerParams,
     checkpoint: str,
     offered_elsewhere: DataFrame | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Start appending offers for arriving invoice headers; stops when all is read.
+    """Start appending offers for arriving invoice headers.
+
+    Runs on, one batch per interval, with ``every`` such as ``"5 minutes"``;
+    without it the query stops when all that is there has been read.
 
     ``to_invoices`` consolidates a batch: its own lines, or its headers with
     lines from elsewhere, of which it should read only those of the batch. A
@@ -79,9 +83,7 @@ def offer_stream(
             "customerOfferId",
         )
 
-    return (
-        headers.writeStream.foreachBatch(append_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = headers.writeStream.foreachBatch(append_batch).option("checkpointLocation", checkpoint)
+    if every is not None:
+        return writer.trigger(processingTime=every).start()
+    return writer.trigger(availableNow=True).start()

@@ -44,18 +44,18 @@ def test_invoice_key_is_null_when_a_part_is(spark):
     assert got == ["5_A-1", None, None]
 
 
-TERMS = ["30 Days Net", "30 days net", "Immediate", "7 Days Net", None, "Net 30 Days Net", "Days Net", "x 9"]
+TERMS = ["30 Days Net", "30 days net", "Immediate", "7 Days Net", None, "Net 30 Days Net", "Days Net", "x 9", "123456 Days Net"]
 
 
 def test_terms(spark):
     assert column(spark, TERMS, "string", lambda x: terms.is_days_net(x)) == [
-        True, True, False, True, False, True, True, False,
+        True, True, False, True, False, True, True, False, True,
     ]
     assert column(spark, TERMS, "string", lambda x: terms.leading_days(x)) == [
-        30, 30, None, 7, None, None, None, None,
+        30, 30, None, 7, None, None, None, None, None,
     ]
     assert column(spark, TERMS, "string", lambda x: terms.first_digits(x)) == [
-        30, 30, None, 7, None, 30, None, 9,
+        30, 30, None, 7, None, 30, None, 9, None,
     ]
     assert column(spark, [7, 8, None], "int", lambda x: terms.long_enough(x)) == [False, True, None]
 
