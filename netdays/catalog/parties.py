@@ -62,8 +62,8 @@ def ar_customer_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 SELECT customerKey, min(customerNumber) AS customerNumber, min(name) AS name, min(email) AS email,
-  min(phone) AS phone, min(customerType) AS customerType, min(creditTerms) AS creditTerms,
-  min(location) AS location
+  min(phone) AS phone, min(customerType) AS customerType,
+  arg_min(creditTerms, cast(siteUseId AS bigint)) AS creditTerms, min(location) AS location
 FROM ({SITE_SQL}) GROUP BY customerKey""")
 def ar_customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer key; the uses of a site differ in their terms only."""

@@ -19,7 +19,8 @@ _FIRST_AS_OF = dt.date(2000, 2, 29)
 
 _FRESH = f"""
 master AS (
-  SELECT customerKey, min(creditTerms) AS creditTerms FROM ({SITE_SQL}) GROUP BY customerKey
+  SELECT customerKey, arg_min(creditTerms, cast(siteUseId AS bigint)) AS creditTerms
+  FROM ({SITE_SQL}) GROUP BY customerKey
 ),
 fresh AS (
   SELECT i.invoiceNumber, i.invoiceDate, i.currency, i.gross, m.customerKey, 0 AS customerId,

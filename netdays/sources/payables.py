@@ -245,9 +245,10 @@ def supplier_rows(extract: DataFrame) -> DataFrame:
 def supplier_master(extract: DataFrame) -> DataFrame:
     """One row per vendor, so that a join to invoices keeps their count.
 
-    No distinct comes first: repeats do not change a minimum.
+    Only contacts differ within a vendor, so they give the order. No distinct
+    comes first: repeats do not change a minimum.
     """
     firsts = [c for c in SUPPLIER_COLUMNS if c != "vendorId"]
     return one_row_per_party(
-        extract.select(*SUPPLIER_COLUMNS), "vendorId", firsts, ["supplierName", "creditTerms", "phone", "email"]
+        extract.select(*SUPPLIER_COLUMNS), "vendorId", firsts, ["phone", "email"]
     )

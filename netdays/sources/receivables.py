@@ -413,7 +413,7 @@ def _extract_columns() -> dict[str, Column]:
         "customerKey": keys.party_key(F.col("hcsu_location"), number),
         "creationDate": dates.day_month_year(F.col("hp_creation_date")),
         "accountType": codes.decode(F.col("hca_customer_type"), codes.ACCOUNT_TYPES),
-        "siteUseId": F.col("hcsu_site_use_id").cast("string"),
+        "siteUseId": keys.number_text(F.col("hcsu_site_use_id")),
         "siteUse": codes.byte_prefix(F.col("siteUseMeaning"), 8),
         "creditCheck": codes.decode(F.col("hcp_credit_checking"), codes.YES_NO),
     } | {new: F.col(old) for new, old in _PASSED.items()}
@@ -493,10 +493,10 @@ def customer_master(
 ) -> DataFrame:
     """The eight canonical columns, one row per customer key.
 
-    Rows of a key are ranked by their own text, as the extract has no order. No
-    distinct comes first: repeats do not change a minimum.
+    The first row of a key is that of its lowest site use id. No distinct comes
+    first: repeats do not change a minimum.
     """
     firsts = [c for c in CUSTOMER_COLUMNS if c != "customerKey"]
-    order = ["customerNumber", "location", "creditTerms", "name", "email", "phone", "customerType"]
-    rows = customer_rows(relations, customer_numbers, CUSTOMER_COLUMNS)
-    return one_row_per_party(rows, "customerKey", firsts, order)
+    rows = customer_rows(relations, customer_numbers, [*CUSTOMER_COLUMNS, "siteUseId"])
+    ranked = rows.withColumn("siteUseId", F.col("siteUseId").try_cast("bigint"))
+    return one_row_per_party(ranked, "customerKey", firsts, ["siteUseId"])
