@@ -49,25 +49,19 @@ def append_checked(
     come from it.
     """
     required = [c for c in schemas.required_columns(TABLES[table]) if c != id_column]
-    present = [c for c in required if c in rows.columns]
-    staged = checkpointed(quality.with_reject_reason(rows, quality.not_null_rules(present)))
+    absent = set(required) - set(rows.columns)
+    if absent:
+        raise ValueError(f"{table} needs {sorted(absent)}")
+    staged = checkpointed(quality.with_reject_reason(rows, quality.not_null_rules(required)))
     good = F.col("rejectReason").isNull()
     accepted, rejected = quality.stage_counts(staged, {"good": good, "bad": ~good}).head()
     if rejected:
-        add_rejects(ledger, table, quality.rejected(staged))
+        ledger.append_rejects(table, quality.rejected(staged))
     if accepted:
         ledger.append(table, quality.accepted(staged), fixed=True)
     return accepted, rejected
 
 
-def add_rejects(ledger: Ledger, table: str, rows: DataFrame) -> None:
-    """Rejects as JSON text beside the ledger, whatever their columns."""
-    body = F.to_json(F.struct(*[c for c in rows.columns if c != "rejectReason"]))
-    rows.select("rejectReason", body.alias("row")).write.mode("append").parquet(
-        f"{ledger.root}/rejects/{table}"
-    )
-
-
 def ensure_customers(ledger: Ledger, invoices: DataFrame, relations: Relations) -> int:
     """Load the customers of invoices whose key the ledger does not know.
 
@@ -89,6 +83,28 @@ def ensure_customers(ledger: Ledger, invoices: DataFrame, relations: Relations)
     return loaded
 
 
+def offer_receivables(
+    ledger: Ledger, new: DataFrame, customers: DataFrame, params: CustomerParams
+) -> tuple[int, int]:
+    """Price and append new invoices, which are read twice and so should be written.
+
+    Those on terms that cannot be read are put aside with the other rejects.
+    """
+    odd = checkpointed(
+        receivable_plans.unparsable_terms(new, customers).withColumn(
+            "rejectReason", F.lit("creditTerms not readable")
+        )
+    )
+    unreadable = odd.count()
+    if unreadable:
+        ledger.append_rejects("customerOffers", odd)
+    offers = receivable_plans.receivable_offers(new, customers, params).withColumn(
+        "offerStatus", F.lit(schemas.NOT_SENT)
+    )
+    inserted, rejected = append_checked(ledger, "customerOffers", offers, "customerOfferId")
+    return inserted, rejected + unreadable
+
+
 def run_receivables(
     ledger: Ledger, relations: Relations, params: CustomerParams, as_of: dt.date
 ) -> RunResult:
@@ -98,21 +114,10 @@ def run_receivables(
     invoices = written(consolidate_lines(lines, receivable_sources.LINE_ORDER), "receivables")
     new_parties = ensure_customers(ledger, invoices, relations)
 
-    customers = ledger.read("customers")
     held = offered_among(invoices, ledger.read("customerOffers"), "invoiceNumber")
-    new = not_yet_offered(invoices, held, "invoiceNumber")
-    odd = receivable_plans.unparsable_terms(new, customers).withColumn(
-        "rejectReason", F.lit("creditTerms not readable")
-    )
-    offers = receivable_plans.receivable_offers(new, customers, params).withColumn(
-        "offerStatus", F.lit(schemas.NOT_SENT)
-    )
-    odd = checkpointed(odd)
-    inserted, rejected = append_checked(ledger, "customerOffers", offers, "customerOfferId")
-    unreadable = odd.count()
-    if unreadable:
-        add_rejects(ledger, "customerOffers", odd)
-    return RunResult(since, invoices.count(), new_parties, inserted, rejected + unreadable)
+    new = written(not_yet_offered(invoices, held, "invoiceNumber"), "new-receivables")
+    inserted, rejected = offer_receivables(ledger, new, ledger.read("customers"), params)
+    return RunResult(since, invoices.count(), new_parties, inserted, rejected)
 
 
 def ensure_suppliers(ledger: Ledger, invoices: DataFrame, relations: Relations) -> int:

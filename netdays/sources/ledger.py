@@ -25,7 +25,17 @@ IDS = {
     "suppliers": "supplierId",
     "supplierPayment": "supplierPaymentId",
 }
+# What a row is known by where it was rejected and has no id.
+NATURAL_KEYS = {
+    "customers": "customerKey",
+    "customerOffers": "invoiceNumber",
+    "suppliers": "vendorId",
+    "supplierPayment": "invoiceUniqueKey",
+}
 BY_MONTH = ("customerOffers", "supplierPayment")
+REJECTS = StructType(
+    [StructField(c, schemas.TEXT) for c in ("rejectReason", "rejectKey", "row")]
+)
 MONTH = "invoiceMonth"
 
 
@@ -62,6 +72,7 @@ class Ledger:
         """Empty tables where there are none."""
         for table in TABLES:
             self._write(fit(self.spark.range(0), self.stored_schema(table)), table, "ignore")
+            fit(self.spark.range(0), REJECTS).write.mode("ignore").parquet(self.rejects_path(table))
 
     def read(self, table: str) -> DataFrame:
         return self.spark.read.schema(self.stored_schema(table)).parquet(self.path(table))
@@ -92,6 +103,24 @@ class Ledger:
             identified = identified.hint("rebalance")
         self._write(identified, table, "append")
 
+    def rejects_path(self, table: str) -> str:
+        return f"{self.root}/rejects/{table}"
+
+    def rejects(self, table: str) -> DataFrame:
+        return self.spark.read.schema(REJECTS).parquet(self.rejects_path(table))
+
+    def append_rejects(self, table: str, rows: DataFrame) -> None:
+        """Rows with a ``rejectReason`` as JSON text; those kept before are left out."""
+        body = F.to_json(F.struct(*[c for c in rows.columns if c != "rejectReason"]))
+        texts = rows.select(
+            "rejectReason",
+            F.col(NATURAL_KEYS[table]).cast("string").alias("rejectKey"),
+            body.alias("row"),
+        )
+        kept = self.rejects(table).select("rejectReason", "rejectKey")
+        new = texts.join(kept, ["rejectReason", "rejectKey"], "left_anti")
+        new.select(*REJECTS.names).write.mode("append").parquet(self.rejects_path(table))
+
     def write_snapshot(self, table: str, rows: DataFrame, path: str) -> Ledger:
         """Write an updated table to a fresh path; the new ledger reads it there.
 

@@ -9,15 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from netdays import schemas
 from netdays.operators.incremental import not_yet_offered, offered_among
 from netdays.params import CustomerParams
-from netdays.plans.receivables import receivable_offers
-from netdays.plans.runs import append_checked
+from netdays.plans.runs import offer_receivables
 from netdays.session import written
 from netdays.sources.ledger import Ledger
 
@@ -75,13 +72,7 @@ def offer_stream(
             if offered is not None:
                 held = offered_among(new, offered, "invoiceNumber")
                 new = not_yet_offered(new, held, "invoiceNumber")
-        offers = receivable_offers(to_invoices(new), customers, params)
-        append_checked(
-            ledger,
-            "customerOffers",
-            offers.withColumn("offerStatus", F.lit(schemas.NOT_SENT)),
-            "customerOfferId",
-        )
+        offer_receivables(ledger, written(to_invoices(new), "new-batch"), customers, params)
 
     writer = headers.writeStream.foreachBatch(append_batch).option("checkpointLocation", checkpoint)
     if every is not None:
