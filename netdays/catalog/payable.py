@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from netdays.catalog import query, sql
 from netdays.functions import keys
@@ -12,7 +13,8 @@ from netdays.operators.incremental import watermark
 from netdays.operators.lookups import membership_flag
 from netdays.params import SAMPLE_SUPPLIER
 from netdays.plans.payables import canonical_invoices, payable_offers
-from netdays.sources import payables, standins
+from netdays.session import new_scratch_path
+from netdays.sources import files, payables, standins
 
 
 @query(sql.payable_offers(SAMPLE_SUPPLIER))
@@ -75,6 +77,22 @@ def ap_invoice_base_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical_invoices(copies)
 
 
+@query(f"""
+WITH {sql.PAYABLES}
+SELECT DISTINCT invoiceUniqueKey, vendorId, invoiceNumber, invoiceDate,
+  cast(amount AS decimal(20,2)) AS invoiceGrossValue FROM payables""")
+def ap_invoice_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplier invoices exported as CSV under the ERP's headers, with repeats, and read."""
+    extract = standins.payable_invoices(spark, sf_dir).withColumnRenamed("amount", "invoiceGrossValue")
+    names = [F.col(new).alias(old) for old, new in files.PAYABLE_HEADERS.items()]
+    copies = extract.unionByName(extract.filter(F.col("returnFlag") == "R")).select(*names)
+    path = new_scratch_path(spark, "payable-file")
+    files.write_csv(copies, path)
+    schema = ", ".join(f"`{c}` string" for c in files.PAYABLE_HEADERS)
+    stored = files.read_csv(spark, path, StructType.fromDDL(schema))
+    return files.payable_invoices(stored)
+
+
 @query(f"""
 WITH {sql.PAYABLES}
 SELECT invoiceUniqueKey, vendorId, invoiceNumber, invoiceDate,

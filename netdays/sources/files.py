@@ -54,14 +54,20 @@ def read_csv(
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
-        .option("ignoreLeadingWhiteSpace", False)
         .csv(path)
     )
     return rows.withColumns({c: F.try_to_date(F.col(c), ISO_DATE) for c in dates})
 
 
 def write_csv(rows: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    rows.write.partitionBy(*partition_by).option("header", True).csv(path)
+    """CSV with a header; blanks around names and values are kept."""
+    (
+        rows.write.partitionBy(*partition_by)
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def canonical(

@@ -45,5 +45,5 @@ def test_only_without_a_name_a_folder_is_made():
 def test_written_rows_have_a_known_size(spark):
     rows = session.written(spark.range(1000).selectExpr("id", "id * 2 AS twice"), "rows")
     assert rows.count() == 1000
-    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     assert size < 100_000
