@@ -25,6 +25,12 @@ INVOICE_COLUMNS = (
     "invoiceCurrencyCode", "customerKey",
 )
 LINE_ORDER = ("lineId",)
+# Relations worth staging when they come from a database: small, or read repeatedly.
+STAGED = (
+    "ar_lookups", "ra_terms_tl", "ar_collectors", "hz_cust_profile_classes",
+    "oe_price_lists_active_v", "oe_transaction_types_tl", "ra_salesreps_all",
+    "jtf_rs_defresources_v", "hz_relationships", "hz_contact_points", "hz_cust_account_roles",
+)
 
 CUSTOMER_COLUMNS = (
     "customerNumber", "name", "email", "phone", "customerType", "creditTerms", "location", "customerKey",

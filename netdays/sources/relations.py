@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from netdays.session import written
+
 Relations = Callable[[str], DataFrame]
 
 
@@ -70,6 +72,24 @@ def jdbc_relations(spark: SparkSession, connection: JdbcConnection) -> Relations
     return lambda name: spark.read.format("jdbc").options(**connection.options(name)).load()
 
 
+def staged_relations(relations: Relations, names: Sequence[str]) -> Relations:
+    """Relations of which the named ones are copied to the scratch folder on first use.
+
+    For a database: a relation that several look-ups need is then fetched once,
+    and the optimizer learns the size of small ones and broadcasts those.
+    """
+    copies: dict[str, DataFrame] = {}
+
+    def read(name: str) -> DataFrame:
+        if name not in names:
+            return relations(name)
+        if name not in copies:
+            copies[name] = written(relations(name), name)
+        return copies[name]
+
+    return read
+
+
 def prefixed(relation: DataFrame, alias: str, columns: Sequence[str]) -> DataFrame:
     """Only these columns, as ``alias_column``, so that joined names stay apart."""
     return relation.select(*[relation[c].alias(f"{alias}_{c}") for c in columns])

@@ -599,13 +599,10 @@ def customer_relations(spark: SparkSession, sf_dir: str) -> Relations:
                 F.col("o_custkey").alias("cust_account_id"),
                 first_use.alias("acct_site_use_id"),
             ),
-            "ar_lookups": spark.createDataFrame(
-                [
-                    ("SITE_USE_CODE", "BILL_TO", "Bill To Site"),
-                    ("SITE_USE_CODE", "SHIP_TO", "Ship To Site"),
-                    ("CODE_STATUS", "BILL_TO", "Other"),
-                ],
-                "lookup_type string, lookup_code string, meaning string",
+            "ar_lookups": spark.range(1).selectExpr(
+                "stack(3, 'SITE_USE_CODE', 'BILL_TO', 'Bill To Site',"
+                " 'SITE_USE_CODE', 'SHIP_TO', 'Ship To Site', 'CODE_STATUS', 'BILL_TO', 'Other')"
+                " AS (lookup_type, lookup_code, meaning)"
             ),
             "oe_price_lists_active_v": nation.select(
                 nations.cast("bigint").alias("price_list_id"), F.col("n_name").alias("price_list")

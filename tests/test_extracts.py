@@ -6,7 +6,7 @@ from decimal import Decimal as D
 from erp import relations
 
 from netdays.sources import payables, receivables
-from netdays.sources.relations import JdbcConnection, JdbcSplit
+from netdays.sources.relations import JdbcConnection, JdbcSplit, staged_relations
 
 DAY = dt.datetime(2024, 1, 30, 8)
 
@@ -243,3 +243,19 @@ def test_jdbc_options():
     )
     assert "password" not in options
     assert "partitionColumn" not in connection.options("ar_customers")
+
+
+def test_staged_relations_are_fetched_once(spark):
+    erp, fetched = customer_erp(spark), []
+
+    def counting(name):
+        fetched.append(name)
+        return erp(name)
+
+    staged = staged_relations(counting, receivables.STAGED)
+    rows = receivables.customer_extract(staged)
+    assert rows.exceptAll(receivables.customer_extract(erp)).isEmpty()
+    assert fetched.count("hz_contact_points") == fetched.count("hz_relationships") == 1
+    assert fetched.count("hz_parties") > 1
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text
