@@ -15,6 +15,8 @@ from netdays.params import SAMPLE_SUPPLIER
 from netdays.plans.payables import canonical_invoices, payable_offers
 from netdays.session import new_scratch_path
 from netdays.sources import files, payables, standins
+from netdays.sources.ledger import Ledger
+from netdays.streaming.offers import file_stream, supplier_offer_stream
 
 
 @query(sql.payable_offers(SAMPLE_SUPPLIER))
@@ -27,6 +29,33 @@ def ap_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""
+SELECT invoiceUniqueKey, invoiceDate, vendorId, invoiceNumber, supplierId, creditAmount, discountRate,
+  cast(discountPercentage AS decimal(14,4)) AS discountPercentage, originalPaymentDate,
+  offeredPaymentDate, 'not_sent' AS offerStatus
+FROM ({sql.payable_offers(SAMPLE_SUPPLIER)})""")
+def streaming_payables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitems as a file stream of supplier invoices, priced into a ledger."""
+    offered = standins.offered_payables(spark, sf_dir)
+    since = watermark(offered, standins.AS_OF)
+    stored = standins.table(spark, sf_dir, "lineitem").schema
+    feed = file_stream(spark, sf_dir, stored, pattern="lineitem.parquet")
+    ledger = Ledger(spark, new_scratch_path(spark, "streamed-ledger"))
+    supplier_offer_stream(
+        standins.as_payables(feed, since, standins.AS_OF),
+        standins.suppliers(spark, sf_dir),
+        ledger,
+        SAMPLE_SUPPLIER,
+        new_scratch_path(spark, "stream-state"),
+        offered_elsewhere=offered,
+    ).awaitTermination()
+    return ledger.read("supplierPayment").select(
+        "invoiceUniqueKey", "invoiceDate", "vendorId", "invoiceNumber", "supplierId",
+        "creditAmount", "discountRate", "discountPercentage", "originalPaymentDate",
+        "offeredPaymentDate", "offerStatus",
+    )
+
+
 @query(f"""
 WITH {sql.PAYABLES}
 SELECT vendorId, invoiceNumber, invoiceDate, glDate, currency, tax, amount,

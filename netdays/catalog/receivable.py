@@ -18,7 +18,7 @@ from netdays.plans.receivables import receivable_offers
 from netdays.session import new_scratch_path
 from netdays.sources import files, receivables, standins
 from netdays.sources.ledger import Ledger
-from netdays.streaming.offers import file_stream, offer_stream
+from netdays.streaming.offers import customer_offer_stream, file_stream
 
 
 def new_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,7 +232,7 @@ def streaming_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
         invoices = consolidate_to_headers(batch, lines)
         return standins.with_customer_key(invoices, batch.sparkSession, sf_dir)
 
-    offer_stream(
+    customer_offer_stream(
         headers,
         to_invoices,
         standins.customers(spark, sf_dir),

@@ -131,6 +131,17 @@ def ensure_suppliers(ledger: Ledger, invoices: DataFrame, relations: Relations)
     return loaded
 
 
+def offer_payables(
+    ledger: Ledger, invoices: DataFrame, suppliers: DataFrame, params: SupplierParams
+) -> tuple[int, int]:
+    """Price and append the canonical invoices the ledger has no offer for."""
+    held = offered_among(invoices, ledger.read("supplierPayment"), "invoiceUniqueKey")
+    offers = payable_plans.payable_offers(invoices, suppliers, held, params).withColumn(
+        "offerStatus", F.lit(schemas.NOT_SENT)
+    )
+    return append_checked(ledger, "supplierPayment", offers, "supplierPaymentId")
+
+
 def run_payables(
     ledger: Ledger,
     relations: Relations,
@@ -147,9 +158,5 @@ def run_payables(
     invoices = written(payable_plans.canonical_invoices(extract, with_gl_date=True), "payables")
     new_parties = ensure_suppliers(ledger, invoices, relations)
 
-    offered = offered_among(invoices, ledger.read("supplierPayment"), "invoiceUniqueKey")
-    offers = payable_plans.payable_offers(
-        invoices, ledger.read("suppliers"), offered, params
-    ).withColumn("offerStatus", F.lit(schemas.NOT_SENT))
-    inserted, rejected = append_checked(ledger, "supplierPayment", offers, "supplierPaymentId")
+    inserted, rejected = offer_payables(ledger, invoices, ledger.read("suppliers"), params)
     return RunResult(since, invoices.count(), new_parties, inserted, rejected)

@@ -38,7 +38,7 @@ class JdbcConnection:
     url: str
     driver: str
     user: str | None = None
-    password: str | None = None
+    password: str | None = field(default=None, repr=False)
     fetch_size: int = 10_000
     tables: Mapping[str, str] = field(default_factory=dict)
     splits: Mapping[str, JdbcSplit] = field(default_factory=dict)

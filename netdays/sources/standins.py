@@ -153,11 +153,17 @@ def payable_invoices(
     gl_from: dt.date | None = None,
     gl_to: dt.date | None = None,
 ) -> DataFrame:
-    """Supplier invoices as the ERP view gives them; the GL date is 3 days later.
+    """Supplier invoices as the ERP view gives them, of a GL window.
 
     The window is put on the stored ship date, so that it reaches the scan.
     """
-    lines = table(spark, sf_dir, "lineitem")
+    return as_payables(table(spark, sf_dir, "lineitem"), gl_from, gl_to)
+
+
+def as_payables(
+    lines: DataFrame, gl_from: dt.date | None = None, gl_to: dt.date | None = None
+) -> DataFrame:
+    """Lineitems as supplier invoices; the GL date is 3 days after the ship date."""
     shift = dt.timedelta(days=3)
     if gl_from is not None:
         lines = lines.filter(F.col("l_shipdate") >= F.lit(gl_from - shift))

@@ -1,6 +1,6 @@
-"""Receivable offers fed continuously: each micro-batch runs the batch plan.
+"""Offers fed continuously: each micro-batch runs the batch plan.
 
-Exactly once by invoice number: a batch leaves out what the ledger already
+Exactly once by invoice key: a batch leaves out what the ledger already
 holds, so a batch that is replayed after a failure adds nothing twice.
 """
 
@@ -13,8 +13,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from netdays.operators.incremental import not_yet_offered, offered_among
-from netdays.params import CustomerParams
-from netdays.plans.runs import offer_receivables
+from netdays.params import CustomerParams, SupplierParams
+from netdays.plans.payables import canonical_invoices
+from netdays.plans.runs import offer_payables, offer_receivables
 from netdays.session import written
 from netdays.sources.ledger import Ledger
 
@@ -44,7 +45,26 @@ def without_repeats(stream: DataFrame, key: str, time: str, delay: str) -> DataF
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
-def offer_stream(
+def _start(
+    stream: DataFrame,
+    append: Callable[[DataFrame], object],
+    checkpoint: str,
+    every: str | None,
+) -> StreamingQuery:
+    """Run ``append`` on each micro-batch.
+
+    With ``every``, such as ``"5 minutes"``, the query runs on, one batch per
+    interval; without it, it stops when all that is there has been read.
+    """
+    writer = stream.writeStream.foreachBatch(lambda batch, _: append(batch)).option(
+        "checkpointLocation", checkpoint
+    )
+    if every is not None:
+        return writer.trigger(processingTime=every).start()
+    return writer.trigger(availableNow=True).start()
+
+
+def customer_offer_stream(
     headers: DataFrame,
     to_invoices: Callable[[DataFrame], DataFrame],
     customers: DataFrame,
@@ -54,10 +74,7 @@ def offer_stream(
     offered_elsewhere: DataFrame | None = None,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Start appending offers for arriving invoice headers.
-
-    Runs on, one batch per interval, with ``every`` such as ``"5 minutes"``;
-    without it the query stops when all that is there has been read.
+    """Append offers for arriving customer invoices.
 
     ``to_invoices`` consolidates a batch: its own lines, or its headers with
     lines from elsewhere, of which it should read only those of the batch. A
@@ -66,7 +83,7 @@ def offer_stream(
     """
     ledger.create()
 
-    def append_batch(batch: DataFrame, _batch_id: int) -> None:
+    def append(batch: DataFrame) -> None:
         new = written(batch.distinct(), "batch")
         for offered in (ledger.read("customerOffers"), offered_elsewhere):
             if offered is not None:
@@ -74,7 +91,26 @@ def offer_stream(
                 new = not_yet_offered(new, held, "invoiceNumber")
         offer_receivables(ledger, written(to_invoices(new), "new-batch"), customers, params)
 
-    writer = headers.writeStream.foreachBatch(append_batch).option("checkpointLocation", checkpoint)
-    if every is not None:
-        return writer.trigger(processingTime=every).start()
-    return writer.trigger(availableNow=True).start()
+    return _start(headers, append, checkpoint, every)
+
+
+def supplier_offer_stream(
+    extract: DataFrame,
+    suppliers: DataFrame,
+    ledger: Ledger,
+    params: SupplierParams,
+    checkpoint: str,
+    offered_elsewhere: DataFrame | None = None,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Append offers for arriving supplier invoices, shaped like the ERP extract."""
+    ledger.create()
+
+    def append(batch: DataFrame) -> None:
+        new = written(canonical_invoices(batch, with_gl_date=True), "batch")
+        if offered_elsewhere is not None:
+            held = offered_among(new, offered_elsewhere, "invoiceUniqueKey")
+            new = not_yet_offered(new, held, "invoiceUniqueKey")
+        offer_payables(ledger, new, suppliers, params)
+
+    return _start(extract, append, checkpoint, every)

@@ -6,9 +6,9 @@ from decimal import Decimal as D
 from pyspark.sql import functions as F
 
 from netdays.operators.consolidate import consolidate_to_headers
-from netdays.params import SAMPLE_CUSTOMER
+from netdays.params import SAMPLE_CUSTOMER, SAMPLE_SUPPLIER
 from netdays.sources.ledger import Ledger
-from netdays.streaming.offers import file_stream, offer_stream, without_repeats
+from netdays.streaming.offers import customer_offer_stream, file_stream, supplier_offer_stream, without_repeats
 
 HEADER = (
     "invoiceNumber string, invoiceDate date, invoiceTime timestamp, customerKey string,"
@@ -38,7 +38,7 @@ def test_stream_in_several_batches_and_a_replay(spark, tmp_path):
 
     def run(state):
         stream = file_stream(spark, feed, spark.createDataFrame([], HEADER).schema, files_per_batch=1)
-        query = offer_stream(
+        query = customer_offer_stream(
             stream, lambda batch: consolidate_to_headers(batch, lines), customers, ledger,
             SAMPLE_CUSTOMER, str(tmp_path / state), offered_elsewhere=offered,
         )
@@ -70,3 +70,28 @@ def test_repeats_within_a_delay(spark, tmp_path):
     )
     query.awaitTermination()
     assert sorted(r.invoiceNumber for r in spark.read.parquet(out).collect()) == ["1", "2"]
+
+
+def test_supplier_stream_in_two_batches(spark, tmp_path):
+    feed, ledger = str(tmp_path / "feed"), Ledger(spark, str(tmp_path / "ledger"))
+    kind = (
+        "vendorId bigint, invoiceNumber string, invoiceDate date, glDate date, amount decimal(18,2),"
+        " currency string, rate decimal(10,4)"
+    )
+
+    def arrive(*numbers):
+        rows = [(5, n, dt.date(2024, 3, 1), dt.date(2024, 3, 4), D("10.00"), "KES", None) for n in numbers]
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(feed)
+
+    suppliers = spark.createDataFrame(
+        [(5, 50, "Net 30 Days Net")], "vendorId bigint, supplierId bigint, creditTerms string"
+    )
+    offered = spark.createDataFrame([("5_C",)], "invoiceUniqueKey string")
+    arrive("A", "A", "B", "C")
+    for expected in (["A", "B"], ["A", "B", "D"]):
+        stream = file_stream(spark, feed, spark.createDataFrame([], kind).schema)
+        supplier_offer_stream(
+            stream, suppliers, ledger, SAMPLE_SUPPLIER, str(tmp_path / "state"), offered_elsewhere=offered
+        ).awaitTermination()
+        assert sorted(r.invoiceNumber for r in ledger.read("supplierPayment").collect()) == expected
+        arrive("B", "D")
