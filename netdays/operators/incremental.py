@@ -27,7 +27,7 @@ def not_yet_offered(invoices: DataFrame, offered: DataFrame, key: str) -> DataFr
     An anti join keeps null keys and needs no distinct on the ledger side.
     """
     key_type = invoices.schema[key].dataType
-    return invoices.join(offered.select(F.col(key).cast(key_type).alias(key)), key, "left_anti")
+    return invoices.join(offered.select(F.col(key).try_cast(key_type).alias(key)), key, "left_anti")
 
 
 def offered_among(invoices: DataFrame, offered: DataFrame, key: str) -> DataFrame:
@@ -38,7 +38,7 @@ def offered_among(invoices: DataFrame, offered: DataFrame, key: str) -> DataFram
     then scanned but not shuffled for the anti join that follows.
     """
     key_type = invoices.schema[key].dataType
-    keys = offered.select(F.col(key).cast(key_type).alias(key))
+    keys = offered.select(F.col(key).try_cast(key_type).alias(key))
     return only_keys(keys, invoices.select(key), key)
 
 
@@ -51,7 +51,7 @@ def missing_parties(incoming: DataFrame, known: DataFrame, key: str) -> DataFram
 def only_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Rows whose key is in ``keys``; the key list may hold nulls and repeats."""
     key_type = rows.schema[key].dataType
-    return rows.join(keys.select(F.col(key).cast(key_type).alias(key)), key, "left_semi")
+    return rows.join(keys.select(F.col(key).try_cast(key_type).alias(key)), key, "left_semi")
 
 
 def complete_parties(known: DataFrame, fetched: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ def update_column(table: DataFrame, updates: DataFrame, key: str, column: str) -
     """
     new = (
         updates.filter(F.col(key).isNotNull())
-        .select(F.col(key).cast(table.schema[key].dataType).alias(key), F.col(column).alias("_new"))
+        .select(F.col(key).try_cast(table.schema[key].dataType).alias(key), F.col(column).alias("_new"))
         .groupBy(key)
         .agg(F.max("_new").alias("_new"))
     )
@@ -24,5 +24,5 @@ def update_column(table: DataFrame, updates: DataFrame, key: str, column: str) -
 
 def updates_without_row(table: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """Updates whose key the table does not hold."""
-    keys = table.select(F.col(key).cast(updates.schema[key].dataType).alias(key))
+    keys = table.select(F.col(key).try_cast(updates.schema[key].dataType).alias(key))
     return updates.join(keys, key, "left_anti")

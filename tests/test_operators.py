@@ -81,7 +81,7 @@ def test_watermark(spark):
 
 def test_watermark_day_brings_only_what_is_new(spark):
     invoices = spark.createDataFrame([(1, DAY), (2, DAY), (None, DAY)], "invoiceNumber bigint, d date")
-    offered = spark.createDataFrame([("1",), ("1",), (None,)], "invoiceNumber string")
+    offered = spark.createDataFrame([("1",), ("1",), (None,), ("no number",)], "invoiceNumber string")
     got = incremental.not_yet_offered(invoices, offered, "invoiceNumber")
     assert {r[0] for r in got.collect()} == {2, None}
 
@@ -283,11 +283,11 @@ def test_dense_ids(spark):
 
 def test_updates(spark):
     table = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "k bigint, s string")
-    change = spark.createDataFrame([("2", "z"), ("2", "c"), ("9", "q"), (None, "n")], "k string, s string")
+    change = spark.createDataFrame([("2", "z"), ("2", "c"), ("9", "q"), (None, "n"), ("x", "q")], "k string, s string")
     assert rows_of(updates.update_column(table, change, "k", "s").fillna("-"), "k", "s") == [
         (1, "a"), (2, "z"), (3, "-"),
     ]
-    assert {r.k for r in updates.updates_without_row(table, change, "k").collect()} == {"9", None}
+    assert {r.k for r in updates.updates_without_row(table, change, "k").collect()} == {"9", "x", None}
 
 
 def test_quality(spark):
