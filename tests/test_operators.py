@@ -17,6 +17,7 @@ from netdays.params import (
     CustomerParams,
     SupplierParams,
 )
+from netdays.plans import reports
 
 DAY = dt.date(2024, 1, 30)
 LINES = (
@@ -300,3 +301,31 @@ def test_quality(spark):
     parents = spark.createDataFrame([(1,), (None,)], "id int")
     assert rows_of(quality.orphans(rows, parents, "k", "id"), "k") == [(2,)]
     assert consolidate.repeated_keys(spark.createDataFrame([("p",), ("p",), ("q",)], "k string"), "k").collect()[0].n == 2
+
+
+def test_stable_id_depends_on_the_key_alone(spark):
+    rows = spark.range(0, 500, numPartitions=5).withColumn("k", F.concat(F.lit("k"), "id"))
+    first = rows_of(rows.select("k", ids.stable_id("k").alias("n")), "k", "n")
+    again = rows_of(rows.repartition(3).select("k", ids.stable_id("k").alias("n")), "k", "n")
+    assert first == again
+    assert len({n for _, n in first}) == 500
+
+
+def test_preview_and_types(spark):
+    rows = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "n int, s string")
+    assert [r.n for r in reports.preview(rows, ["n"], 2).collect()] == [1, 2]
+    assert reports.column_types(rows) == {"n": "int", "s": "string"}
+
+
+def test_joined_rows_prefer_the_invoice(spark):
+    invoices = spark.createDataFrame([(1, "i", 5)], "customerId int, name string, amount int")
+    customers = spark.createDataFrame([(1, "c", "e")], "customerId int, name string, email string")
+    got = reports.invoices_with_customer(invoices, customers, "customerId").head()
+    assert (got.name, got.email, got.amount) == ("i", "e", 5)
+
+
+def test_complete_parties_fills_absent_columns(spark):
+    known = spark.createDataFrame([("a", "x")], "customerKey string, phone string")
+    fetched = spark.createDataFrame([("b",)], "customerKey string")
+    got = incremental.complete_parties(known, fetched)
+    assert {tuple(r) for r in got.collect()} == {("a", "x"), ("b", None)}
