@@ -73,3 +73,40 @@ def local_components(count: int, left: np.ndarray, right: np.ndarray) -> np.ndar
             label = jumped
         if np.array_equal(before, label):
             return label
+
+
+def whole_units(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], rows: int) -> Iterator[pa.Table]:
+    """A sorted partition's rows in tables of at least ``rows`` rows that split no unit.
+
+    A unit is a run of rows with equal keys; callers bound the size of each.
+    """
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(x.num_rows for x in held) < rows:
+            continue
+        joined = pa.Table.from_batches(held)
+        starts = unit_starts(joined, keys)
+        if len(starts) > 1:
+            cut = int(starts[-1])
+            yield joined.slice(0, cut)
+            held = joined.slice(cut).combine_chunks().to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def unit_starts(rows: pa.Table, keys: tuple[str, ...]) -> np.ndarray:
+    """Where runs of equal keys start."""
+    changed = np.zeros(max(0, rows.num_rows - 1), bool)
+    for key in keys:
+        values = rows.column(key).to_numpy()
+        changed |= values[1:] != values[:-1]
+    return np.concatenate(([0], np.flatnonzero(changed) + 1)) if rows.num_rows else np.zeros(0, np.int64)
+
+
+def matrix(column) -> np.ndarray:
+    """An Arrow column of equally long lists as a matrix of doubles."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netdays.llm import langid, packing, piece_bpe, simhash
+from netdays.llm import itq, langid, packing, piece_bpe, posting_lists, simhash
 from netdays.llm.common import prepare, remainder, table, written  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_itq_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.near_components(table(spark, sf_dir, "embeddings"), itq.Settings(threshold=0.95))
+
+
 @query
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, budget=3)
@@ -67,3 +72,9 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.digests(table(spark, sf_dir, "documents"), piece_model())
+
+
+@query
+def op10_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return posting_lists.nearest(rows, rows.where("vec_id % 20 = 0"), k=20)
