@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netdays.llm import itq, langid, packing, piece_bpe, posting_lists, simhash
+from netdays.llm import itq, langid, packing, piece_bpe, posting_lists, simhash, suffixes
 from netdays.llm.common import prepare, remainder, table, written  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,12 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.digests(table(spark, sf_dir, "documents"), piece_model())
 
 
+@query
+def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated spans of at least 50 words; a document without any has no row."""
+    return suffixes.repeats(table(spark, sf_dir, "documents")).drop("text_class")
+
+
 @query
 def op10_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
