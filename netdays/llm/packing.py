@@ -32,6 +32,8 @@ from netdays.llm.common import texts, written
 WORDS = 250_000
 # Longest word that is remembered.
 SHORT = 64
+# Marks that often follow a word.
+MARKS = ".,;:!?%&*$#|"
 
 
 class WordTokenizer:
@@ -43,12 +45,34 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.model = self.tokenizer.model
+        # The model spells bytes as visible characters: those that are none, from 256 on.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.visible = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in shown)}
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def _encode(self, items: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(items, add_special_tokens=False)
-        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in found)]
+
+    def _new(self, words: list[str]) -> list[bytes]:
+        """Ids of new words. Letters and the marks that end them are apart for the tokenizer,
+        so letters that are lower case already go straight to its merges."""
+        cut = [(w, len(w.rstrip(MARKS))) for w in words]
+        plain = [0 < n and w[:n].isalpha() and w.islower() and w[n - 1] < "\u0100" and max(w) < "\u0100" for w, n in cut]
+        rest = [w if not p else w[n:] for (w, n), p in zip(cut, plain)]
+        odd = list({r for r in rest if r})
+        ids = dict(zip(odd, self._encode(odd))) | {"": b""}
+        out = []
+        for (w, n), p, r in zip(cut, plain, rest):
+            if p:
+                letters = w[:n] if w.isascii() else w[:n].encode().decode("latin-1").translate(self.visible)
+                found = [t.id for t in self.model.tokenize(letters)]
+                out.append(struct.pack(f"<{len(found)}I", *found) + ids[r])
+            else:
+                out.append(ids[r])
+        return out
 
     def _words(self, text: str) -> list[str] | None:
         """The words of a text; None if only the whole text can be encoded."""
@@ -75,7 +99,7 @@ class WordTokenizer:
         self.words.update(kept)
         missing = list(wanted - self.words.keys())
         long = {w for w in missing if len(w) > SHORT}
-        self.words.update(zip(missing, self._encode(missing)))
+        self.words.update(zip(missing, self._new(missing)))
         out = [
             b"".join(map(self.words.__getitem__, words)) if words is not None else self._encode([text])[0]
             for words, text in zip(split, batch)
@@ -131,9 +155,10 @@ def tokenized(docs: DataFrame, path: str, capacity: int, end: int) -> DataFrame:
 
 @dataclass(frozen=True)
 class Settings:
-    """Pieces longer than ``capacity / parts`` are long; they are cut into ``groups`` groups."""
+    """Pieces longer than ``capacity / p`` are long, for the ``p`` of ``parts`` that needs the
+    fewest sequences; they are cut into ``groups`` groups."""
 
-    parts: int = 8
+    parts: tuple[int, ...] = (2, 3, 4)
     groups: int = 64
     rounds: int = 2_000
 
@@ -254,8 +279,12 @@ class Plan:
 
 def plan(histogram: dict[int, int], capacity: int, settings: Settings = Settings()) -> Plan:
     """Places for as many pieces of each length as the histogram counts."""
+    plans = (_plan(histogram, capacity, max(1, capacity // parts), settings) for parts in settings.parts)
+    return min(plans, key=lambda p: p.sequences)
+
+
+def _plan(histogram: dict[int, int], capacity: int, border: int, settings: Settings) -> Plan:
     runs = sorted(((length, n) for length, n in histogram.items() if n and length), reverse=True)
-    border = max(1, capacity // settings.parts)
     groups = linear_groups([r for r in runs if r[0] > border], settings.groups)
     sizes, members = [], []
     for group in groups:  # groups that round to one size are one
