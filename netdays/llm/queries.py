@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netdays.llm import itq, langid, packing, piece_bpe, posting_lists, simhash, suffixes
+from netdays.llm import itq, langid, packing, piece_bpe, posting_lists, simhash, suffixes, surrogates
 from netdays.llm.common import prepare, remainder, table, written  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,6 +69,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replaced(docs, counted="n_entities")
+
+
 @query
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.digests(table(spark, sf_dir, "documents"), piece_model())
