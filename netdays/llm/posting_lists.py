@@ -34,7 +34,7 @@ class Settings:
     """The index is fitted on ``sample_rows`` vectors at most and has at most
     ``centroids`` centroids, which bounds what tasks hold; every vector is indexed."""
 
-    sample_rows: int = 32_768
+    sample_rows: int = 16_384
     centroids: int = 4_096
     list_size: int = 96
     replicas: int = 4
@@ -163,6 +163,12 @@ class Index:
         row, column = np.nonzero(taken)
         return row, order[row, column]
 
+    def in_steps(self, lists, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``lists`` (one of the methods here) of all rows, some at a time."""
+        step = max(32, 1_000_000 // len(self.centroids))
+        found = [(at, lists(rows[at:at + step])) for at in range(0, len(rows), step)]
+        return np.concatenate([at + r for at, (r, _) in found]), np.concatenate([h for _, (_, h) in found])
+
     def lists_for(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which lists each query searches: those within the ratio of its nearest centroid."""
         order, squared = self.search(queries, self.width)
@@ -187,7 +193,7 @@ def fit(sample: np.ndarray, longest: float, count: int, k: int, settings: Settin
     scores = queries[:, :-1] @ sample.T
     scores[np.arange(len(asked)), asked] = -np.inf
     true = np.argsort(-scores, axis=1, kind="stable")[:, : min(k, len(sample) - 1)]
-    row, held = index.lists_of(lifted)
+    row, held = index.in_steps(index.lists_of, lifted)
     to = _distances(queries, centroids)
     nearest = to.min(axis=1, keepdims=True)
     rank = np.argsort(np.argsort(to, axis=1), axis=1)
@@ -239,18 +245,21 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int, settings: Settings = Se
     def dealt(of: str):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = shared.value
-            step = max(32, 2_000_000 // len(index.centroids))
             for batch in batches:
-                for at in range(0, batch.num_rows, step):
-                    part = batch.slice(at, step)
-                    vector = matrix(part.column("vector"))
-                    if of == "posting":
-                        row, held = index.lists_of(index.lifted(vector))
-                    else:
-                        row, held = index.lists_for(np.concatenate([vector, np.zeros((len(vector), 1))], axis=1))
-                    taken = part.take(pa.array(row))
+                if not batch.num_rows:
+                    continue
+                vector = matrix(batch.column("vector"))
+                if of == "posting":
+                    row, held = index.in_steps(index.lists_of, index.lifted(vector))
+                else:
+                    row, held = index.in_steps(
+                        index.lists_for, np.concatenate([vector, np.zeros((len(vector), 1))], axis=1)
+                    )
+                for at in range(0, len(row), 10_000):  # a question goes to many lists
+                    taken = batch.take(pa.array(row[at:at + 10_000]))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(held), taken.column("vec_id"), taken.column("vector")], ["list", "vec_id", "vector"]
+                        [pa.array(held[at:at + 10_000]), taken.column("vec_id"), taken.column("vector")],
+                        ["list", "vec_id", "vector"],
                     )
 
         return run

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netdays.llm import itq, langid, packing, piece_bpe, posting_lists, simhash, suffixes, surrogates
+from netdays.llm import itq, langid, packing, piece_bpe, pitman_yor, posting_lists, simhash, suffixes, surrogates
 from netdays.llm.common import prepare, remainder, table, written  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +75,16 @@ def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replaced(docs, counted="n_entities")
 
 
+@query
+def op7_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model, words = pitman_yor.fit(docs.where(remainder("doc_id", 7) != 2))
+    return pitman_yor.scored(docs, model, words).select(
+        "doc_id", (remainder("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.corpus.tokens).cast("bigint").alias("train_tokens"), "base_score", "score",
+    )
+
+
 @query
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.digests(table(spark, sf_dir, "documents"), piece_model())

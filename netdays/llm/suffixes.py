@@ -74,6 +74,14 @@ def _ranges(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return _mixed((sums[ends] - sums[starts]) * _power(_INVERSE, len(values) + 1)[starts])
 
 
+def word_hashes(octets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first byte and end of each word of some bytes."""
+    inside = np.concatenate(([False], ~_SPACE[octets], [False]))
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    return _ranges(_BYTES[octets], starts, ends), starts, ends
+
+
 @dataclass
 class Words:
     """A text's words: hashes, and the characters where each starts and ends."""
@@ -99,15 +107,13 @@ class Words:
     @classmethod
     def _chunk(cls, text: str, before: int) -> Words:
         octets = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-        inside = np.concatenate(([False], ~_SPACE[octets], [False]))
-        edges = np.flatnonzero(inside[1:] != inside[:-1])
-        starts, ends = edges[::2], edges[1::2]
+        hashes, starts, ends = word_hashes(octets)
         if len(octets) == len(text):
             first, last = starts, ends
         else:
             characters = np.concatenate(([0], np.cumsum((octets & 0xC0) != 0x80)))
             first, last = characters[starts], characters[ends]
-        return cls(_ranges(_BYTES[octets], starts, ends), first + before, last + before)
+        return cls(hashes, first + before, last + before)
 
     def runs(self, length: int) -> np.ndarray:
         """A hash for each run of ``length`` words."""
