@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netdays.llm import itq, langid, packing, piece_bpe, pitman_yor, posting_lists, simhash, suffixes, surrogates
+from netdays.llm import itq, langid, packing, piece_bpe, pitman_yor, posting_lists, quality, simhash, suffixes, surrogates
 from netdays.llm.common import prepare, remainder, table, written  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,16 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels.where(remainder("doc_id", 5) != 0))
+    return quality.scored(docs, model).select(
+        "doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op3_itq_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return itq.near_components(table(spark, sf_dir, "embeddings"), itq.Settings(threshold=0.95))
