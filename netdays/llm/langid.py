@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from netdays.llm.common import CHUNK, texts, written
 
@@ -262,3 +263,23 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {dict(docs.dtypes)['doc_id']}, lang_pred string, score double"
     )
+
+
+def identified(docs: DataFrame, model: Model, lang_column: str, score_column: str) -> DataFrame:
+    """``docs`` with the predicted language and its score as two further columns.
+
+    All rows and columns stay; the new names must differ from the given ones.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    if {lang_column, score_column} & set(docs.columns):
+        raise ValueError("a column has the name of a new one")
+    names = [*docs.columns, lang_column, score_column]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shared.value.predict(t) for t in texts(batch)]
+            columns = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names)
+
+    fields = [*docs.schema.fields, T.StructField(lang_column, T.StringType()), T.StructField(score_column, T.DoubleType())]
+    return docs.mapInArrow(run, T.StructType(fields))

@@ -273,3 +273,15 @@ def simhash_components(docs: DataFrame, shingle: int = 3, budget: int = 3,
     unknown = marked.where("doc_id is null").withColumn("component_id", F.lit(None).cast("bigint"))
     columns = ["doc_id", "simhash", "component_id"]
     return known.select(*columns).unionByName(unknown.select(*columns))
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, budget: int = 3) -> DataFrame:
+    """``docs`` without near-duplicates: of each component the row with the smallest id stays.
+
+    Rows that repeat id and text are one; rows with a null id link nothing and stay.
+    """
+    found = simhash_components(docs, shingle, budget)
+    kept = written(found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct(), "kept")
+    numbered = docs.where("doc_id is not null").withColumn("__text", F.xxhash64("text"))
+    first = numbered.join(kept, F.col("doc_id").cast("bigint") == F.col("__kept"), "left_semi").dropDuplicates(["doc_id", "__text"])
+    return first.drop("__text").unionByName(docs.where("doc_id is null"))
