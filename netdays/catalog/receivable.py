@@ -164,9 +164,9 @@ WITH {_TERMED},
 valued AS (SELECT *, cast({value} AS decimal(20,2)) AS baseValue FROM termed WHERE gross >= 10000 AND {only}),
 priced AS (
   SELECT invoiceNumber, days AS termDays, baseValue,
-    cast(baseValue * (cast(days AS decimal(5,0)) * cast(0.006 AS decimal(4,3))) AS decimal(20,4)) AS grossFinance,
+    cast(baseValue * (cast(days AS decimal(10,0)) * cast(0.006 AS decimal(4,3))) AS decimal(20,4)) AS grossFinance,
     cast({capped} * cast(0.09 AS decimal(3,2)) AS decimal(20,4)) AS maxAllowedOffer,
-    cast(baseValue * (cast(days AS decimal(5,0)) * cast(0.0024 AS decimal(5,4))) AS decimal(20,4)) AS discountAmount,
+    cast(baseValue * (cast(days AS decimal(10,0)) * cast(0.0024 AS decimal(5,4))) AS decimal(20,4)) AS discountAmount,
     cast({start} + cast({early} AS integer) AS date) AS offerAvailableDate
   FROM valued
 )
@@ -202,7 +202,7 @@ def notebook_offer_all_converted(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {_TERMED},
 valued AS (SELECT *, cast({_USD_VALUE} AS decimal(20,2)) AS baseValue FROM termed)
 SELECT invoiceNumber, days AS termDays, baseValue,
-  cast(baseValue * (cast(days AS decimal(5,0)) + cast(0.002 AS decimal(4,3))) AS decimal(20,4)) AS grossInterest
+  cast(baseValue * (cast(days AS decimal(10,0)) + cast(0.002 AS decimal(4,3))) AS decimal(20,4)) AS grossInterest
 FROM valued""")
 def notebook_interest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gross_interest(_termed(spark, sf_dir), SAMPLE_CUSTOMER).select(

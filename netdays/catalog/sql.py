@@ -28,12 +28,12 @@ PARTY_KEY = f"{normalized(SITE)} || '_' || cast(c_custkey AS varchar)"
 CUSTOMER_TERMS = terms_case(
     "c_custkey",
     ("30 Days Net", "14 days net", "21 Days Net", "45 Days Net", "60 Days Net",
-     "7 Days Net", "Immediate", "35 Days Net", None),
+     "7 Days Net", "Immediate", "10000 Days Net", None),
 )
 SUPPLIER_TERMS = terms_case(
     "s_suppkey",
     ("30 Days Net", "Net 15 Days Net", "20 days NET", "45 Days Net", "60 Days Net",
-     "90 Days Net", "365 Days Net", "Days Net", None),
+     "90 Days Net", "12000 Days Net", "Days Net", None),
 )
 AP_NUMBER = "cast(l_orderkey AS varchar) || '-' || cast(l_linenumber AS varchar)"
 AP_KEY = f"cast(l_suppkey AS varchar) || '_' || {AP_NUMBER}"
@@ -100,10 +100,10 @@ credited AS (
 ),
 priced AS (
   SELECT *,
-    cast(credit * (cast(early AS decimal(5,0)) * cast({cost} AS decimal(5,4))) AS decimal(20,4)) AS savedAmount,
+    cast(credit * (cast(early AS decimal(10,0)) * cast({cost} AS decimal(5,4))) AS decimal(20,4)) AS savedAmount,
     cast(credit * cast({cap} AS decimal(3,2)) AS decimal(20,4)) AS maxAllowedOffer,
-    cast(credit * (cast(days AS decimal(5,0)) * cast({cost} AS decimal(5,4))) AS decimal(20,4)) AS totalInterest,
-    credit * (cast(early AS decimal(5,0)) * (cast({cost} AS decimal(5,4)) * cast({share} AS decimal(3,2)))) AS wanted,
+    cast(credit * (cast(days AS decimal(10,0)) * cast({cost} AS decimal(5,4))) AS decimal(20,4)) AS totalInterest,
+    credit * (cast(early AS decimal(10,0)) * (cast({cost} AS decimal(5,4)) * cast({share} AS decimal(3,2)))) AS wanted,
     credit * cast({cap} AS decimal(3,2)) AS cap
   FROM credited
 ),
@@ -128,7 +128,8 @@ payables AS (
     cast(l_shipdate AS date) AS invoiceDate, cast(l_shipdate AS date) + 3 AS glDate,
     {LINE_GROSS} AS amount, {AP_TAX} AS tax, l_quantity AS distributionTotal, l_returnflag,
     CASE WHEN l_suppkey % 4 = 0 THEN 'USD' ELSE 'KES' END AS currency,
-    CASE WHEN l_suppkey % 4 = 0 THEN cast(129.50 AS decimal(10,4)) END AS rate
+    CASE WHEN l_suppkey % 16 = 0 THEN cast(129.123456 AS decimal(19,10)) WHEN l_suppkey % 16 = 8 THEN cast(0.000123456 AS decimal(19,10))
+         WHEN l_suppkey % 4 = 0 THEN cast(129.50 AS decimal(19,10)) END AS rate
   FROM lineitem
 )"""
 AP_OFFERED = "l_shipdate < TIMESTAMP '2000-01-01' AND l_linestatus = 'F'"

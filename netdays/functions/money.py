@@ -16,7 +16,8 @@ RATIO = "decimal(4,2)"
 LINE_GROSS = "decimal(18,2)"
 CREDIT = "decimal(20,2)"
 OFFER = "decimal(20,4)"
-RATE = "decimal(10,4)"
+# With an amount of a line this just fits 38 digits, so no product is rounded early.
+RATE = "decimal(19,10)"
 
 # Fixed value: the one currency that is converted to the base currency.
 CONVERTED_CURRENCY = "USD"

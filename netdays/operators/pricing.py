@@ -30,7 +30,7 @@ def price_receivables(invoices: DataFrame, params: CustomerParams) -> DataFrame:
     credit = F.col("creditAmount")
 
     def per_day(count, factor: Decimal):
-        return credit * (count.cast("decimal(5,0)") * money.literal(factor))
+        return credit * (count.cast("decimal(10,0)") * money.literal(factor))
 
     if params.minimum_amount is not None:
         invoices = invoices.filter(gross >= money.literal(params.minimum_amount))
@@ -109,7 +109,7 @@ def price_whole_term(
     else:
         value = money.in_base_currency(gross, F.col("invoiceCurrencyCode"), rate)
         capped = F.col("baseValue")
-    term_cost = days.cast("decimal(5,0)")
+    term_cost = days.cast("decimal(10,0)")
     offers = invoices.withColumn("baseValue", value).withColumns(
         {
             "grossFinance": (F.col("baseValue") * (term_cost * money.literal(cost))).cast(money.OFFER),
@@ -131,7 +131,7 @@ def gross_interest(invoices: DataFrame, params: CustomerParams) -> DataFrame:
     value = money.in_base_currency(
         F.col("invoiceGrossValue"), F.col("invoiceCurrencyCode"), money.literal(params.exchange_rate)
     )
-    factor = F.col("termDays").cast("decimal(5,0)") + money.literal(cost)
+    factor = F.col("termDays").cast("decimal(10,0)") + money.literal(cost)
     return invoices.withColumn("baseValue", value).withColumn(
         "grossInterest", (F.col("baseValue") * factor).cast(money.OFFER)
     )

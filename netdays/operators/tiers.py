@@ -8,10 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netdays.functions.money import literal
-from netdays.params import MAX_TIERS, CustomerParams, SupplierParams
+from netdays.params import CustomerParams, SupplierParams
+
+# More tiers than this are looked up in a constant map, as the CASE would grow too long to compile.
+CASES = 64
 
 
 def _case(days: Column, values: Mapping[int, Column], default: Column) -> Column:
+    if len(values) > CASES:
+        entries = [x for term, value in sorted(values.items()) for x in (F.lit(term), value)]
+        return F.coalesce(F.try_element_at(F.create_map(*entries), days), default)
     out = None
     for term, value in sorted(values.items()):
         out = F.when(days == term, value) if out is None else out.when(days == term, value)
@@ -35,8 +41,6 @@ def tier_percent(days: Column, params: SupplierParams) -> Column:
 
 def tier_table(spark: SparkSession, params: CustomerParams | SupplierParams) -> DataFrame:
     """Tiers as rows ``(termDays, earlyDays, percent)``."""
-    if len(params.tiers) > MAX_TIERS:
-        raise ValueError("too many tiers")
     if isinstance(params, SupplierParams):
         rows = [(k, t.early_days, t.percent) for k, t in params.tiers.items()]
     else:

@@ -6,16 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def update_column(table: DataFrame, updates: DataFrame, key: str, column: str) -> DataFrame:
+def update_column(
+    table: DataFrame, updates: DataFrame, key: str, column: str, order: str | None = None
+) -> DataFrame:
     """``column`` replaced where ``updates(key, column)`` has a value for the key.
 
-    Several values for one key come down to the largest, so no row is repeated.
+    Of several values for one key the last by ``order`` counts (of equal places the
+    largest), so no row is repeated. Without an order the largest one counts.
     """
+    place = F.struct(F.col(order) if order else F.lit(0), column)
     new = (
-        updates.filter(F.col(key).isNotNull())
-        .select(F.col(key).try_cast(table.schema[key].dataType).alias(key), F.col(column).alias("_new"))
+        updates.filter(F.col(key).isNotNull() & F.col(column).isNotNull())
+        .select(F.col(key).try_cast(table.schema[key].dataType).alias(key), place.alias("_place"))
         .groupBy(key)
-        .agg(F.max("_new").alias("_new"))
+        .agg(F.max("_place")[column].alias("_new"))
     )
     return table.join(new, key, "left").select(
         *[F.coalesce("_new", column).alias(c) if c == column else F.col(c) for c in table.columns]

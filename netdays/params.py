@@ -7,38 +7,37 @@ from dataclasses import dataclass, field
 from decimal import Decimal
 from typing import Any
 
-# Tier tables are typed in by people. The bound keeps them safe to broadcast.
-MAX_TIERS = 4096
-MAX_DAYS = 9999
-# Decimal places a percentage may have, so that products fit 38 digits.
-MAX_PERCENT_PLACES = 6
+# Digits that a rate and a percentage may have, so that products fit 38 digits.
+MAX_RATE_DIGITS = 17
+MAX_PERCENT_DIGITS = 8
 
 
 def _decimal(value: Any) -> Decimal:
     return value if isinstance(value, Decimal) else Decimal(str(value))
 
 
+def _digits(number: Decimal) -> int:
+    """Digits of a number in plain notation."""
+    _, digits, exponent = number.normalize().as_tuple()
+    return len(digits) + exponent if exponent > 0 else max(len(digits), -exponent)
+
+
 def _percent(name: str, value: Any) -> Decimal:
     number = _decimal(value)
-    if not 0 <= number <= 100:
-        raise ValueError(f"{name} must lie between 0 and 100: {number}")
-    if -number.normalize().as_tuple().exponent > MAX_PERCENT_PLACES:
-        raise ValueError(f"{name} has more than {MAX_PERCENT_PLACES} decimal places: {number}")
+    if number < 0:
+        raise ValueError(f"{name} must not be negative: {number}")
+    if _digits(number) > MAX_PERCENT_DIGITS:
+        raise ValueError(f"{name} has more than {MAX_PERCENT_DIGITS} digits: {number}")
     return number
 
 
 def _days(name: str, value: Any) -> int:
     days = int(value)
-    if not 0 <= days <= MAX_DAYS:
-        raise ValueError(f"{name} must lie between 0 and {MAX_DAYS}: {days}")
+    if not 0 <= days < 2**31:
+        raise ValueError(f"{name} must be a number of days: {days}")
     return days
 
 
-def _check_size(tiers: Mapping) -> None:
-    if len(tiers) > MAX_TIERS:
-        raise ValueError(f"{len(tiers)} tiers, at most {MAX_TIERS} are allowed")
-
-
 def _tier_entries(request: Mapping[Any, Any]) -> dict[int, Any]:
     """Entries keyed ``14`` or ``"d_14"``."""
     out = {}
@@ -63,9 +62,8 @@ class CustomerParams:
 
     def __post_init__(self) -> None:
         rate = _decimal(self.exchange_rate)
-        if not 0 < rate < 1_000_000 or -rate.normalize().as_tuple().exponent > 4:
-            raise ValueError(f"exchange rate out of range: {rate}")
-        _check_size(self.tiers)
+        if rate <= 0 or _digits(rate) > MAX_RATE_DIGITS:
+            raise ValueError(f"exchange rate must be positive and have at most {MAX_RATE_DIGITS} digits: {rate}")
         put = object.__setattr__
         put(self, "exchange_rate", rate)
         put(self, "cost_of_finance_per_day", _percent("cost of finance", self.cost_of_finance_per_day))
@@ -108,7 +106,6 @@ class SupplierParams:
     tiers: Mapping[int, SupplierTier] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        _check_size(self.tiers)
         made = {
             int(k): v if isinstance(v, SupplierTier) else SupplierTier(*v)
             for k, v in self.tiers.items()

@@ -56,9 +56,20 @@ def payable_offers(
 ) -> DataFrame:
     """Offers for canonical invoices that have none yet; one supplier row per vendor."""
     new = not_yet_offered(invoices, offered, "invoiceUniqueKey")
-    enriched = new.join(eligible_suppliers(suppliers), "vendorId", "inner")
+    enriched = new.join(eligible_suppliers(suppliers), "vendorId", "inner").filter(
+        terms.has_due_date(F.col("invoiceDate"), F.col("termDays"))
+    )
     return (
         price_payables(enriched, params)
         .withColumnRenamed("invoiceGrossValue", "creditAmount")
         .select(*OFFER_COLUMNS, *[c for c in ("glDate",) if c in invoices.columns])
     )
+
+
+def unparsable_terms(invoices: DataFrame, suppliers: DataFrame) -> DataFrame:
+    """New invoices on "days net" terms without a number of days, or with one that leads
+    to no date."""
+    stated = suppliers.filter(terms.is_days_net(F.col("creditTerms"))).select(
+        "vendorId", "creditTerms", terms.first_digits(F.col("creditTerms")).alias("_days")
+    )
+    return terms.without_due_date(invoices.join(stated, "vendorId", "inner"))

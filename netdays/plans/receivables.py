@@ -41,14 +41,16 @@ def receivable_offers(
     unmatched rows. The invoice side of that join is a plain shuffle, so
     adaptive execution can split a customer that holds a large share of it.
     """
-    enriched = invoices.join(eligible_customers(customers), "customerKey", "inner")
+    enriched = invoices.join(eligible_customers(customers), "customerKey", "inner").filter(
+        terms.has_due_date(F.col("invoiceDate"), F.col("termDays"))
+    )
     return price_receivables(enriched, params).select(*OFFER_COLUMNS)
 
 
 def unparsable_terms(invoices: DataFrame, customers: DataFrame) -> DataFrame:
-    """New invoices on "days net" terms that do not start with a number of days."""
-    odd = customers.filter(
-        terms.is_days_net(F.col("creditTerms"))
-        & terms.leading_days(F.col("creditTerms")).isNull()
-    ).select("customerKey", "creditTerms")
-    return invoices.join(odd, "customerKey", "inner")
+    """New invoices on "days net" terms that do not start with a number of days, or with
+    one that leads to no date."""
+    stated = customers.filter(terms.is_days_net(F.col("creditTerms"))).select(
+        "customerKey", "creditTerms", terms.leading_days(F.col("creditTerms")).alias("_days")
+    )
+    return terms.without_due_date(invoices.join(stated, "customerKey", "inner"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from netdays.sources import files
+
 PARTY_CLASHES = {
     "createAt": "partyCreateAt", "modifiedAt": "partyModifiedAt",
     "createdBy": "partyCreatedBy", "modifiedBy": "partyModifiedBy",
@@ -38,10 +40,12 @@ def invoices_with_customer(invoices: DataFrame, customers: DataFrame, key: str)
 
 def export_by_status(report: DataFrame, path: str, file_format: str = "csv") -> None:
     """A report as files, one folder per offer status."""
-    writer = report.write.partitionBy("offerStatus")
+    # Few files for a small status, several tasks for a large one.
+    balanced = report.hint("rebalance", "offerStatus")
     if file_format == "csv":
-        writer = writer.option("header", True)
-    writer.format(file_format).save(path)
+        files.write_csv(balanced, path, ["offerStatus"])
+    else:
+        balanced.write.partitionBy("offerStatus").format(file_format).save(path)
 
 
 def preview(rows: DataFrame, order: list[str], n: int) -> DataFrame:

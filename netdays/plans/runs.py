@@ -83,6 +83,15 @@ def ensure_customers(ledger: Ledger, invoices: DataFrame, relations: Relations)
     return loaded
 
 
+def put_aside(ledger: Ledger, table: str, odd: DataFrame) -> int:
+    """Keep invoices whose terms give no date with the rejects."""
+    odd = checkpointed(odd.withColumn("rejectReason", F.lit("creditTerms not readable")))
+    count = odd.count()
+    if count:
+        ledger.append_rejects(table, odd)
+    return count
+
+
 def offer_receivables(
     ledger: Ledger, new: DataFrame, customers: DataFrame, params: CustomerParams
 ) -> tuple[int, int]:
@@ -90,14 +99,7 @@ def offer_receivables(
 
     Those on terms that cannot be read are put aside with the other rejects.
     """
-    odd = checkpointed(
-        receivable_plans.unparsable_terms(new, customers).withColumn(
-            "rejectReason", F.lit("creditTerms not readable")
-        )
-    )
-    unreadable = odd.count()
-    if unreadable:
-        ledger.append_rejects("customerOffers", odd)
+    unreadable = put_aside(ledger, "customerOffers", receivable_plans.unparsable_terms(new, customers))
     offers = receivable_plans.receivable_offers(new, customers, params).withColumn(
         "offerStatus", F.lit(schemas.NOT_SENT)
     )
@@ -134,12 +136,18 @@ def ensure_suppliers(ledger: Ledger, invoices: DataFrame, relations: Relations)
 def offer_payables(
     ledger: Ledger, invoices: DataFrame, suppliers: DataFrame, params: SupplierParams
 ) -> tuple[int, int]:
-    """Price and append the canonical invoices the ledger has no offer for."""
+    """Price and append the canonical invoices the ledger has no offer for.
+
+    Those on terms that cannot be read are put aside with the other rejects.
+    """
     held = offered_among(invoices, ledger.read("supplierPayment"), "invoiceUniqueKey")
+    fresh = not_yet_offered(invoices, held, "invoiceUniqueKey")
+    unreadable = put_aside(ledger, "supplierPayment", payable_plans.unparsable_terms(fresh, suppliers))
     offers = payable_plans.payable_offers(invoices, suppliers, held, params).withColumn(
         "offerStatus", F.lit(schemas.NOT_SENT)
     )
-    return append_checked(ledger, "supplierPayment", offers, "supplierPaymentId")
+    inserted, rejected = append_checked(ledger, "supplierPayment", offers, "supplierPaymentId")
+    return inserted, rejected + unreadable
 
 
 def run_payables(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where none is set, as in tests on one machine, a folder is made.
+    Only where none is set and everything runs on one machine, as in tests, a folder
+    is made; executors elsewhere could not read each other's files there.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     in_use = spark.sparkContext.getCheckpointDir()
@@ -20,6 +22,8 @@ def scratch_folder(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(named)
         return named
     if in_use is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="netdays-"))
         in_use = spark.sparkContext.getCheckpointDir()
     return in_use

@@ -84,9 +84,9 @@ def receivable_lines(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """
     named = canonical(rows, RECEIVABLE_HEADERS, keep).withColumns(
         {
-            "invoiceDate": F.col("invoiceDate").cast("date"),
+            "invoiceDate": F.col("invoiceDate").try_cast("date"),
             "customerNumber": keys.number_text(F.col("customerNumber")),
-            "invoiceGrossValue": F.col("invoiceGrossValue").cast("decimal(18,2)"),
+            "invoiceGrossValue": F.col("invoiceGrossValue").try_cast("decimal(18,2)"),
         }
     )
     return named.withColumn(
@@ -94,6 +94,23 @@ def receivable_lines(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     ).drop("shipTo")
 
 
+# What typed columns of an invoice file must be able to hold.
+FILE_TYPES = {"vendorId": "bigint", "invoiceDate": "date", "invoiceGrossValue": "decimal(20,2)"}
+
+
+def unreadable(rows: DataFrame, headers: dict[str, str]) -> DataFrame:
+    """Rows of a file with a value that its column's type cannot hold, and the reason.
+
+    The readers turn such a value into null rather than stop at it.
+    """
+    named = canonical(rows, headers)
+    reason = F.coalesce(*[
+        F.when(F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull(), f"{c} not readable")
+        for c, kind in FILE_TYPES.items() if c in named.columns
+    ])
+    return named.withColumn("rejectReason", reason).filter(F.col("rejectReason").isNotNull())
+
+
 def customer_sites(rows: DataFrame) -> DataFrame:
     named = canonical(rows, CUSTOMER_HEADERS).withColumn(
         "customerNumber", keys.number_text(F.col("customerNumber"))
@@ -107,9 +124,9 @@ def payable_invoices(rows: DataFrame) -> DataFrame:
     """A supplier invoice file, exact repeats removed."""
     named = canonical(rows, PAYABLE_HEADERS).withColumns(
         {
-            "vendorId": F.col("vendorId").cast("bigint"),
-            "invoiceDate": F.col("invoiceDate").cast("date"),
-            "invoiceGrossValue": F.col("invoiceGrossValue").cast("decimal(20,2)"),
+            "vendorId": F.col("vendorId").try_cast("bigint"),
+            "invoiceDate": F.col("invoiceDate").try_cast("date"),
+            "invoiceGrossValue": F.col("invoiceGrossValue").try_cast("decimal(20,2)"),
         }
     )
     return named.withColumn(
@@ -120,6 +137,6 @@ def payable_invoices(rows: DataFrame) -> DataFrame:
 def supplier_rows(rows: DataFrame) -> DataFrame:
     return (
         canonical(rows, SUPPLIER_HEADERS)
-        .withColumn("vendorId", F.col("vendorId").cast("bigint"))
+        .withColumn("vendorId", F.col("vendorId").try_cast("bigint"))
         .distinct()
     )

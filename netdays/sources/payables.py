@@ -29,7 +29,7 @@ def add_amounts(invoices: DataFrame) -> DataFrame:
         {
             "distributionFlag": money.distribution_flag(F.col("distributionTotal")),
             "exclusive": money.tax_exclusive(amount, tax),
-            "exclusiveBase": money.in_base_currency(amount - tax, currency, rate),
+            "exclusiveBase": money.in_base_currency((amount - tax).cast(money.LINE_GROSS), currency, rate),
             "taxBase": money.in_base_currency(tax, currency, rate),
             "inclusiveBase": money.in_base_currency(amount, currency, rate),
         }

@@ -21,14 +21,20 @@ OFFERED_BEFORE = dt.date(2000, 1, 1)
 # Terms by party number modulo 9.
 CUSTOMER_TERMS = (
     "30 Days Net", "14 days net", "21 Days Net", "45 Days Net", "60 Days Net",
-    "7 Days Net", "Immediate", "35 Days Net", None,
+    "7 Days Net", "Immediate", "10000 Days Net", None,
 )
 SUPPLIER_TERMS = (
     "30 Days Net", "Net 15 Days Net", "20 days NET", "45 Days Net", "60 Days Net",
-    "90 Days Net", "365 Days Net", "Days Net", None,
+    "90 Days Net", "12000 Days Net", "Days Net", None,
 )
 
 
+def usd_rate(vendor: Column) -> Column:
+    """Rates of few and of many decimal places."""
+    rate = F.when(vendor % 16 == 0, "129.123456").when(vendor % 16 == 8, "0.000123456").otherwise("129.50")
+    return rate.cast(money.RATE)
+
+
 # Declared, so that a read needs no job to look into the files.
 TABLE_SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -183,7 +189,7 @@ def as_payables(
         .cast(money.LINE_GROSS)
         .alias("tax"),
         F.when(converted, "USD").otherwise("KES").alias("currency"),
-        F.when(converted, F.lit("129.50").cast(money.RATE)).alias("rate"),
+        F.when(converted, usd_rate(F.col("l_suppkey"))).alias("rate"),
         F.col("l_quantity").alias("distributionTotal"),
         F.col("l_returnflag").alias("returnFlag"),
     )
@@ -246,7 +252,7 @@ def payable_relations(spark: SparkSession, sf_dir: str) -> Relations:
         F.col("l_linenumber").alias("created_by"),
         text.alias("description"),
         F.when(converted, "USD").otherwise("KES").alias("invoice_currency_code"),
-        F.when(converted, F.lit("129.50").cast(money.RATE)).alias("exchange_rate"),
+        F.when(converted, usd_rate(F.col("l_suppkey"))).alias("exchange_rate"),
         text.alias("credited_invoice_num"),
         text.alias("po_number"),
         text.alias("receipt_number"),

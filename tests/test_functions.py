@@ -44,20 +44,22 @@ def test_invoice_key_is_null_when_a_part_is(spark):
     assert got == ["5_A-1", None, None]
 
 
-TERMS = ["30 Days Net", "30 days net", "Immediate", "7 Days Net", None, "Net 30 Days Net", "Days Net", "x 9", "123456 Days Net"]
+TERMS = ["30 Days Net", "30 days net", "Immediate", "7 Days Net", None, "Net 30 Days Net", "Days Net", "x 9", "123456 Days Net", "99999999999 Days Net"]
 
 
 def test_terms(spark):
     assert column(spark, TERMS, "string", lambda x: terms.is_days_net(x)) == [
-        True, True, False, True, False, True, True, False, True,
+        True, True, False, True, False, True, True, False, True, True,
     ]
     assert column(spark, TERMS, "string", lambda x: terms.leading_days(x)) == [
-        30, 30, None, 7, None, None, None, None, None,
+        30, 30, None, 7, None, None, None, None, 123456, None,
     ]
     assert column(spark, TERMS, "string", lambda x: terms.first_digits(x)) == [
-        30, 30, None, 7, None, 30, None, 9, None,
+        30, 30, None, 7, None, 30, None, 9, 123456, None,
     ]
     assert column(spark, [7, 8, None], "int", lambda x: terms.long_enough(x)) == [False, True, None]
+    rows = spark.createDataFrame([(dt.date(2024, 1, 1), 2_913_000), (dt.date(2024, 1, 1), 10_000), (None, 9), (dt.date(2024, 1, 1), 2**31 - 1)], "d date, n int")
+    assert [r[0] for r in rows.select(terms.has_due_date(F.col("d"), F.col("n"))).collect()] == [True, True, True, False]
 
 
 def test_date_texts(spark):

@@ -208,12 +208,20 @@ def test_parameters_are_checked():
     }
     assert CustomerParams.from_request(request) == SAMPLE_CUSTOMER
     assert SupplierParams.from_request({"d_14": (7, 0.7)}).tiers[14].percent == D("0.7")
+    assert CustomerParams.from_request(request | {"exchange_rate": "129.12345", "max_discount_amount": 101}).exchange_rate == D("129.12345")
     with pytest.raises(ValueError):
-        CustomerParams.from_request(request | {"max_discount_amount": 101})
+        CustomerParams.from_request(request | {"max_discount_amount": -1})
     with pytest.raises(ValueError):
         CustomerParams.from_request(request | {"exchange_rate": 0})
     with pytest.raises(ValueError):
-        SupplierParams({n: (1, 1) for n in range(5000)})
+        CustomerParams.from_request(request | {"exchange_rate": "0.123456789012345678"})
+
+
+def test_many_tiers(spark):
+    params = SupplierParams({n: (n % 9, n % 5) for n in range(0, 12_000, 2)})
+    rows = spark.createDataFrame([(8,), (9,), (11_998,), (None,)], "n int")
+    got = rows.select(tiers.early_days(F.col("n"), params), tiers.tier_percent(F.col("n"), params)).collect()
+    assert [tuple(r) for r in got] == [(8, D("3.0000")), (0, D("0.0000")), (1, D("3.0000")), (0, D("0.0000"))]
 
 
 def test_tier_join_agrees_with_the_expression(spark):
@@ -288,6 +296,10 @@ def test_updates(spark):
     assert rows_of(updates.update_column(table, change, "k", "s").fillna("-"), "k", "s") == [
         (1, "a"), (2, "z"), (3, "-"),
     ]
+    timed = spark.createDataFrame([("2", "z", 1), ("2", "c", 2), ("1", None, 3)], "k string, s string, t int")
+    assert rows_of(updates.update_column(table, timed, "k", "s", "t").fillna("-"), "k", "s") == [
+        (1, "a"), (2, "c"), (3, "-"),
+    ]
     assert {r.k for r in updates.updates_without_row(table, change, "k").collect()} == {"9", "x", None}
 
 

@@ -3,12 +3,15 @@ from __future__ import annotations
 import os
 from types import SimpleNamespace
 
+import pytest
+
 from netdays import session
 
 
 class FakeContext:
-    def __init__(self, folder=None):
+    def __init__(self, folder=None, master="local[8]"):
         self.folder = folder
+        self.master = master
 
     def getCheckpointDir(self):  # noqa: N802 - the name Spark gives it
         return self.folder
@@ -17,9 +20,9 @@ class FakeContext:
         self.folder = folder
 
 
-def fake(named=None, in_use=None):
+def fake(named=None, in_use=None, master="local[8]"):
     conf = SimpleNamespace(get=lambda key, default: named if key == "spark.checkpoint.dir" else default)
-    return SimpleNamespace(conf=conf, sparkContext=FakeContext(in_use))
+    return SimpleNamespace(conf=conf, sparkContext=FakeContext(in_use, master))
 
 
 def test_the_named_folder_is_used():
@@ -42,6 +45,12 @@ def test_only_without_a_name_a_folder_is_made():
     assert session.scratch_folder(spark) == folder
 
 
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[2,1,1024]"])
+def test_executors_elsewhere_need_a_named_folder(master):
+    with pytest.raises(ValueError):
+        session.scratch_folder(fake(master=master))
+
+
 def test_written_rows_have_a_known_size(spark):
     rows = session.written(spark.range(1000).selectExpr("id", "id * 2 AS twice"), "rows")
     assert rows.count() == 1000
