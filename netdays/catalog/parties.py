@@ -27,15 +27,15 @@ SELECT c_custkey AS customerNumber, c_name AS name, c_mktsegment AS customerClas
   CASE c_custkey % 2 WHEN 0 THEN 'Yes' ELSE 'No' END AS creditCheck,
   'COL ' || n_name AS collector, 'REP ' || n_name AS defaultSalesPerson,
   'RES ' || n_name AS salesPerson, 'CLASS ' || n_name AS profileClass,
-  CASE WHEN k = 0 THEN 'BANK NATION_' || (acc % 25) END AS bankName,
-  CASE WHEN k = 0 THEN 'ACC' || acc END AS bankAccountNumber,
-  CASE WHEN k = 0 THEN 'BRANCH NATION_' || (acc % 25) END AS bankBranchName,
-  CASE WHEN d <> 5 AND c_custkey % 6 <> 5 AND c_custkey % 4 <> 3 THEN
+  CASE WHEN NOT (d = 3 AND c_custkey % 5 = 1) THEN 'BANK NATION_' || (acc % 25) END AS bankName,
+  CASE WHEN NOT (d = 3 AND c_custkey % 5 = 1) THEN 'ACC' || acc END AS bankAccountNumber,
+  CASE WHEN NOT (d = 3 AND c_custkey % 5 = 1) THEN 'BRANCH NATION_' || (acc % 25) END AS bankBranchName,
+  CASE WHEN NOT (d = 3 AND c_custkey % 5 = 1) AND d <> 5 AND c_custkey % 6 <> 5 AND c_custkey % 4 <> 3 THEN
     'First' || c_custkey || ' ' || CASE WHEN c_custkey % 3 <> 0 THEN 'Last0' ELSE '' END END AS contactPerson,
-  CASE WHEN d <> 5 AND c_custkey % 6 <> 5 AND c_custkey % 4 <> 3 THEN 'Job0' END AS jobTitle,
-  CASE WHEN d <> 5 AND c_custkey % 6 <> 5 THEN
+  CASE WHEN NOT (d = 3 AND c_custkey % 5 = 1) AND d <> 5 AND c_custkey % 6 <> 5 AND c_custkey % 4 <> 3 THEN 'Job0' END AS jobTitle,
+  CASE WHEN NOT (d = 3 AND c_custkey % 5 = 1) AND d <> 5 AND c_custkey % 6 <> 5 THEN
     '254-' || CASE WHEN c_custkey % 2 = 0 THEN '20' ELSE '' END || '-' || c_custkey || '/0' END AS phone,
-  CASE WHEN d <> 5 AND c_custkey % 6 <> 5 THEN 'p' || c_custkey || '@example.com' END AS contactEmail,
+  CASE WHEN NOT (d = 3 AND c_custkey % 5 = 1) AND d <> 5 AND c_custkey % 6 <> 5 THEN 'p' || c_custkey || '@example.com' END AS contactEmail,
   CASE WHEN c_custkey % 10 <> 0 THEN 'ar' || c_custkey || '@example.com' END AS email,
   {sql.normalized("' ' || n_name || '-' || p")} || '_' || c_custkey AS customerKey
 FROM (SELECT o_custkey AS c, o_orderpriority AS p, cast(substr(o_orderpriority, 1, 1) AS bigint) AS d,

@@ -220,11 +220,19 @@ def _site_lookups(sites: DataFrame, relations: Relations, wanted: set[str]) -> D
         (set(lookups.CREDIT_LIMITS.values()), account_use, lambda: _site_credit_limits(relations)),
         (
             {"bankName", "bankAccountNumber", "bankBranchName"},
-            account_use,
-            lambda: site_banks(relations),
+            account_site,
+            lambda: _of_own_sites(relations, site_banks(relations)),
+        ),
+        (
+            {"phone", "contactEmail"},
+            account_site,
+            lambda: _of_own_sites(relations, site_contact_points(relations)),
+        ),
+        (
+            {"contactPerson", "jobTitle"},
+            account_site,
+            lambda: _of_own_sites(relations, site_contact_people(relations)),
         ),
-        ({"phone", "contactEmail"}, account_site, lambda: site_contact_points(relations)),
-        ({"contactPerson", "jobTitle"}, account_site, lambda: site_contact_people(relations)),
     )
     for gives, key, table in available:
         if gives & wanted:
@@ -246,9 +254,27 @@ def _site_credit_limits(relations: Relations) -> DataFrame:
     return lookups.credit_limits(amounts, ["ac_customer_id", "hcsu_site_use_id"])
 
 
+def _of_own_sites(relations: Relations, rows: DataFrame) -> DataFrame:
+    """Look-up rows of account sites whose party site is one of the account's own party."""
+    accounts = relations("hz_cust_accounts").select(
+        F.col("cust_account_id").alias("ac_customer_id"), "party_id"
+    )
+    sites = relations("hz_cust_acct_sites_all").select(
+        F.col("cust_account_id").alias("ac_customer_id"),
+        F.col("cust_acct_site_id").alias("hcas_cust_acct_site_id"),
+        "party_site_id",
+    )
+    party_sites = relations("hz_party_sites").select("party_site_id", "party_id")
+    own = sites.join(accounts, "ac_customer_id").join(
+        party_sites, ["party_site_id", "party_id"], "left_semi"
+    )
+    return rows.join(own, ["ac_customer_id", "hcas_cust_acct_site_id"], "left_semi")
+
+
 def site_banks(relations: Relations) -> DataFrame:
-    """Bank, branch and account number of a customer site use: the first account.
+    """Bank, branch and account number of a customer's account site: the first account.
 
+    An account is held by one site use; it counts for all uses of that account site.
     All three come from one joined relation, so they describe the same account.
     """
     parties = relations("hz_parties").select("party_id", "party_type", "party_name")
@@ -284,7 +310,10 @@ def site_banks(relations: Relations) -> DataFrame:
     payers = relations("iby_external_payers_all").select(
         "ext_payer_id",
         F.col("cust_account_id").alias("ac_customer_id"),
-        F.col("acct_site_use_id").alias("hcsu_site_use_id"),
+        F.col("acct_site_use_id").alias("site_use_id"),
+    )
+    site_uses = relations("hz_cust_site_uses_all").select(
+        "site_use_id", F.col("cust_acct_site_id").alias("hcas_cust_acct_site_id")
     )
     accounts = relations("iby_ext_bank_accounts").select(
         "ext_bank_account_id", "bank_id", "branch_id",
@@ -296,10 +325,11 @@ def site_banks(relations: Relations) -> DataFrame:
         .join(branch, ["branch_id", "branchType"])
         .join(uses, "ext_bank_account_id")
         .join(payers, "ext_payer_id")
+        .join(site_uses, "site_use_id")
     )
     return lookups.first_match(
         joined,
-        keys=["ac_customer_id", "hcsu_site_use_id"],
+        keys=["ac_customer_id", "hcas_cust_acct_site_id"],
         order=["ext_bank_account_id", "bankName", "bankBranchName"],
         columns=["bankName", "bankAccountNumber", "bankBranchName"],
     )

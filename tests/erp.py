@@ -36,7 +36,7 @@ SCHEMAS = {
         "site_use_code location status freight_term attribute1 attribute2",
     ),
     "hz_party_sites": _ddl(
-        "party_site_id location_id", "party_site_name party_site_number attribute1"
+        "party_site_id party_id location_id", "party_site_name party_site_number attribute1"
     ),
     "hz_parties": _ddl(
         "party_id",

@@ -68,7 +68,7 @@ def customer_erp(spark, **extra):
             dict(site_use_id=103, cust_acct_site_id=2, location="Gone", status="I"),
             dict(site_use_id=104, cust_acct_site_id=3, location="Other", status="A"),
         ],
-        hz_party_sites=[dict(party_site_id=11, location_id=5), dict(party_site_id=12, location_id=5)],
+        hz_party_sites=[dict(party_site_id=11, party_id=700, location_id=5), dict(party_site_id=12, party_id=700, location_id=5)],
         hz_locations=[dict(location_id=5, city="Town")],
         hz_parties=[
             dict(party_id=700, party_type="ORGANIZATION", creation_date=dt.date(2020, 2, 1), email_address="m@example.com"),
@@ -122,6 +122,19 @@ def customer_erp(spark, **extra):
     return relations(spark, **(base | extra))
 
 
+def test_banks_belong_to_the_account_site(spark):
+    """Both uses of a site have the account of one of them; a site of another party has none."""
+    uses = [
+        dict(site_use_id=101, cust_acct_site_id=1, location="West-01", status="A"),
+        dict(site_use_id=105, cust_acct_site_id=1, location="West-02", status="A"),
+    ]
+    got = receivables.customer_extract(customer_erp(spark, hz_cust_site_uses_all=uses)).collect()
+    assert {(r.location, r.bankAccountNumber) for r in got} == {("West-01", "B1"), ("West-02", "B1")}
+    foreign = [dict(party_site_id=11, party_id=999, location_id=5)]
+    got = receivables.customer_extract(customer_erp(spark, hz_cust_site_uses_all=uses, hz_party_sites=foreign)).collect()
+    assert {(r.bankAccountNumber, r.phone, r.contactPerson) for r in got} == {(None, None, None)}
+
+
 def test_customer_extract(spark):
     got = {r.location: r for r in receivables.customer_extract(customer_erp(spark)).collect()}
     assert set(got) == {"West-01", "East"}
