@@ -2,6 +2,9 @@
 
 Exactly once by invoice key: a batch leaves out what the ledger already
 holds, so a batch that is replayed after a failure adds nothing twice.
+
+Nothing is lost either: invoices whose party isn't known yet wait in a table of
+the batch, beside the stream's checkpoint, and are tried again with the next one.
 """
 
 from __future__ import annotations
@@ -47,7 +50,7 @@ def without_repeats(stream: DataFrame, key: str, time: str, delay: str) -> DataF
 
 def _start(
     stream: DataFrame,
-    append: Callable[[DataFrame], object],
+    append: Callable[[DataFrame, int], object],
     checkpoint: str,
     every: str | None,
 ) -> StreamingQuery:
@@ -56,7 +59,7 @@ def _start(
     With ``every``, such as ``"5 minutes"``, the query runs on, one batch per
     interval; without it, it stops when all that is there has been read.
     """
-    writer = stream.writeStream.foreachBatch(lambda batch, _: append(batch)).option(
+    writer = stream.writeStream.foreachBatch(append).option(
         "checkpointLocation", checkpoint
     )
     if every is not None:
@@ -64,53 +67,95 @@ def _start(
     return writer.trigger(availableNow=True).start()
 
 
+Parties = DataFrame | Callable[[], DataFrame]
+Complete = Callable[[Ledger, DataFrame], object]
+
+
+def _with_waiting(batch: DataFrame, checkpoint: str, number: int) -> DataFrame:
+    """A batch and the rows that waited after the one before it."""
+    if number == 0:
+        return batch
+    waited = batch.sparkSession.read.schema(batch.schema).parquet(f"{checkpoint}-waiting/{number - 1}")
+    return batch.unionByName(waited)
+
+
+def _wait(rows: DataFrame, checkpoint: str, number: int) -> None:
+    """Keep rows for the next batch; a replayed batch writes the same again."""
+    rows.write.mode("overwrite").parquet(f"{checkpoint}-waiting/{number}")
+
+
+def _now(parties: Parties) -> DataFrame:
+    return parties() if callable(parties) else parties
+
+
 def customer_offer_stream(
     headers: DataFrame,
     to_invoices: Callable[[DataFrame], DataFrame],
-    customers: DataFrame,
+    customers: Parties,
     ledger: Ledger,
     params: CustomerParams,
     checkpoint: str,
     offered_elsewhere: DataFrame | None = None,
     every: str | None = None,
+    complete: Complete | None = None,
 ) -> StreamingQuery:
     """Append offers for arriving customer invoices.
 
     ``to_invoices`` consolidates a batch: its own lines, or its headers with
     lines from elsewhere, of which it should read only those of the batch. A
     batch is written before it is used, so it is computed once and its size is
-    known to the joins.
+    known to the joins. All lines of an invoice must be there when its header comes.
+
+    ``customers`` may be a function, such as one that reads the ledger, and is then
+    asked in each batch; ``complete``, such as ``ensure_customers``, loads parties of
+    the batch's invoices first.
     """
     ledger.create()
 
-    def append(batch: DataFrame) -> None:
-        new = written(batch.distinct(), "batch")
+    def append(batch: DataFrame, number: int) -> None:
+        new = written(_with_waiting(batch, checkpoint, number).distinct(), "batch")
         for offered in (ledger.read("customerOffers"), offered_elsewhere):
             if offered is not None:
                 held = offered_among(new, offered, "invoiceNumber")
                 new = not_yet_offered(new, held, "invoiceNumber")
-        offer_receivables(ledger, written(to_invoices(new), "new-batch"), customers, params)
+        invoices = written(to_invoices(new), "new-batch")
+        if complete is not None:
+            complete(ledger, invoices)
+        known = _now(customers)
+        offer_receivables(ledger, invoices, known, params)
+        late = invoices.join(known.select("customerKey"), "customerKey", "left_anti")
+        _wait(new.join(late.select("invoiceNumber"), "invoiceNumber", "left_semi").select(*batch.columns), checkpoint, number)
 
     return _start(headers, append, checkpoint, every)
 
 
 def supplier_offer_stream(
     extract: DataFrame,
-    suppliers: DataFrame,
+    suppliers: Parties,
     ledger: Ledger,
     params: SupplierParams,
     checkpoint: str,
     offered_elsewhere: DataFrame | None = None,
     every: str | None = None,
+    complete: Complete | None = None,
 ) -> StreamingQuery:
-    """Append offers for arriving supplier invoices, shaped like the ERP extract."""
+    """Append offers for arriving supplier invoices, shaped like the ERP extract.
+
+    ``suppliers`` and ``complete`` are as for customers.
+    """
     ledger.create()
 
-    def append(batch: DataFrame) -> None:
-        new = written(canonical_invoices(batch, with_gl_date=True), "batch")
+    def append(batch: DataFrame, number: int) -> None:
+        all_rows = _with_waiting(batch, checkpoint, number)
+        new = written(canonical_invoices(all_rows, with_gl_date=True), "batch")
         if offered_elsewhere is not None:
             held = offered_among(new, offered_elsewhere, "invoiceUniqueKey")
             new = not_yet_offered(new, held, "invoiceUniqueKey")
-        offer_payables(ledger, new, suppliers, params)
+        if complete is not None:
+            complete(ledger, new)
+        known = _now(suppliers)
+        offer_payables(ledger, new, known, params)
+        late = new.join(known.select("vendorId"), "vendorId", "left_anti").select("vendorId", "invoiceNumber")
+        _wait(all_rows.join(late, ["vendorId", "invoiceNumber"], "left_semi").select(*batch.columns), checkpoint, number)
 
     return _start(extract, append, checkpoint, every)

@@ -95,3 +95,53 @@ def test_supplier_stream_in_two_batches(spark, tmp_path):
         ).awaitTermination()
         assert sorted(r.invoiceNumber for r in ledger.read("supplierPayment").collect()) == expected
         arrive("B", "D")
+
+
+def test_invoices_of_a_late_supplier_wait(spark, tmp_path):
+    feed, ledger = str(tmp_path / "feed"), Ledger(spark, str(tmp_path / "ledger"))
+    kind = (
+        "vendorId bigint, invoiceNumber string, invoiceDate date, glDate date, amount decimal(18,2),"
+        " currency string, rate decimal(10,4)"
+    )
+    known = [(5, 50, "Net 30 Days Net")]
+
+    def run():
+        stream = file_stream(spark, feed, spark.createDataFrame([], kind).schema, files_per_batch=1)
+        supplier_offer_stream(
+            stream, lambda: spark.createDataFrame(known, "vendorId bigint, supplierId bigint, creditTerms string"),
+            ledger, SAMPLE_SUPPLIER, str(tmp_path / "state"),
+        ).awaitTermination()
+        return sorted(r.invoiceNumber for r in ledger.read("supplierPayment").collect())
+
+    def arrive(vendor, number):
+        rows = [(vendor, number, dt.date(2024, 3, 1), dt.date(2024, 3, 4), D("10.00"), "KES", None)]
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(feed)
+
+    arrive(5, "A")
+    arrive(6, "B")
+    arrive(5, "C")
+    assert run() == ["A", "C"]
+    known.append((6, 60, "Net 30 Days Net"))
+    arrive(5, "D")
+    assert run() == ["A", "B", "C", "D"]
+    assert ledger.rejects("supplierPayment").count() == 0
+
+
+def test_invoices_of_a_late_customer_wait(spark, tmp_path):
+    feed, ledger = str(tmp_path / "feed"), Ledger(spark, str(tmp_path / "ledger"))
+    lines = spark.createDataFrame([("1", D("10.00")), ("2", D("20.00"))], "invoiceNumber string, invoiceGrossValue decimal(18,2)")
+    schema = "customerKey string, customerId bigint, creditTerms string"
+    known = []
+
+    def run(number):
+        spark.createDataFrame([header(number)], HEADER).coalesce(1).write.mode("append").parquet(feed)
+        stream = file_stream(spark, feed, spark.createDataFrame([], HEADER).schema)
+        customer_offer_stream(
+            stream, lambda batch: consolidate_to_headers(batch, lines), lambda: spark.createDataFrame(known, schema),
+            ledger, SAMPLE_CUSTOMER, str(tmp_path / "state"),
+        ).awaitTermination()
+        return sorted(r.invoiceNumber for r in ledger.read("customerOffers").collect())
+
+    assert run("1") == []
+    known.append(("k_1", 5, "30 Days Net"))
+    assert run("2") == ["1", "2"]
