@@ -15,7 +15,7 @@ def duck():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.catalog.QUERIES))
 def test_query_agrees_with_sql(spark, duck, name):
     assert name in registry.oracle_sql()
     assert compare(spark, duck, name, SF) == []
