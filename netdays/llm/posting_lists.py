@@ -5,8 +5,8 @@ length), so that the largest inner product is the smallest distance. A sample is
 halved again and again at the median between two centres, which gives lists of
 equal size; the means of the parts are the centroids. A graph over the centroids,
 held in memory, is searched for those near a vector. Every vector goes to its
-nearest list and, near a boundary, to others as well: those whose centroid is at
-most a ratio further away and no nearer to a list taken before. A query searches
+nearest list and, near a boundary, to others as well: the nearest of those whose
+centroid is at most a ratio further away. A query searches
 all lists whose centroid is within a ratio of its nearest one; that ratio is
 measured on the sample, as the one at which enough true neighbours are found.
 
@@ -32,15 +32,16 @@ from netdays.llm.common import matrix, unit_starts, whole_units, written
 @dataclass(frozen=True)
 class Settings:
     """The index is fitted on ``sample_rows`` vectors at most and has at most
-    ``centroids`` centroids, which bounds what tasks hold; every vector is indexed."""
+    ``centroids`` centroids, which bounds what tasks hold; every vector is indexed. There
+    are half as many lists as the root of the number of vectors, so that a query's rows
+    and its candidates grow alike."""
 
     sample_rows: int = 16_384
     centroids: int = 4_096
-    list_size: int = 96
-    replicas: int = 4
-    closure: float = 1.08
+    replicas: int = 6
+    closure: float = 1.15
     degree: int = 16
-    recall: float = 0.985
+    recall: float = 0.95
     probes: int = 200
     chunk: int = 8_192
     seed: int = 5
@@ -97,6 +98,7 @@ class Index:
     graph: np.ndarray
     ratio: float
     width: int
+    usual: float  # the median squared distance of a query to its nearest centroid; less counts as that
     settings: Settings
 
     def lifted(self, rows: np.ndarray) -> np.ndarray:
@@ -147,19 +149,9 @@ class Index:
 
     def lists_of(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which lists hold which rows: the nearest, and further ones of boundary rows."""
-        order, squared = self.search(rows, 4 * self.settings.replicas)
+        order, squared = self.search(rows, 2 * self.settings.replicas)
         limit = squared[:, :1] * self.settings.closure**2
-        taken = np.zeros(order.shape, bool)
-        taken[:, 0] = True
-        chosen = np.ones(len(rows), np.int64)
-        for k in range(1, order.shape[1]):
-            fits = (squared[:, k] <= limit[:, 0]) & (chosen < self.settings.replicas)
-            between = np.full(len(rows), np.inf)
-            for j in range(k):  # no list whose centroid is nearer to one taken before than to the row
-                gap = self.centroids[order[:, k]] - self.centroids[order[:, j]]
-                between = np.where(taken[:, j], np.minimum(between, (gap * gap).sum(axis=1)), between)
-            taken[:, k] = fits & (between > squared[:, k])
-            chosen += taken[:, k]
+        taken = (squared <= limit) & (np.arange(order.shape[1]) < self.settings.replicas)
         row, column = np.nonzero(taken)
         return row, order[row, column]
 
@@ -172,7 +164,8 @@ class Index:
     def lists_for(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which lists each query searches: those within the ratio of its nearest centroid."""
         order, squared = self.search(queries, self.width)
-        keep = squared <= squared[:, :1] * self.ratio**2
+        keep = squared <= np.maximum(squared[:, :1], self.usual) * self.ratio**2
+        keep[:, :4] = True
         row, column = np.nonzero(keep)
         return row, order[row, column]
 
@@ -180,13 +173,13 @@ class Index:
 def fit(sample: np.ndarray, longest: float, count: int, k: int, settings: Settings = Settings()) -> Index:
     """An index for ``count`` vectors from a sample of them."""
     random = np.random.default_rng(settings.seed)
-    draft = Index(longest, np.zeros((0, 0)), np.zeros((0, 0)), np.inf, 1, settings)
+    draft = Index(longest, np.zeros((0, 0)), np.zeros((0, 0)), np.inf, 1, 0.0, settings)
     lifted = draft.lifted(sample)
-    wanted = max(1, min(settings.centroids, -(-count // settings.list_size)))
+    wanted = max(1, min(settings.centroids, int(np.sqrt(count) / 2)))
     parts = balanced_parts(lifted, max(2, -(-len(sample) // wanted)), random)
     centroids = np.stack([lifted[p].mean(axis=0) for p in parts])
     graph = neighbour_graph(centroids, settings.degree, random)
-    index = Index(longest, centroids, graph, np.inf, len(centroids), settings)
+    index = Index(longest, centroids, graph, np.inf, len(centroids), 0.0, settings)
     # How far true neighbours' lists are, against the nearest list, on part of the sample.
     asked = random.choice(len(sample), min(settings.probes, len(sample)), replace=False)
     queries = np.concatenate([sample[asked], np.zeros((len(asked), 1))], axis=1)
@@ -195,7 +188,8 @@ def fit(sample: np.ndarray, longest: float, count: int, k: int, settings: Settin
     true = np.argsort(-scores, axis=1, kind="stable")[:, : min(k, len(sample) - 1)]
     row, held = index.in_steps(index.lists_of, lifted)
     to = _distances(queries, centroids)
-    nearest = to.min(axis=1, keepdims=True)
+    usual = float(np.median(to.min(axis=1)))
+    nearest = np.maximum(to.min(axis=1, keepdims=True), usual)
     rank = np.argsort(np.argsort(to, axis=1), axis=1)
     needed, places = [], []
     lists: dict[int, list[int]] = {}
@@ -211,7 +205,7 @@ def fit(sample: np.ndarray, longest: float, count: int, k: int, settings: Settin
     ratio = float(np.quantile(needed, settings.recall, method="higher")) + 1e-9
     within = (to <= nearest * ratio**2).sum(axis=1)
     width = int(max(np.quantile(places, settings.recall, method="higher") + 1, np.quantile(within, 0.95), 8))
-    return Index(longest, centroids, graph, ratio, min(len(centroids), width), settings)
+    return Index(longest, centroids, graph, ratio, min(len(centroids), width), usual, settings)
 
 
 SEARCHED = "query_id bigint, vec_id bigint, score double"
