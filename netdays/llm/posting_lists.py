@@ -208,6 +208,9 @@ def fit(sample: np.ndarray, longest: float, count: int, k: int, settings: Settin
     return Index(longest, centroids, graph, ratio, min(len(centroids), width), usual, settings)
 
 
+# Finds that a searching task holds at most before it hands them on.
+HELD = 1_000_000
+
 SEARCHED = "query_id bigint, vec_id bigint, score double"
 
 
@@ -270,32 +273,39 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int, settings: Settings = Se
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = ("list", "chunk")
+        hits: list[tuple] = []
+
+        def merged() -> tuple:
+            query, found, score = (np.concatenate(x) for x in zip(*hits))
+            keep = _leading(query, found, score, k + 1)
+            return query[keep], found[keep], score[keep]
+
         for table in whole_units(batches, keys, 4_000):
             ids, asks = table.column("vec_id").to_numpy(), table.column("asks").to_numpy()
             values = matrix(table.column("vector"))
             starts = unit_starts(table, keys)
-            out: list[tuple] = []
             for start, end in zip(starts, np.append(starts[1:], len(ids))):
                 middle = start + int(np.searchsorted(asks[start:end], 1))
                 held, candidates = values[start:middle], ids[start:middle]
                 if not len(candidates):
                     continue
                 for at in range(middle, end, 256):
-                    rows_ = values[at:min(end, at + 256)]
-                    scores = rows_ @ held.T
+                    scores = values[at:min(end, at + 256)] @ held.T
                     most = min(k + 1, len(candidates))
                     if most < len(candidates):  # ties at the last place stay; the final order cuts them
                         last = -np.partition(-scores, most - 1, axis=1)[:, most - 1:most]
                         q, c = np.nonzero(scores >= last)
                     else:
                         q, c = np.indices(scores.shape).reshape(2, -1)
-                    out.append((ids[at + q], candidates[c], scores[q, c]))
-            if out:
-                query, found, score = (np.concatenate(x) for x in zip(*out))
-                keep = _leading(query, found, score, k + 1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(query[keep]), pa.array(found[keep]), pa.array(score[keep])], ["query_id", "vec_id", "score"]
-                )
+                    hits.append((ids[at + q], candidates[c], scores[q, c]))
+            # A query's best of all lists of this task; what is kept meanwhile is bounded.
+            if sum(len(h[0]) for h in hits) > HELD:
+                hits = [merged()]
+                if len(hits[0][0]) > HELD // 2:
+                    yield pa.RecordBatch.from_arrays(list(map(pa.array, hits[0])), ["query_id", "vec_id", "score"])
+                    hits = []
+        if hits:
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, merged())), ["query_id", "vec_id", "score"])
 
     together = postings.unionByName(questions).repartition("list", "chunk").sortWithinPartitions("list", "chunk", "asks")
     hits = together.select("list", "chunk", "asks", "vec_id", "vector").mapInArrow(searched, SEARCHED)
