@@ -7,7 +7,8 @@ of a name), and equal forms are one entity. An entity's surrogate is drawn by a
 hash: characters of the same class at the same places, valid check digits and
 octets, and names of the same gender, script and spelling. Two entities with one
 surrogate, or a surrogate that is some entity's own form, are found by aggregation
-over the whole table and drawn anew until all are distinct. Every occurrence then
+over the whole table and drawn anew until all are distinct, after many draws as
+longer ones, so that no form runs out. Every occurrence then
 gets its entity's surrogate in its own format, so what referred to one thing still does.
 """
 
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import partial
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,7 +51,7 @@ _LEFT, _RIGHT = r"(?<![\p{L}\p{N}_.@-])", r"(?![\p{L}\p{N}_@-])"
 PATTERNS = {
     "secret": (
         r"(?<![\p{L}\p{N}])(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)"
-        r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9_+/.~-]{6,200}+"
+        r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?(?=[_+/.~-]{0,199}+[A-Za-z0-9])[A-Za-z0-9_+/.~-]{6,200}+"
     ),
     "key": r"(?<![\p{L}\p{N}])(?:AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}|sk_live_[A-Za-z0-9]{16,64})(?![\p{L}\p{N}])",
     "email": r"(?<![\p{L}\p{N}._%+@-])[\p{L}\p{N}._%+-]{1,128}+@(?:[\p{L}\p{N}-]{1,63}+\.){1,8}\p{L}{2,24}(?![\p{L}\p{N}@])",
@@ -73,7 +75,10 @@ HINT = rf"[0-9@=:]|(?:{MALE}|{FEMALE}|{NEUTRAL})\.?[  ]"
 
 @dataclass(frozen=True)
 class Settings:
-    """``key`` makes surrogates what they are; without it they can't be traced back."""
+    """``key`` makes surrogates what they are; without it they can't be traced back.
+
+    After ``rounds`` draws of an entity's own length each further draw is a character longer.
+    """
 
     key: str = "surrogate-key"
     rounds: int = 40
@@ -195,21 +200,31 @@ def _drawn(settings: Settings, entities: DataFrame) -> DataFrame:
     def octet(i: int, low: int, high: int) -> Column:
         return (_draw(settings, salt, F.lit(i), high - low + 1) + low).cast("string")
 
-    local, domain = F.substring_index(canonical, "@", 1), F.substring_index(canonical, "@", -1)
+    further = F.greatest(salt.cast("int") - settings.rounds + 1, F.lit(0))
+
+    def longer(text: Column, by: str) -> Column:
+        return F.concat(text, F.repeat(F.lit(by), further))
+
+    local, domain = longer(F.substring_index(canonical, "@", 1), "a"), F.substring_index(canonical, "@", -1)
     email = F.concat(
         _likewise(settings, local, salt), F.lit("@"),
         F.regexp_replace(_likewise(settings, F.concat(F.lit("."), domain), F.concat(salt.cast("string"), F.lit("d"))), r"^\.|[^.]*$", ""),
         F.lit("example"),
     )
     prefix = F.regexp_extract("canonical", "^(AKIA|ghp_|sk_live_)?", 1)
-    key = F.concat(prefix, _likewise(settings, F.expr("substring(canonical, length(regexp_extract(canonical, '^(AKIA|ghp_|sk_live_)?', 1)) + 1)"), salt))
-    iban = F.concat(F.substring("canonical", 1, 2), _likewise(settings, F.expr("substring(canonical, 3)"), salt))
+    bare = F.expr("substring(canonical, length(regexp_extract(canonical, '^(AKIA|ghp_|sk_live_)?', 1)) + 1)")
+    key = F.concat(prefix, _likewise(settings, longer(bare, "0"), salt))
+    iban = F.concat(F.substring("canonical", 1, 2), _likewise(settings, longer(F.expr("substring(canonical, 3)"), "0"), salt))
+    octets = F.concat(
+        F.array(octet(0, 1, 223), octet(1, 0, 255), octet(2, 0, 255), octet(3, 1, 254)),
+        F.transform(F.array_repeat(F.lit(0), further), lambda _, i: (_draw(settings, salt, i + 4, 256)).cast("string")),
+    )
     first = F.substring("canonical", 1, 1)
-    likewise = entities.withColumn("drawn", _likewise(settings, canonical, salt))
+    likewise = entities.withColumn("drawn", _likewise(settings, longer(canonical, "0"), salt))
     return likewise.withColumn(
         "surrogate",
         F.when(F.col("kind") == "email", email)
-        .when(F.col("kind") == "ip", F.concat_ws(".", octet(0, 1, 223), octet(1, 0, 255), octet(2, 0, 255), octet(3, 1, 254)))
+        .when(F.col("kind") == "ip", F.array_join(octets, "."))
         .when(F.col("kind") == "card", _with_check_digit(F.col("drawn"), canonical))
         # A phone number's first digit stays: the country code, or what no number starts with.
         .when(F.col("kind") == "phone", F.concat(first, F.expr("substring(drawn, 2)")))
@@ -224,10 +239,11 @@ def assigned(entities: DataFrame, settings: Settings = Settings()) -> DataFrame:
     ``entities`` has distinct ``(kind, canonical)``. Surrogates of one kind differ from
     each other and from all that kind's entities. An entity whose draw collides is
     drawn anew with the next salt; the one with the smallest form keeps a shared draw.
+    Draws grow from ``settings.rounds`` on, so each entity finds one.
     """
     entities = written(entities, "entities")
     done, open_ = None, entities.withColumn("salt", F.lit(0))
-    for attempt in range(settings.rounds):
+    for attempt in count():
         drawn = written(_drawn(settings, open_), "drawn")
         winners = drawn.groupBy("kind", "surrogate").agg(F.min("canonical").alias("canonical"))
         taken = entities.select("kind", F.col("canonical").alias("surrogate"))
@@ -241,7 +257,6 @@ def assigned(entities: DataFrame, settings: Settings = Settings()) -> DataFrame:
         )
         if open_.isEmpty():
             return done
-    raise ValueError("too few surrogates of a kind for its entities")
 
 
 def _formatted(text: Column, surrogate: Column, kind: Column) -> Column:
@@ -252,8 +267,12 @@ def _formatted(text: Column, surrogate: Column, kind: Column) -> Column:
         F.sequence(F.lit(1), F.size(characters)),
         lambda i: F.length(F.regexp_replace(F.array_join(F.slice(characters, 1, i), ""), r"[^\p{Nd}]", "")),
     )
-    numbered = F.array_join(
-        F.zip_with(characters, before, lambda c, n: F.when(c.rlike(r"\p{Nd}"), F.element_at(digits, n)).otherwise(c)), ""
+    numbered = F.concat(
+        F.array_join(
+            F.zip_with(characters, before, lambda c, n: F.when(c.rlike(r"\p{Nd}"), F.element_at(digits, n)).otherwise(c)), ""
+        ),
+        # A surrogate that had to be longer goes on behind the last digit.
+        F.substring(surrogate, F.element_at(before, -1) + 1, F.length(surrogate)),
     )
     spaced = F.regexp_replace(surrogate, "(.{4})(?=.)", "$1 ")
     upper = (F.upper(text) == text) & (F.lower(text) != text)
@@ -274,8 +293,8 @@ def replaced(docs: DataFrame, settings: Settings = Settings(), counted: str | No
     """
     marked = docs.withColumn("__pii_found", F.when(F.col("text").rlike(HINT), F.regexp_extract_all("text", F.lit(PATTERN), 0)))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    count = F.coalesce(F.size("__pii_found"), F.lit(0))
-    number = [] if counted is None else [F.greatest(count, F.lit(0)).alias(counted)]
+    finds_of = F.coalesce(F.size("__pii_found"), F.lit(0))
+    number = [] if counted is None else [F.greatest(finds_of, F.lit(0)).alias(counted)]
     holding = F.coalesce(F.size("__pii_found") > 0, F.lit(False))
     # Two hashes of the text are its name; rows without a find are never shuffled.
     named = [F.xxhash64("text").alias("__pii_one"), F.xxhash64(F.reverse("text")).alias("__pii_two")]

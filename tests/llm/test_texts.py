@@ -198,6 +198,30 @@ def test_surrogates_stay_distinct(llm):
     assert not {r["surrogate"] for r in found} & {c for _, c in entities}
 
 
+def test_secrets_without_a_letter_or_digit_are_none(docs):
+    texts = ["password: ______", "Token: ........", "Password:\n----------\nas before", "pwd = __~~//..", "secret: ------x1"]
+    rows = list(enumerate(texts))
+    out = {r["doc_id"]: r["text"] for r in surrogates.replaced(docs(rows), surrogates.Settings(rounds=3)).collect()}
+    assert [out[i] for i in range(4)] == texts[:4]
+    assert out[4] != texts[4] and re.fullmatch(r"secret: ------[a-z][0-9]", out[4])
+
+
+def test_forms_that_run_out_go_on_longer(llm, docs):
+    entities = [("key", f"_____{i}") for i in range(10)] + [("email", "_@-.de"), ("email", "_@-.fr"), ("email", "_@-.it")]
+    entities += [("phone", str(i)) for i in range(10)] + [("ssn", str(i)) for i in range(10)] + [("iban", f"DE{i}") for i in range(10)]
+    entities += [("card", str(i)) for i in range(10)]
+    found = surrogates.assigned(llm.createDataFrame(entities, "kind string, canonical string"), surrogates.Settings(rounds=2)).collect()
+    assert len(found) == len(entities) == len({(r["kind"], r["surrogate"]) for r in found})
+    assert not {(r["kind"], r["surrogate"]) for r in found} & set(entities)
+    drawn = surrogates._drawn(
+        surrogates.Settings(rounds=2), llm.createDataFrame([("ip", "1.2.3.4", 3)], "kind string, canonical string, salt int")
+    ).first()["surrogate"]
+    assert re.fullmatch(r"\d+(\.\d+){5}", drawn)
+    # In a text the further digits stand behind the last one.
+    shown = llm.createDataFrame([("12-34", "56789", "ssn")], "t string, s string, k string")
+    assert shown.select(surrogates._formatted(*[surrogates.F.col(c) for c in "tsk"])).first()[0] == "56-789"
+
+
 def test_crc_of_packed_ids():
     words = packing.WordTokenizer(WORDS)
     ids = Tokenizer.from_file(WORDS).encode("the cat", add_special_tokens=False).ids
