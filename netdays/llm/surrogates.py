@@ -51,18 +51,22 @@ _LEFT, _RIGHT = r"(?<![\p{L}\p{N}_.@-])", r"(?![\p{L}\p{N}_@-])"
 PATTERNS = {
     "secret": (
         r"(?<![\p{L}\p{N}])(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)"
-        r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?(?=[_+/.~-]{0,199}+[A-Za-z0-9])[A-Za-z0-9_+/.~-]{6,200}+"
+        r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?(?=[_+/.~-]*+[A-Za-z0-9])[A-Za-z0-9_+/.~-]{6,}+"
     ),
-    "key": r"(?<![\p{L}\p{N}])(?:AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}|sk_live_[A-Za-z0-9]{16,64})(?![\p{L}\p{N}])",
+    "key": r"(?<![\p{L}\p{N}])(?:AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}|sk_live_[A-Za-z0-9]{16,}+)(?![\p{L}\p{N}])",
     "email": r"(?<![\p{L}\p{N}._%+@-])[\p{L}\p{N}._%+-]{1,128}+@(?:[\p{L}\p{N}-]{1,63}+\.){1,8}\p{L}{2,24}(?![\p{L}\p{N}@])",
     "ip": _LEFT + r"(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\p{L}\p{N}_]|\.\d)",
     "ssn": _LEFT + r"\d{3}-\d{2}-\d{4}" + _RIGHT,
     "iban": _LEFT + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _RIGHT,
-    "card": _LEFT + r"(?:\d{4}[ -]){3}\d{1,7}" + _RIGHT + "|" + _LEFT + r"\d{13,19}" + _RIGHT,
+    "card": (
+        _LEFT + r"(?:\d{4}[ -]){3}\d{1,7}" + _RIGHT + "|" + _LEFT + r"\d{4}[ -]\d{6}[ -]\d{4,5}" + _RIGHT
+        + "|" + _LEFT + r"\d{13,19}" + _RIGHT
+    ),
     "phone": (
-        r"(?<![\p{L}\p{N}_.+-])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\d{3,5}" + _RIGHT
+        r"(?<![\p{L}\p{N}_.+-])(?:(?:\+\d{1,3}|1)[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\d{3,5}" + _RIGHT
         + r"|(?<![\p{L}\p{N}_.+-])\+\d{1,3}(?:[ .-]\d{2,5}){2,5}" + _RIGHT
-        + "|" + _LEFT + r"\d{3}[ .-]\d{3}[ .-]\d{4}" + _RIGHT
+        + r"|(?<![\p{L}\p{N}_.+-])\+(?:\d{8,15}|\d{1,3}[ .-]\d{6,12})" + _RIGHT
+        + "|" + _LEFT + r"(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}" + _RIGHT
     ),
     "name": (
         rf"(?<![\p{{L}}\p{{N}}])(?:{MALE}|{FEMALE}|{NEUTRAL})\.?[  ]\p{{Lu}}[\p{{L}}'’-]{{1,40}}+(?:[  ]\p{{Lu}}[\p{{L}}'’-]{{1,40}}+)?"
@@ -128,8 +132,8 @@ def _canonical(kind: Column, text: Column) -> Column:
 
 
 def _draw(settings: Settings, salt: Column, at: Column, of: int) -> Column:
-    """A keyed number below ``of`` for a place of an entity."""
-    digest = F.sha2(F.concat_ws("\u0001", F.lit(settings.key), F.col("kind"), F.col("canonical"), salt.cast("string"), at.cast("string")), 256)
+    """A keyed number below ``of`` for a place of an entity, of whose form ``digest`` is the hash."""
+    digest = F.sha2(F.concat_ws("\u0001", F.lit(settings.key), F.col("kind"), F.col("digest"), salt.cast("string"), at.cast("string")), 256)
     return F.pmod(F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint"), F.lit(of))
 
 
@@ -139,7 +143,7 @@ def _letters(alphabet: str, n: Column) -> Column:
 
 def _likewise(settings: Settings, text: Column, salt: Column) -> Column:
     """Text with every letter and digit replaced by another one of its class."""
-    hexadecimal = (F.col("kind") == "key") & F.col("canonical").rlike("^[0-9a-f]{12,}$")
+    hexadecimal = F.col("hexadecimal")
 
     def one(c: Column, i: Column) -> Column:
         def pick(alphabet: str) -> Column:
@@ -193,6 +197,13 @@ def _named(settings: Settings, salt: Column) -> Column:
     return out
 
 
+def _digested(entities: DataFrame) -> DataFrame:
+    """``entities`` with what their draws read in place of the form, which may be long."""
+    return entities.withColumn("digest", F.sha2("canonical", 256)).withColumn(
+        "hexadecimal", (F.col("kind") == "key") & F.col("canonical").rlike("^[0-9a-f]{12,}+$")
+    )
+
+
 def _drawn(settings: Settings, entities: DataFrame) -> DataFrame:
     """``entities`` with a ``surrogate`` each, drawn for their ``salt``."""
     salt, canonical = F.col("salt"), F.col("canonical")
@@ -220,7 +231,7 @@ def _drawn(settings: Settings, entities: DataFrame) -> DataFrame:
         F.transform(F.array_repeat(F.lit(0), further), lambda _, i: (_draw(settings, salt, i + 4, 256)).cast("string")),
     )
     first = F.substring("canonical", 1, 1)
-    likewise = entities.withColumn("drawn", _likewise(settings, longer(canonical, "0"), salt))
+    likewise = _digested(entities).withColumn("drawn", _likewise(settings, longer(canonical, "0"), salt))
     return likewise.withColumn(
         "surrogate",
         F.when(F.col("kind") == "email", email)
@@ -230,7 +241,7 @@ def _drawn(settings: Settings, entities: DataFrame) -> DataFrame:
         .when(F.col("kind") == "phone", F.concat(first, F.expr("substring(drawn, 2)")))
         .when(F.col("kind") == "key", key).when(F.col("kind") == "iban", iban)
         .when(F.col("kind") == "ssn", F.col("drawn")).otherwise(_named(settings, salt)),
-    ).drop("drawn")
+    ).drop("drawn", "digest", "hexadecimal")
 
 
 def assigned(entities: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -206,6 +206,32 @@ def test_secrets_without_a_letter_or_digit_are_none(docs):
     assert out[4] != texts[4] and re.fullmatch(r"secret: ------[a-z][0-9]", out[4])
 
 
+PHONES = [
+    "+14155550123", "+4915112345678", "+123456789012345", "1-800-555-1234", "1.800.555.1234", "1 800 555 1234", "1 (800) 555-1234", "+1 4155550123",
+]
+CARDS = ["3782 822463 10005", "3782-822463-10005", "3056 930902 5904", "378282246310005"]
+SECRETS = ["eyJ" + "aB3_-x" * 70 + "." + "Zz09" * 90, "k/+9" * 2_000]
+
+
+@pytest.mark.parametrize("before, after", [("call ", " now"), ("", ""), ("(", ")"), ("tel:", ", or")])
+def test_forms_of_numbers_and_keys_are_found_whole(docs, before, after):
+    finds = [*PHONES, *CARDS, "sk_live_" + "a1B2" * 40]
+    texts = [f"{before}{x}{after}" for x in finds] + [f"{before}token = {x}{after}" for x in SECRETS]
+    out = {r["doc_id"]: r for r in surrogates.replaced(docs(list(enumerate(texts))), counted="finds").collect()}
+    for i, (text, find) in enumerate(zip(texts, [*finds, *SECRETS])):
+        at = text.index(find)
+        new = out[i]["text"][at:at + len(find)]
+        assert out[i]["finds"] == 1 and out[i]["text"] == text[:at] + new + text[at + len(find):] and new != find
+        assert len(new) == len(find) and re.sub(r"[0-9A-Za-z]", "", new) == re.sub(r"[0-9A-Za-z]", "", find)
+        # Nothing of a long value stays, from its first piece to its last.
+        assert all(find[k:k + 12] != new[k:k + 12] for k in range(8, len(find) - 12, 4))
+
+
+def test_classes_of_numbers(llm):
+    rows = llm.createDataFrame([(x,) for x in PHONES + CARDS], "find string").select(surrogates._parts(surrogates.F.col("find")).alias("p")).collect()
+    assert [r["p"][0]["kind"] for r in rows] == ["phone"] * len(PHONES) + ["card"] * len(CARDS)
+
+
 def test_forms_that_run_out_go_on_longer(llm, docs):
     entities = [("key", f"_____{i}") for i in range(10)] + [("email", "_@-.de"), ("email", "_@-.fr"), ("email", "_@-.it")]
     entities += [("phone", str(i)) for i in range(10)] + [("ssn", str(i)) for i in range(10)] + [("iban", f"DE{i}") for i in range(10)]
