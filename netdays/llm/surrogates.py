@@ -9,7 +9,9 @@ octets, and names of the same gender, script and spelling. Two entities with one
 surrogate, or a surrogate that is some entity's own form, are found by aggregation
 over the whole table and drawn anew until all are distinct, after many draws as
 longer ones, so that no form runs out. Every occurrence then
-gets its entity's surrogate in its own format, so what referred to one thing still does.
+gets its entity's surrogate in its own format, so what referred to one thing still does:
+a given name is one entity under all titles, and where a text holds a titled name, the
+same words get the same surrogates elsewhere in it without a title.
 """
 
 from __future__ import annotations
@@ -69,7 +71,7 @@ PATTERNS = {
         + "|" + _LEFT + r"(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}" + _RIGHT
     ),
     "name": (
-        rf"(?<![\p{{L}}\p{{N}}])(?:{MALE}|{FEMALE}|{NEUTRAL})\.?[  ]\p{{Lu}}[\p{{L}}'’-]{{1,40}}+(?:[  ]\p{{Lu}}[\p{{L}}'’-]{{1,40}}+)?"
+        rf"(?<![\p{{L}}\p{{N}}])(?:{MALE}|{FEMALE}|{NEUTRAL})\.?(?:[  ]\p{{Lu}}(?:(?!['’]s(?!\p{{L}}))(?:\p{{L}}|['’-](?=\p{{L}}))){{1,40}}+){{1,4}}"
     ),
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -101,18 +103,15 @@ def _parts(found: Column) -> Column:
         return F.regexp_extract(found, expression, group)
 
     labelled = r"^([\p{L}_\-]+[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(.*)$"
-    titled = r"^(\S+[  ])(\S+)(?:([  ])(\S+))?$"
     gender = (
         F.when(found.rlike(rf"^(?:{MALE})\.?[  ]"), "m").when(found.rlike(rf"^(?:{FEMALE})\.?[  ]"), "f").otherwise("u")
     )
-    named = F.when(
-        cut(titled, 4) == "", F.array(part(None, cut(titled, 1)), part("family", cut(titled, 2)))
-    ).otherwise(
-        F.array(
-            part(None, cut(titled, 1)), F.struct(F.concat(F.lit("given_"), gender).alias("kind"), cut(titled, 2).alias("text")),
-            part(None, cut(titled, 3)), part("family", cut(titled, 4)),
-        )
-    )
+    words = F.regexp_extract_all(found, F.lit("[  ]|[^  ]+"), 0)  # the title, then blank and name by turns
+    named = F.transform(words, lambda word, i: F.struct(
+        F.when((i == 0) | (i % 2 == 1), F.lit(None)).when(i == F.size(words) - 1, "family")
+        .otherwise(F.concat(F.lit("given_"), gender)).alias("kind"),
+        word.alias("text"),
+    ))
     out = F.when(found.rlike(f"^(?:{PATTERNS['secret']})$"), F.array(part(None, cut(labelled, 1)), part("key", cut(labelled, 2))))
     for kind in ("key", "email", "ip", "ssn", "iban", "card", "phone"):
         out = out.when(found.rlike(f"^(?:{PATTERNS[kind]})$"), whole(kind))
@@ -122,6 +121,11 @@ def _parts(found: Column) -> Column:
 NUMBERS = ("ssn", "card", "phone")
 
 
+def _space(kind: Column) -> Column:
+    """Kinds whose entities and surrogates are told apart: given names are one, whatever gender."""
+    return F.when(kind.startswith("given"), "given").otherwise(kind)
+
+
 def _canonical(kind: Column, text: Column) -> Column:
     return (
         F.when(kind.isin(*NUMBERS), F.regexp_replace(text, r"[^\p{Nd}]", ""))
@@ -247,8 +251,8 @@ def _drawn(settings: Settings, entities: DataFrame) -> DataFrame:
 def assigned(entities: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``(kind, canonical, surrogate)``: a surrogate of its own for each distinct entity.
 
-    ``entities`` has distinct ``(kind, canonical)``. Surrogates of one kind differ from
-    each other and from all that kind's entities. An entity whose draw collides is
+    ``entities`` has distinct ``(kind, canonical)``. Surrogates of one kind (given names of
+    all genders are one) differ from each other and from all that kind's entities. An entity whose draw collides is
     drawn anew with the next salt; the one with the smallest form keeps a shared draw.
     Draws grow from ``settings.rounds`` on, so each entity finds one.
     """
@@ -256,11 +260,12 @@ def assigned(entities: DataFrame, settings: Settings = Settings()) -> DataFrame:
     done, open_ = None, entities.withColumn("salt", F.lit(0))
     for attempt in count():
         drawn = written(_drawn(settings, open_), "drawn")
-        winners = drawn.groupBy("kind", "surrogate").agg(F.min("canonical").alias("canonical"))
-        taken = entities.select("kind", F.col("canonical").alias("surrogate"))
+        space = _space(F.col("kind")).alias("space")
+        winners = drawn.groupBy(space, "surrogate").agg(F.min(F.struct("canonical", "kind")).alias("first"))
+        taken = entities.select(space, F.col("canonical").alias("surrogate"))
         if done is not None:
-            taken = taken.unionByName(done.select("kind", "surrogate"))
-        fresh = written(winners.join(taken, ["kind", "surrogate"], "left_anti").select("kind", "canonical", "surrogate"), "fresh")
+            taken = taken.unionByName(done.select(space, "surrogate"))
+        fresh = written(winners.join(taken, ["space", "surrogate"], "left_anti").select("first.kind", "first.canonical", "surrogate"), "fresh")
         done = fresh if done is None else done.unionByName(fresh)
         open_ = written(
             drawn.join(fresh, ["kind", "canonical"], "left_anti").select("kind", "canonical", F.lit(attempt + 1).alias("salt")),
@@ -295,11 +300,52 @@ def _formatted(text: Column, surrogate: Column, kind: Column) -> Column:
     )
 
 
+def _entities(parts: DataFrame) -> DataFrame:
+    """Distinct ``(kind, canonical)`` of parts; a given name is of the gender that its titles state."""
+    stated = F.col("kind")
+    one = parts.where("kind is not null").groupBy(_space(stated).alias("space"), "canonical").agg(
+        F.bool_or(stated == "given_m").alias("m"), F.bool_or(stated == "given_f").alias("f")
+    )
+    gender = F.when(F.col("m") & ~F.col("f"), "m").when(F.col("f") & ~F.col("m"), "f").otherwise("u")
+    return one.select(F.when(F.col("space") == "given", F.concat(F.lit("given_"), gender)).otherwise(F.col("space")).alias("kind"), "canonical")
+
+
+def _mentions(names: Column) -> Column:
+    """A pattern of a text's own names, longest first, that start with a capital."""
+    longest = F.transform(
+        F.array_distinct(F.transform(names, lambda n: n["canonical"])), lambda n: F.struct((-F.length(n)).alias("size"), n.alias("name"))
+    )
+    return F.concat(
+        F.lit(r"(?<![\p{L}\p{N}])(?=\p{Lu})(?iu:"),
+        F.array_join(F.transform(F.sort_array(longest), lambda n: n["name"]), "|"), F.lit(r")(?![\p{L}\p{N}])"),
+    )
+
+
+def _renamed(between: Column, names: Column, mentions: Column) -> Column:
+    """The text between finds, with the names found in the same text replaced there too.
+
+    A name right before another one is a given name, else a family name, where it is both.
+    """
+    literal = F.split(between, mentions, -1)
+    mentioned = F.regexp_extract_all(between, mentions, F.lit(0))
+
+    def surrogate(mention: Column, i: Column) -> Column:
+        canonical = _canonical(F.lit("family"), mention)
+        leads = F.get(literal, i + 1).isin(" ", "\u00a0") & (i + 1 < F.size(mentioned))
+        of = F.filter(names, lambda n: n["canonical"] == canonical)
+        wanted = F.filter(of, lambda n: (n["kind"] == "given") == leads)
+        found = F.get(F.concat(wanted, of), F.lit(0))["surrogate"]
+        return F.coalesce(F.when((F.upper(mention) == mention), F.upper(found)).otherwise(found), mention)
+
+    spelled = F.concat(F.transform(mentioned, surrogate), F.array(F.lit("")))
+    return F.array_join(F.zip_with(literal, spelled, lambda a, b: F.concat(a, b)), "")
+
+
 def replaced(docs: DataFrame, settings: Settings = Settings(), counted: str | None = None) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced; all rows and columns stay.
 
     A text that is null or holds none is unchanged. ``counted`` names a further
-    column with the number of finds. Equal texts get equal replacements, whatever
+    column with the number of finds, untitled mentions of names not among them. Equal texts get equal replacements, whatever
     their ids, nulls and repeats. Column names may be anything but start with ``__pii``.
     """
     marked = docs.withColumn("__pii_found", F.when(F.col("text").rlike(HINT), F.regexp_extract_all("text", F.lit(PATTERN), 0)))
@@ -320,21 +366,26 @@ def replaced(docs: DataFrame, settings: Settings = Settings(), counted: str | No
         .withColumn("canonical", F.when(F.col("kind").isNotNull(), _canonical(F.col("kind"), F.col("text"))))
     )
     parts = written(parts, "parts")
-    surrogates = assigned(parts.where("kind is not null").select("kind", "canonical").distinct(), settings)
-    spelled = parts.join(surrogates, ["kind", "canonical"], "left").withColumn(
+    surrogates = assigned(_entities(parts), settings).withColumn("kind", _space(F.col("kind")))
+    spelled = parts.withColumn("kind", _space(F.col("kind"))).join(surrogates, ["kind", "canonical"], "left").withColumn(
         "text", F.when(F.col("surrogate").isNull(), F.col("text")).otherwise(_formatted(F.col("text"), F.col("surrogate"), F.col("kind")))
     )
+    name = F.when(F.col("kind").isin("given", "family"), F.struct("kind", "canonical", "surrogate"))
     finds = spelled.groupBy(*key, "__pii_at").agg(
+        F.collect_set(name).alias("names"),
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part", "text"))), lambda x: x["text"]), "").alias("with")
     )
     rows = written(
         finds.groupBy(*key).agg(
-            F.transform(F.sort_array(F.collect_list(F.struct("__pii_at", "with"))), lambda x: x["with"]).alias("__pii_with")
-        ),
+            F.transform(F.sort_array(F.collect_list(F.struct("__pii_at", "with"))), lambda x: x["with"]).alias("__pii_with"),
+            F.array_distinct(F.flatten(F.collect_list("names"))).alias("__pii_names"),
+        ).withColumn("__pii_mentions", F.when(F.size("__pii_names") > 0, _mentions(F.col("__pii_names")))),
         "replacements",
     )
-    rebuilt = F.array_join(
-        F.zip_with(F.split("text", PATTERN, -1), F.concat("__pii_with", F.array(F.lit(""))), lambda a, b: F.concat(a, b)), ""
-    )
+    mentions, between = F.col("__pii_mentions"), F.split("text", PATTERN, -1)
+    literal = F.when(
+        mentions.isNotNull(), F.transform(between, lambda x: _renamed(x, F.col("__pii_names"), mentions))
+    ).otherwise(between)
+    rebuilt = F.array_join(F.zip_with(literal, F.concat("__pii_with", F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
     changed = found.join(rows, key).withColumn("text", rebuilt)
     return marked.where(~holding).select(*columns, *number).unionByName(changed.select(*columns, *number))

@@ -248,6 +248,31 @@ def test_forms_that_run_out_go_on_longer(llm, docs):
     assert shown.select(surrogates._formatted(*[surrogates.F.col(c) for c in "tsk"])).first()[0] == "56-789"
 
 
+def test_people_stay_the_same_people(docs):
+    rows = [
+        (1, "Mr. John Smith spoke. Later John Smith left; Smith's car, Smith-led talks and JOHN SMITH. A smith, Smithson, Johnny."),
+        (2, "Dr. John Smith and Prof. John Smith."), (3, "John Smith is in no title here."),
+        (4, "Mr. John Paul Smith, then Paul and Smith. Mail smith@mail.example.com."), (5, "Mrs. Anna O'Neil-Smith met Dr. O'Neil; O'Neil-Smith went."),
+        (6, "Mr. Kim Lee and Mrs. Kim Lee"), (7, "Mr. James Paul and Mr. Paul Jones: Paul Jones, Paul."),
+    ]
+    out = {r["doc_id"]: r["text"] for r in surrogates.replaced(docs(rows), counted="finds").collect()}
+    _, given, family = out[1].split(" ")[:3]
+    assert given in surrogates.GIVEN["m", "latin"].split()
+    assert out[1] == (
+        f"Mr. {given} {family} spoke. Later {given} {family} left; {family}'s car, {family}-led talks and {given.upper()} {family.upper()}."
+        " A smith, Smithson, Johnny."
+    )
+    assert out[2] == f"Dr. {given} {family} and Prof. {given} {family}." and out[3] == rows[2][1]
+    four = re.fullmatch(r"Mr\. (\S+) (\S+) (\S+), then (\S+) and (\S+)\. Mail (\S+)@\S+", out[4])
+    assert four.group(1, 3, 4, 5) == (given, family, four[2], family) and four[2] != "Paul" and four[6] != "smith"
+    five = re.fullmatch(r"Mrs\. (\S+) (\S+) met Dr\. (\S+); (\S+) went\.", out[5])
+    assert five[2] == five[4] != five[3] and not {"Anna", "O'Neil", "O'Neil-Smith"} & set(five.groups())
+    six = out[6].split(" ")
+    assert six[1] == six[5] and six[1] in surrogates.GIVEN["u", "latin"].split()  # both genders are stated
+    seven = re.fullmatch(r"Mr\. (\S+) (\S+) and Mr\. (\S+) (\S+): (\S+) (\S+), (\S+)\.", out[7])
+    assert seven.group(5, 6, 7) == seven.group(3, 4, 2) and seven[2] != seven[3]
+
+
 def test_crc_of_packed_ids():
     words = packing.WordTokenizer(WORDS)
     ids = Tokenizer.from_file(WORDS).encode("the cat", add_special_tokens=False).ids
