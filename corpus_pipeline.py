@@ -29,8 +29,11 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    found = langid.identified(docs, langid.fit(docs), "__lang", "__score")
-    return found.where(F.col("__lang") != langid.UNKNOWN).select(*docs.columns)
+    model = langid.fit(docs)
+    if not model.languages:
+        return langid.lettered(docs)
+    # Only a text without a letter scores zero, whatever its language is called.
+    return langid.identified(docs, model, "__lang", "__score").where("__score > 0").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

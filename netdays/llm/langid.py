@@ -265,6 +265,16 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     )
 
 
+def lettered(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose text has a letter: those that any model with a language identifies."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([any(map(str.isalpha, t)) for t in texts(batch)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identified(docs: DataFrame, model: Model, lang_column: str, score_column: str) -> DataFrame:
     """``docs`` with the predicted language and its score as two further columns.
 

@@ -78,6 +78,16 @@ def test_pipeline_against_plain_python(llm, small):
         assert [o for o, _ in held] == [0, *np.cumsum([n for _, n in held])[:-1]] and sum(held[-1]) <= 4096
 
 
+def test_corpora_without_a_language_stay(llm, docs):
+    rows = [(1, "the house"), (2, None), (3, ""), (4, "12 !"), (None, "дом"), (5, "3 é"), (5, "3 é")]
+    found = corpus_pipeline.language(llm, docs(rows), SF)
+    assert found.schema.names == docs(rows).schema.names
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in found.collect()) == [(0, "дом"), (1, "the house"), (5, "3 é"), (5, "3 é")]
+    # A language that is called like none is one.
+    called = corpus_pipeline.language(llm, docs([(1, "the house", "und"), (2, "12", "und"), (3, "der", None)]), SF)
+    assert sorted(r["doc_id"] for r in called.collect()) == [1, 3]
+
+
 def test_stages_keep_columns_nulls_and_empty_tables(llm, docs):
     rows = [(1, "the house of 1.2.3.4 and a@b.example.org", "en"), (2, None, None), (3, "", "en"), (4, "12", None), (None, "und so weiter", "de")]
     for table in (docs(rows), docs([])):
