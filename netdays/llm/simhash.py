@@ -58,9 +58,11 @@ def fingerprint(text: str, shingle: int) -> int:
     return int.from_bytes(np.packbits(ones * 2 > count).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = 3, names: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``(doc_id, simhash)``, one row per row of ``docs``; the 64 bits as a signed long.
 
+    ``names`` are the columns that go before the fingerprint.
+
     A text that is null or has no word has fingerprint zero; one of fewer words
     than a shingle is one shingle.
     """
@@ -69,11 +71,11 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
         for batch in batches:
             marks = np.array([fingerprint(t, shingle) for t in texts(batch)], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(marks.view(np.int64))], ["doc_id", "simhash"]
+                [*[batch.column(n) for n in names], pa.array(marks.view(np.int64))], [*names, "simhash"]
             )
 
-    kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, simhash bigint")
+    kinds = dict(docs.dtypes)
+    return docs.select(*names, "text").mapInArrow(run, ", ".join(f"{n} {kinds[n]}" for n in names) + ", simhash bigint")
 
 
 def _bit_count(values: np.ndarray) -> np.ndarray:
@@ -278,10 +280,21 @@ def simhash_components(docs: DataFrame, shingle: int = 3, budget: int = 3,
 def one_of_each(docs: DataFrame, shingle: int = 3, budget: int = 3) -> DataFrame:
     """``docs`` without near-duplicates: of each component the row with the smallest id stays.
 
-    Rows that repeat id and text are one; rows with a null id link nothing and stay.
+    Components are those of the fingerprints, so an id that repeats with different texts
+    links nothing; of one id's texts in a component that of the smallest hash stays. Rows
+    that repeat id and text are one; rows with a null id link nothing and stay.
     """
-    found = simhash_components(docs, shingle, budget)
-    kept = written(found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct(), "kept")
+    id_ = F.col("doc_id").cast("bigint").alias("__id")
     numbered = docs.where("doc_id is not null").withColumn("__text", F.xxhash64("text"))
-    first = numbered.join(kept, F.col("doc_id").cast("bigint") == F.col("__kept"), "left_semi").dropDuplicates(["doc_id", "__text"])
+    marked = written(fingerprints(numbered.select(id_, "text", "__text"), shingle, ("__id", "__text")), "simhash")
+    classes = written(marked.groupBy("simhash").agg(F.min(F.struct("__id", "__text")).alias("first")), "classes")
+    reached = components(trie_links(classes.select("simhash", F.col("simhash").alias("id")), budget))
+    kept = written(
+        classes.join(reached, classes["simhash"] == reached["node"], "left")
+        .groupBy(F.coalesce("component", "simhash")).agg(F.min("first").alias("first"))
+        .select(F.col("first.__id").alias("__kept"), F.col("first.__text").alias("__kept_text")),
+        "kept",
+    )
+    same = (F.col("doc_id").cast("bigint") == F.col("__kept")) & (F.col("__text") == F.col("__kept_text"))
+    first = numbered.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__text"])
     return first.drop("__text").unionByName(docs.where("doc_id is null"))

@@ -88,6 +88,14 @@ def test_nulls_repeats_and_empty_tables(docs):
     assert simhash.simhash_components(docs([])).collect() == []
 
 
+def test_ids_that_repeat_with_other_texts(docs):
+    other, near, near_too = "quite other words here", "a b c d", "A  B C\td"
+    kept = simhash.one_of_each(docs([(5, other), (5, near), (3, near_too), (5, other), (8, other), (8, "and a third of them")]))
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(3, near_too), (5, other), (8, "and a third of them")]
+    both = simhash.one_of_each(docs([(5, near), (5, near_too), (6, near)])).collect()
+    assert len(both) == 1 and both[0]["doc_id"] == 5
+
+
 def test_components_of_chains_and_stars(llm):
     chain = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(40)] + [(7, 7), (None, 3)]
     random.Random(1).shuffle(chain)
