@@ -2,7 +2,8 @@
 
 1. language ID: documents without a language (no text, or no letter in it) go;
 2. SimHash near-duplicates: one document of each group, the smallest id, stays;
-3. suffix arrays: passages of 50 words or more stay where they stand first only;
+3. suffix arrays: passages of 50 words or more that several texts share stay in the first
+   document only, there at all their places; what recurs only inside one text stays;
 4. personal data: what is found becomes surrogates;
 5. packing: the ids of what is left, packed into sequences of 4,096.
 
