@@ -83,13 +83,16 @@ def learn(sample: np.ndarray, settings: Settings = Settings()) -> Codes:
         left, _, right = np.linalg.svd(projected.T @ signs)
         rotation = left @ right
     codes = Codes(mean, axes @ rotation, 0)
-    # Partners at the threshold exactly, in random directions.
-    noise = random.standard_normal(unit.shape)
-    noise -= (noise * unit).sum(axis=1, keepdims=True) * unit
-    noise /= np.maximum(np.linalg.norm(noise, axis=1, keepdims=True), 1e-300)
-    partner = settings.threshold * unit + np.sqrt(1 - settings.threshold**2) * noise
-    apart = np.bitwise_count(codes.of(unit) ^ codes.of(partner))
-    radius = int(np.quantile(apart, 1 - settings.missed, method="higher")) if len(apart) else 0
+    # Partners at the threshold exactly, in random directions of the space and in those the
+    # sample itself spreads in, where codes of fewer bits than dimensions differ more.
+    radius = 0
+    for noise in (random.standard_normal(unit.shape), unit - unit[random.permutation(len(unit))]):
+        noise -= (noise * unit).sum(axis=1, keepdims=True) * unit
+        noise /= np.maximum(np.linalg.norm(noise, axis=1, keepdims=True), 1e-300)
+        partner = settings.threshold * unit + np.sqrt(1 - settings.threshold**2) * noise
+        apart = np.bitwise_count(codes.of(unit) ^ codes.of(partner))
+        if len(apart):
+            radius = max(radius, int(np.quantile(apart, 1 - settings.missed, method="higher")))
     return Codes(mean, codes.axes, min(radius + 1, bits))
 
 

@@ -37,6 +37,19 @@ def test_links_are_those_of_all_pairs(llm, clustered, chunk):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in found.values())
 
 
+@pytest.mark.parametrize("size, rank", [(64, 64), (256, 48), (768, 100)])
+def test_radius_reaches_pairs_of_the_datas_own_directions(size, rank):
+    random = np.random.default_rng(size)
+    basis = random.standard_normal((rank, size))
+    unit, noise = (random.standard_normal((4_000, rank)) @ basis for _ in range(2))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    noise -= (noise * unit).sum(axis=1, keepdims=True) * unit
+    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+    codes = itq.learn(unit)
+    apart = np.bitwise_count(codes.of(unit) ^ codes.of(0.95 * unit + np.sqrt(1 - 0.95**2) * noise))
+    assert (apart > codes.radius).mean() <= 0.004
+
+
 def test_vectors_that_take_no_part(llm):
     nan, inf = float("nan"), float("inf")
     vectors = [[1, 0], [2, 0], None, [0, 0], [nan, 1], [None, 1], [inf, 1], [], [1, 0, 0], [1, 0], [1, 0]]
