@@ -134,8 +134,29 @@ def _traverse(marks: np.ndarray, roots: np.ndarray, depth: int, budget: int) ->
             pending.append((depth + 1, below))
 
 
+def spanning(count: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Indices of links that connect the same nodes without a circle.
+
+    Every component takes its first link that leaves it, until none does.
+    """
+    label, taken = np.arange(count), []
+    links = np.arange(len(left))
+    while True:
+        one, other = label[left[links]], label[right[links]]
+        leaving = one != other
+        links, one, other = links[leaving], one[leaving], other[leaving]
+        if not len(links):
+            return np.concatenate(taken) if taken else links
+        first = np.full(count, len(left))
+        np.minimum.at(first, one, links)
+        np.minimum.at(first, other, links)
+        new = np.unique(first[first < len(left)])
+        taken.append(new)
+        label = local_components(count, label[left[new]], label[right[new]])[label]
+
+
 def _node_links(units: dict[str, np.ndarray], budget: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning links of the marks in some whole units of work."""
+    """Spanning links of the marks in some whole units of work; each is a pair within the budget."""
     marks = units["mark"].view(np.uint64)
     unit = np.stack([units[k] for k in ("block", "node", "one", "other")], axis=1)
     starts = np.flatnonzero(np.any(unit[1:] != unit[:-1], axis=1)) + 1
@@ -162,16 +183,16 @@ def _node_links(units: dict[str, np.ndarray], budget: int) -> tuple[np.ndarray,
         return empty, empty
     left, right = (np.concatenate(x) for x in zip(*found))
     # A fingerprint may lie in several units; links stay inside one mark's unit rows.
-    root = local_components(len(marks), left, right)
-    member = np.flatnonzero(root != np.arange(len(marks)))
-    return member, root[member]
+    tree = spanning(len(marks), left, right)
+    return left[tree], right[tree]
 
 
 def trie_links(marks: DataFrame, budget: int = 3, node_limit: int = NODE_LIMIT) -> DataFrame:
     """Links ``(a, b)`` of ids that join all ids of marks within the budget.
 
     ``marks`` has distinct ``simhash`` values and an ``id`` each. Instead of all
-    pairs of a dense group, links that connect the same marks come back.
+    pairs of a dense group, links that connect the same marks come back; each of
+    them is a pair within the budget that the traversal found.
     """
     blocks = budget + 1
     if BITS % blocks:
