@@ -3,24 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from functools import partial, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netdays.llm import itq, langid, packing, piece_bpe, pitman_yor, posting_lists, quality, simhash, suffixes, surrogates
+from netdays.llm import block_names, itq, langid, packing, piece_bpe, pitman_yor, posting_lists, quality, simhash, suffixes, surrogates
 from netdays.llm.common import prepare, remainder, table, written  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(function):
+def query(function=None, *, sql: str | None = None):
+    """Register a function under its own name, with the SQL that must agree."""
+    if function is None:
+        return partial(query, sql=sql)
+
     @wraps(function)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return function(prepare(spark), sf_dir)
 
     QUERIES[function.__name__] = run
+    if sql is not None:
+        ORACLES[function.__name__] = sql
     return function
 
 
@@ -110,3 +116,19 @@ def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return posting_lists.nearest(rows, rows.where("vec_id % 20 = 0"), k=20)
+
+
+@query(sql=r"""
+WITH texts AS (
+    SELECT doc_id, length(coalesce(text, '')) AS points,
+        regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS plain
+    FROM documents
+),
+stays AS (
+    SELECT plain, count(*) AS group_size, arg_min(doc_id, (-points, doc_id)) AS keep_id FROM texts GROUP BY plain
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(plain) AS text_sha256
+FROM texts JOIN stays USING (plain)
+""")
+def op11_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_names.exact_groups(table(spark, sf_dir, "documents"))
