@@ -40,6 +40,11 @@ def not_null_rules(columns: Sequence[str]) -> dict[str, Column]:
     return {f"{c} missing": F.col(c).isNotNull() for c in columns}
 
 
+def length_rules(limits: Mapping[str, int]) -> dict[str, Column]:
+    """Texts may be null, but no longer than their limit."""
+    return {f"{c} too long": F.col(c).isNull() | (F.length(c) <= n) for c, n in limits.items()}
+
+
 def accepted(marked: DataFrame) -> DataFrame:
     return marked.filter(F.col("rejectReason").isNull()).drop("rejectReason")
 

@@ -1,9 +1,10 @@
-"""The offer ledger: four parquet tables, appended to, offers by invoice month."""
+"""The offer ledger: four parquet tables in batches, offers by invoice month, under a commit log."""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+import uuid
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,10 @@ from pyspark.sql.types import StructField, StructType
 from netdays import schemas
 from netdays.functions.dates import lookback_start
 from netdays.operators.ids import dense_ids
+from netdays.operators.incremental import offered_among
+from netdays.operators.updates import update_column
+from netdays.sources import key_index
+from netdays.sources.commits import CommitLog, ConcurrentCommit, Entry
 
 TABLES = {
     "customers": schemas.CUSTOMERS,
@@ -51,12 +56,23 @@ def fit(rows: DataFrame, schema: StructType) -> DataFrame:
 
 
 class Ledger:
-    """Tables under ``root``, or where ``locations`` says, as after an update."""
+    """Tables under ``root``, or where ``locations`` says, as after a snapshot.
 
-    def __init__(self, spark: SparkSession, root: str, locations: Mapping[str, str] | None = None):
+    What is live is read from the commit log, in its newest ``version`` unless one is given.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        locations: Mapping[str, str] | None = None,
+        version: int | None = None,
+    ):
         self.spark = spark
         self.root = root
         self.locations = dict(locations or {})
+        self.log = CommitLog(spark, f"{root}/commits")
+        self._version = version
 
     def path(self, table: str) -> str:
         return self.locations.get(table, f"{self.root}/{table}")
@@ -70,38 +86,144 @@ class Ledger:
 
     def create(self) -> None:
         """Empty tables where there are none."""
+        if self.log.latest() is None:
+            try:
+                self.log.publish((), None)
+            except ConcurrentCommit:
+                pass  # created by another writer meanwhile
         for table in TABLES:
-            self._write(fit(self.spark.range(0), self.stored_schema(table)), table, "ignore")
             fit(self.spark.range(0), REJECTS).write.mode("ignore").parquet(self.rejects_path(table))
 
-    def read(self, table: str) -> DataFrame:
-        return self.spark.read.schema(self.stored_schema(table)).parquet(self.path(table))
+    @property
+    def version(self) -> int | None:
+        """The version that is read; none before the ledger is created."""
+        return self.log.latest() if self._version is None else self._version
 
-    def _write(self, rows: DataFrame, table: str, mode: str, path: str | None = None) -> None:
-        partitions = [MONTH] if table in BY_MONTH else []
-        rows.write.mode(mode).partitionBy(*partitions).parquet(path or self.path(table))
+    def at(self, version: int) -> Ledger:
+        """The ledger as it was when a version was published."""
+        return Ledger(self.spark, self.root, self.locations, version)
+
+    def entries(self, table: str) -> list[Entry]:
+        version = self.version
+        return [] if version is None else [e for e in self.log.entries(version) if e.table == table]
+
+    def _live(self, name: str, entries: Sequence[Entry], schema: StructType) -> DataFrame:
+        """The rows of some folders."""
+        if not entries:
+            return fit(self.spark.range(0), schema)
+        top = f"{self.root}/{name}"
+        month = lambda e: "" if e.month is None else f"/{MONTH}={e.month.isoformat()}"
+        paths = [f"{top}/batch={e.batch}{month(e)}" for e in entries]
+        stored = StructType([*schema.fields, StructField("batch", schemas.TEXT)])
+        return self.spark.read.schema(stored).option("basePath", top).parquet(*paths).drop("batch")
+
+    def read(self, table: str) -> DataFrame:
+        if table in self.locations:
+            return self.spark.read.schema(self.stored_schema(table)).parquet(self.path(table))
+        return self._live(table, self.entries(table), self.stored_schema(table))
 
     def last_id(self, table: str) -> int:
-        return self.read(table).agg(F.coalesce(F.max(IDS[table]), F.lit(0))).head()[0]
+        if table in self.locations:
+            return self.read(table).agg(F.coalesce(F.max(IDS[table]), F.lit(0))).head()[0]
+        return max((e.last_id for e in self.entries(table) if e.last_id is not None), default=0)
+
+    def _partitioned(self, rows: DataFrame, table: str, path: str) -> None:
+        """Write rows, a folder per month. The rebalance keeps the files of a small month few
+        and cuts those of a large one, so that no task writes a whole hot month."""
+        if table in BY_MONTH:
+            month = F.trunc("invoiceDate", "month")
+            rows.withColumn(MONTH, month).hint("rebalance", MONTH).write.partitionBy(MONTH).parquet(path)
+        else:
+            rows.hint("rebalance").write.parquet(path)
+
+    def _batch(self, table: str, rows: DataFrame) -> list[Entry]:
+        """A new folder of rows that have ids, not yet published."""
+        batch = uuid.uuid4().hex
+        path = f"{self.root}/{table}/batch={batch}"
+        self._partitioned(rows.select(*TABLES[table].names), table, path)
+        columns = TABLES[table].names
+        largest = lambda c: F.max(c) if c in columns else F.lit(None).cast("date")
+        month = F.col(MONTH) if table in BY_MONTH else F.lit(None).cast("date")
+        # A narrow scan of the new folder alone: one row per month comes back.
+        stats = (
+            self.spark.read.schema(self.stored_schema(table)).parquet(path)
+            .groupBy(month.alias("month"))
+            .agg(F.count(F.lit(1)), F.max(IDS[table]), largest("invoiceDate"), largest("glDate"))
+        )
+        return [Entry(table, batch, *row) for row in stats.collect()]
 
     def append(self, table: str, rows: DataFrame, fixed: bool = False) -> None:
         """Append rows with new ids. Rows must have passed the not-null rules.
 
-        ``fixed`` rows come from a checkpoint, which numbers them without another.
-
-        The rebalance keeps the files of a small month few and cuts those of a
-        large one, so that no task writes a whole hot month.
+        ``fixed`` rows come from a checkpoint, which numbers them without another. Data and keys
+        are written first and then published together, so a run that dies in between leaves
+        the ledger as it was. :class:`ConcurrentCommit` tells that another writer was faster.
         """
+        before = self.version
+        live = () if before is None else self.log.entries(before)
         identified = fit(
             dense_ids(rows, IDS[table], first=self.last_id(table) + 1, fixed=fixed), TABLES[table]
         )
+        added = self._batch(table, identified)
+        if not added:
+            return
         if table in BY_MONTH:
-            identified = identified.withColumn(MONTH, F.trunc("invoiceDate", "month")).hint(
-                "rebalance", MONTH
-            )
-        else:
-            identified = identified.hint("rebalance")
-        self._write(identified, table, "append")
+            added = [*added, key_index.write_keys(self, table, added)]
+        self.log.publish((*live, *added), before)
+
+    def keys(self, table: str) -> DataFrame:
+        """``(key, invoiceMonth)`` of every offer, each batch sorted by key."""
+        name = key_index.name(table)
+        return self._live(name, self.entries(name), key_index.SCHEMA)
+
+    def held(self, table: str, invoices: DataFrame, key: str) -> DataFrame:
+        """Keys of the ledger that occur among the invoices, from the key index."""
+        if table in self.locations:
+            return offered_among(invoices, self.read(table), key)
+        return key_index.held(self.keys(table), invoices, key)
+
+    def update(
+        self, table: str, updates: DataFrame, key: str, column: str, order: str | None = None
+    ) -> list[dt.date]:
+        """Publish the offers with ``column`` replaced, as :func:`update_column` does.
+
+        Only months that hold an updated key are read and written anew; their list, which comes
+        from the key index, is returned. A failed or concurrent update changes nothing.
+        """
+        before = self.version
+        live = self.log.entries(before)
+        months = sorted(
+            row[0] for row in key_index.rows_held(self.keys(table), updates, key).select(MONTH).distinct().collect()
+        )
+        touched = [e for e in live if e.table == table and e.month in months]
+        if not touched:
+            return []
+        rows = self._live(table, touched, self.stored_schema(table))
+        added = self._batch(table, update_column(rows, updates, key, column, order))
+        self.log.publish((*[e for e in live if e not in touched], *added), before)
+        return months
+
+    def compact(self, table: str, folders: int = 2) -> list[dt.date | None]:
+        """Pack months that lie in ``folders`` or more batches into one each, and so their keys.
+
+        Files get the size that adaptive execution aims at (advisoryPartitionSizeInBytes). The
+        packed months come back; older versions keep their files.
+        """
+        before = self.version
+        live = self.log.entries(before)
+        by_month: dict = {}
+        for entry in live:
+            if entry.table == table:
+                by_month.setdefault(entry.month, []).append(entry)
+        crowded = [e for some in by_month.values() if len(some) >= folders for e in some]
+        added = self._batch(table, self._live(table, crowded, self.stored_schema(table))) if crowded else []
+        keys = [e for e in live if e.table == key_index.name(table)]
+        if len(keys) >= folders:
+            added = [*added, key_index.pack_keys(self, table, keys)]
+            crowded = [*crowded, *keys]
+        if added:
+            self.log.publish((*[e for e in live if e not in crowded], *added), before)
+        return sorted(({e.month for e in added if e.table == table}), key=str)
 
     def rejects_path(self, table: str) -> str:
         return f"{self.root}/rejects/{table}"
@@ -122,25 +244,19 @@ class Ledger:
         new.select(*REJECTS.names).write.mode("append").parquet(self.rejects_path(table))
 
     def write_snapshot(self, table: str, rows: DataFrame, path: str) -> Ledger:
-        """Write an updated table to a fresh path; the new ledger reads it there.
-
-        The path that is being read stays as it is, so a failed write loses nothing.
-        """
-        self._write(rows, table, "errorifexists", path)
-        return Ledger(self.spark, self.root, self.locations | {table: path})
+        """Write a copy of a table to a fresh path; the new ledger reads it there."""
+        partitions = [MONTH] if table in BY_MONTH else []
+        rows.write.mode("errorifexists").partitionBy(*partitions).parquet(path)
+        return Ledger(self.spark, self.root, self.locations | {table: path}, self._version)
 
     def watermark(self, table: str, as_of: dt.date, column: str = "invoiceDate") -> dt.date:
-        """Last date in ``column``, else two months before ``as_of``.
-
-        For the invoice date only the newest month is read: the first query is
-        answered from the partition names of the files.
-        """
-        rows = self.read(table)
-        if column == "invoiceDate":
-            newest = rows.agg(F.max(MONTH)).head()[0]
-            if newest is None:
-                return self.spark.range(1).select(lookback_start(F.lit(as_of))).head()[0]
-            rows = rows.filter(F.col(MONTH) == F.lit(newest))
-        return rows.agg(
-            F.coalesce(F.max(column), lookback_start(F.lit(as_of)))
-        ).head()[0]
+        """Last date in ``column``, else two months before ``as_of``; no offer is read for it."""
+        if table in self.locations:
+            last = self.read(table).agg(F.max(column)).head()[0]
+        else:
+            dates = {"invoiceDate": "last_invoice_date", "glDate": "last_gl_date"}[column]
+            known = (getattr(e, dates) for e in self.entries(table))
+            last = max((d for d in known if d is not None), default=None)
+        if last is not None:
+            return last
+        return self.spark.range(1).select(lookback_start(F.lit(as_of))).head()[0]

@@ -3,8 +3,9 @@
 Exactly once by invoice key: a batch leaves out what the ledger already
 holds, so a batch that is replayed after a failure adds nothing twice.
 
-Nothing is lost either: invoices whose party isn't known yet wait in a table of
-the batch, beside the stream's checkpoint, and are tried again with the next one.
+Nothing is lost either: invoices whose party isn't known yet wait in the ledger's queue,
+which streams and runs drain alike, and are offered with the first batch or run after
+the party has come.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql.types import StructType
 from netdays.operators.incremental import not_yet_offered, offered_among
 from netdays.params import CustomerParams, SupplierParams
 from netdays.plans.payables import canonical_invoices
-from netdays.plans.runs import offer_payables, offer_receivables
+from netdays.plans.runs import settle_payables, settle_receivables
 from netdays.session import written
 from netdays.sources.ledger import Ledger
 
@@ -71,23 +72,16 @@ Parties = DataFrame | Callable[[], DataFrame]
 Complete = Callable[[Ledger, DataFrame], object]
 
 
-def _with_waiting(batch: DataFrame, checkpoint: str, number: int) -> DataFrame:
-    """A batch and the rows that waited after the one before it."""
-    if number == 0:
-        return batch
-    waited = batch.sparkSession.read.schema(batch.schema).parquet(f"{checkpoint}-waiting/{number - 1}")
-    return batch.unionByName(waited)
-
-
-def _wait(rows: DataFrame, checkpoint: str, number: int) -> None:
-    """Keep rows for the next batch; a replayed batch writes the same again."""
-    rows.write.mode("overwrite").parquet(f"{checkpoint}-waiting/{number}")
-
-
 def _now(parties: Parties) -> DataFrame:
     return parties() if callable(parties) else parties
 
 
+def _held(ledger: Ledger, table: str, new: DataFrame, elsewhere: DataFrame | None, key: str) -> list[DataFrame]:
+    """Keys of the batch that have an offer, in the ledger and elsewhere."""
+    found = [ledger.held(table, new, key)]
+    return found if elsewhere is None else [*found, offered_among(new, elsewhere, key)]
+
+
 def customer_offer_stream(
     headers: DataFrame,
     to_invoices: Callable[[DataFrame], DataFrame],
@@ -104,7 +98,8 @@ def customer_offer_stream(
     ``to_invoices`` consolidates a batch: its own lines, or its headers with
     lines from elsewhere, of which it should read only those of the batch. A
     batch is written before it is used, so it is computed once and its size is
-    known to the joins. All lines of an invoice must be there when its header comes.
+    known to the joins. All lines of an invoice must be there when its header comes; where
+    lines come in any order, :func:`netdays.streaming.lines.line_offer_stream` waits for them.
 
     ``customers`` may be a function, such as one that reads the ledger, and is then
     asked in each batch; ``complete``, such as ``ensure_customers``, loads parties of
@@ -113,18 +108,13 @@ def customer_offer_stream(
     ledger.create()
 
     def append(batch: DataFrame, number: int) -> None:
-        new = written(_with_waiting(batch, checkpoint, number).distinct(), "batch")
-        for offered in (ledger.read("customerOffers"), offered_elsewhere):
-            if offered is not None:
-                held = offered_among(new, offered, "invoiceNumber")
-                new = not_yet_offered(new, held, "invoiceNumber")
+        new = written(batch.distinct(), "batch")
+        for held in _held(ledger, "customerOffers", new, offered_elsewhere, "invoiceNumber"):
+            new = not_yet_offered(new, held, "invoiceNumber")
         invoices = written(to_invoices(new), "new-batch")
         if complete is not None:
             complete(ledger, invoices)
-        known = _now(customers)
-        offer_receivables(ledger, invoices, known, params)
-        late = invoices.join(known.select("customerKey"), "customerKey", "left_anti")
-        _wait(new.join(late.select("invoiceNumber"), "invoiceNumber", "left_semi").select(*batch.columns), checkpoint, number)
+        settle_receivables(ledger, invoices, _now(customers), params)
 
     return _start(headers, append, checkpoint, every)
 
@@ -146,16 +136,12 @@ def supplier_offer_stream(
     ledger.create()
 
     def append(batch: DataFrame, number: int) -> None:
-        all_rows = _with_waiting(batch, checkpoint, number)
-        new = written(canonical_invoices(all_rows, with_gl_date=True), "batch")
-        if offered_elsewhere is not None:
-            held = offered_among(new, offered_elsewhere, "invoiceUniqueKey")
+        new = written(canonical_invoices(batch, with_gl_date=True), "batch")
+        for held in _held(ledger, "supplierPayment", new, offered_elsewhere, "invoiceUniqueKey"):
             new = not_yet_offered(new, held, "invoiceUniqueKey")
+        new = written(new, "new-batch")
         if complete is not None:
             complete(ledger, new)
-        known = _now(suppliers)
-        offer_payables(ledger, new, known, params)
-        late = new.join(known.select("vendorId"), "vendorId", "left_anti").select("vendorId", "invoiceNumber")
-        _wait(all_rows.join(late, ["vendorId", "invoiceNumber"], "left_semi").select(*batch.columns), checkpoint, number)
+        settle_payables(ledger, new, _now(suppliers), params)
 
     return _start(extract, append, checkpoint, every)
