@@ -164,6 +164,8 @@ def settle(
     """
     queue = Waiting(ledger, table)
     due, ready = new, None
+    if not queue and new.isEmpty():
+        return 0, 0, 0
     if queue:
         ready = written(queue.ready(parties), "ready")
         unoffered = not_yet_offered(ready, ledger.held(table, ready, queue.key), queue.key)
