@@ -35,6 +35,7 @@ def load() -> None:
     """Import the modules that register queries."""
     from netdays.catalog import (  # noqa: F401
         incremental,
+        ledgers,
         lookups,
         parties,
         payable,

@@ -173,7 +173,7 @@ def duplicate_invoice_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # The supplier master check repeats the stand-in relations in SQL: two sites and
 # two contacts per supplier, accounts out of the parts a supplier delivers.
-_SUPPLIER_SQL = f"""
+SUPPLIER_SQL = f"""
 WITH sites AS (
   SELECT s_suppkey AS vendor_id, s_suppkey * 2 + k AS site_id
   FROM supplier CROSS JOIN (VALUES (0), (1)) AS v(k) WHERE s_suppkey % 5 <> 4 AND (k = 0 OR s_suppkey % 2 = 0)
@@ -220,7 +220,7 @@ WHERE CASE WHEN s.s_suppkey % 7 = 0 THEN 'EMPLOYEE' WHEN s.s_suppkey % 7 = 1 THE
 SELECT vendorId, supplierName, supplierType, creditTerms, vendorSiteId, email, phone,
   CASE WHEN phone IS NULL THEN '   ' ELSE contactName0 END AS contactName,
   autoCalculateTaxFlag, matchingLevel, bankName, bankBranchName, bankAccountNumber, bankAccountName
-FROM ({_SUPPLIER_SQL})""")
+FROM ({SUPPLIER_SQL})""")
 def ap_supplier_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole supplier extract: sites, contacts, terms, first bank and account."""
     extract = payables.supplier_extract(standins.supplier_relations(spark, sf_dir))
@@ -234,7 +234,7 @@ def ap_supplier_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
 SELECT vendorId, min(supplierName) AS supplierName, min(supplierType) AS supplierType,
   min(creditTerms) AS creditTerms, min(phone) AS phone, min(email) AS email
-FROM ({_SUPPLIER_SQL}) GROUP BY vendorId""")
+FROM ({SUPPLIER_SQL}) GROUP BY vendorId""")
 def ap_supplier_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical suppliers, one row per vendor."""
     extract = payables.supplier_extract(standins.supplier_relations(spark, sf_dir))
@@ -242,7 +242,7 @@ def ap_supplier_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-SELECT DISTINCT vendorId, supplierName, supplierType, creditTerms, phone, email FROM ({_SUPPLIER_SQL})""")
+SELECT DISTINCT vendorId, supplierName, supplierType, creditTerms, phone, email FROM ({SUPPLIER_SQL})""")
 def ap_supplier_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical supplier rows, exact repeats removed."""
     extract = payables.supplier_extract(standins.supplier_relations(spark, sf_dir))
