@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from netdays.catalog import query, sql
 from netdays.operators import lookups, tiers
+from netdays.operators.joins import spread_left_join
 from netdays.params import SAMPLE_SUPPLIER
 from netdays.sources import payables, standins
 
@@ -36,13 +37,16 @@ SELECT o_custkey AS customerNumber,
 FROM orders GROUP BY o_custkey""")
 def credit_limits_by_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The largest limit per customer and currency; order status stands for currency."""
+    return lookups.credit_limits(_limits(spark, sf_dir), ["customerNumber"])
+
+
+def _limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.col("o_orderstatus")
-    amounts = standins.table(spark, sf_dir, "orders").select(
+    return standins.table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("customerNumber"),
         F.when(status == "F", "KES").when(status == "O", "USD").otherwise("GBP").alias("currencyCode"),
         F.col("o_totalprice").cast("decimal(20,2)").alias("creditLimit"),
     )
-    return lookups.credit_limits(amounts, ["customerNumber"])
 
 
 @query("""
@@ -80,6 +84,55 @@ def unit_cost_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("itemId", "organizationId")
 
 
+_COST = "round(cast(p_retailprice AS decimal(12,2)) * cast(1.23456 AS decimal(6,5)), 5)"
+
+
+def _repeated_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unit costs of which some items have two equal and some two different rows."""
+    key = F.col("p_partkey")
+    cost = F.round(F.col("p_retailprice").cast("decimal(12,2)") * F.lit("1.23456").cast("decimal(6,5)"), 5)
+    rows = F.when(key % 6 == 0, F.array(cost, cost)).when(key % 6 == 1, F.array(cost, cost + 1)).otherwise(F.array(cost))
+    return standins.table(spark, sf_dir, "part").select(
+        key.alias("itemId"), F.lit(1).alias("organizationId"), F.explode(rows).alias("itemCost"), F.lit(2).alias("costTypeId")
+    )
+
+
+@query(f"""
+SELECT l_orderkey, l_linenumber, CASE WHEN p_partkey % 6 <> 1 THEN {_COST} END AS "unitCost",
+  coalesce(p_partkey % 6 = 1, FALSE) AS ambiguous
+FROM lineitem LEFT JOIN part ON p_partkey = l_partkey""")
+def guarded_unit_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unit cost per line where items repeat: as many rows as lines, ambiguous items without a cost."""
+    item = ["itemId", "organizationId"]
+    costs = lookups.nonzero_unit_cost(_repeated_costs(spark, sf_dir))
+    lines = standins.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").alias("itemId"), F.lit(1).alias("organizationId")
+    )
+    single = lookups.single_row(costs, item, ["unitCost"], "reject", "ambiguous")
+    rows = spread_left_join(lines, single, item, ["l_orderkey", "l_linenumber"])
+    return rows.select("l_orderkey", "l_linenumber", "unitCost", F.coalesce("ambiguous", F.lit(False)).alias("ambiguous"))
+
+
+@query("""
+WITH cells AS (
+  SELECT o_custkey AS customerNumber,
+    CASE o_orderstatus WHEN 'F' THEN 'kesCreditLimit' WHEN 'O' THEN 'usdCreditLimit' ELSE 'gbpCreditLimit' END AS col,
+    min(cast(o_totalprice AS decimal(20,2))) AS low, max(cast(o_totalprice AS decimal(20,2))) AS high
+  FROM orders GROUP BY 1, 2
+)
+SELECT customerNumber,
+  max(CASE WHEN col = 'kesCreditLimit' AND low = high THEN low END) AS "kesCreditLimit",
+  max(CASE WHEN col = 'usdCreditLimit' AND low = high THEN low END) AS "usdCreditLimit",
+  max(CASE WHEN col = 'gbpCreditLimit' AND low = high THEN low END) AS "gbpCreditLimit",
+  nullif(concat_ws(',', max(CASE WHEN col = 'kesCreditLimit' AND low <> high THEN col END),
+    max(CASE WHEN col = 'usdCreditLimit' AND low <> high THEN col END),
+    max(CASE WHEN col = 'gbpCreditLimit' AND low <> high THEN col END)), '') AS ambiguous
+FROM cells GROUP BY customerNumber""")
+def guarded_credit_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one limit per customer and currency, with the currencies that have several."""
+    return lookups.single_credit_limits(_limits(spark, sf_dir), ["customerNumber"], "reject", "ambiguous")
+
+
 @query("""
 WITH accounts AS (
   SELECT DISTINCT l_suppkey AS vendorId, p_partkey, p_brand, p_type, p_name FROM lineitem JOIN part ON p_partkey = l_partkey

@@ -9,9 +9,16 @@ from netdays.catalog import query, sql
 from netdays.functions import keys, terms
 from netdays.operators.consolidate import customers_by_key_mean_number, customers_by_number
 from netdays.sources import receivables, standins
+from netdays.sources.relations import Relations, staged_relations
 
 _SITE_ORDER = ["siteUseNumber"]
 
+
+def _relations(spark: SparkSession, sf_dir: str) -> Relations:
+    """The customer master as an extract finds it after staging."""
+    return staged_relations(standins.customer_relations(spark, sf_dir), [*receivables.STAGED, "hz_parties"])
+
+
 # One row per active use of an active customer, by formula from the tables.
 SITE_SQL = f"""
 SELECT c_custkey AS customerNumber, c_name AS name, c_mktsegment AS customerClass,
@@ -56,7 +63,7 @@ _SITE_COLUMNS = (
 @query(SITE_SQL)
 def ar_customer_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customer site extract with all its look-ups."""
-    relations = standins.customer_relations(spark, sf_dir)
+    relations = _relations(spark, sf_dir)
     return _with_number(receivables.customer_extract(relations, columns=_SITE_COLUMNS))
 
 
@@ -67,7 +74,7 @@ SELECT customerKey, min(customerNumber) AS customerNumber, min(name) AS name, mi
 FROM ({SITE_SQL}) GROUP BY customerKey""")
 def ar_customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer key; the uses of a site differ in their terms only."""
-    relations = standins.customer_relations(spark, sf_dir)
+    relations = _relations(spark, sf_dir)
     return _with_number(receivables.customer_master(relations))
 
 
@@ -94,7 +101,7 @@ def customer_rollup_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _numbered_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = [*receivables.CUSTOMER_COLUMNS, "siteUseId"]
-    relations = standins.customer_relations(spark, sf_dir)
+    relations = _relations(spark, sf_dir)
     rows = receivables.customer_rows(relations, columns=columns)
     return _with_number(rows).withColumn("siteUseNumber", F.col("siteUseId").cast("bigint"))
 

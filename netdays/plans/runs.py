@@ -24,7 +24,7 @@ from netdays.session import checkpointed, written
 from netdays.sources import payables as payable_sources
 from netdays.sources import receivables as receivable_sources
 from netdays.sources.ledger import TABLES, Ledger
-from netdays.sources.relations import Relations
+from netdays.sources.relations import Relations, staged_relations
 from netdays.sources.waiting import Waiting
 
 
@@ -207,6 +207,7 @@ def run_receivables(
     created_at: dt.datetime | None = None,
 ) -> RunResult:
     ledger.create()
+    relations = staged_relations(relations, receivable_sources.STAGED)
     since = ledger.watermark("customerOffers", as_of)
     lines = receivable_sources.invoice_lines(relations, since)
     invoices = written(consolidate_lines(lines, receivable_sources.LINE_ORDER), "receivables")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from netdays.operators import lookups
 from netdays.operators.consolidate import one_row_per_party
 from netdays.operators.incremental import only_keys
 from netdays.operators.joins import spread_left_join
+from netdays.session import written
 from netdays.sources.relations import Relations, prefixed
 
 INVOICE_COLUMNS = (
@@ -25,11 +27,15 @@ INVOICE_COLUMNS = (
     "invoiceCurrencyCode", "customerKey",
 )
 LINE_ORDER = ("lineId",)
-# Relations worth staging when they come from a database: small, or read repeatedly.
+# Relations worth staging: small ones, which are broadcast once their size is known, and those
+# that a customer extract reads more than once.
 STAGED = (
     "ar_lookups", "ra_terms_tl", "ar_collectors", "hz_cust_profile_classes",
     "oe_price_lists_active_v", "oe_transaction_types_tl", "ra_salesreps_all",
     "jtf_rs_defresources_v", "hz_relationships", "hz_contact_points", "hz_cust_account_roles",
+    "hz_cust_accounts", "hz_cust_site_uses_all", "hz_cust_acct_sites_all",
+    "hz_org_contacts", "hz_organization_profiles", "hz_party_sites", "hz_customer_profiles",
+    "hz_cust_profile_amts", "iby_external_payers_all", "ar_contacts_v", "ar_customers",
 )
 
 CUSTOMER_COLUMNS = (
@@ -64,8 +70,12 @@ def invoice_lines(relations: Relations, since: dt.date) -> DataFrame:
     )
 
 
-def with_item_details(lines: DataFrame, relations: Relations) -> DataFrame:
-    """Unit cost and the five named item attributes of each line."""
+def with_item_details(lines: DataFrame, relations: Relations, on_repeat: str = "raise") -> DataFrame:
+    """Unit cost and the five named item attributes of each line.
+
+    An item should have one cost per organization; two different ones are an error, or with
+    ``reject`` no cost, so the number of lines never changes.
+    """
     costs = relations("cst_item_cost_type_v").select(
         F.col("inventory_item_id").alias("itemId"),
         F.col("organization_id").alias("organizationId"),
@@ -77,9 +87,9 @@ def with_item_details(lines: DataFrame, relations: Relations) -> DataFrame:
         F.col("element_name").alias("elementName"),
         F.col("element_value").alias("elementValue"),
     )
-    with_cost = lookups.look_up(
-        lines, lookups.nonzero_unit_cost(costs), ["itemId", "organizationId"]
-    )
+    item = ["itemId", "organizationId"]
+    cost = lookups.single_row(lookups.nonzero_unit_cost(costs), item, ["unitCost"], on_repeat)
+    with_cost = spread_left_join(lines, cost, item, ["lineId"])
     return spread_left_join(with_cost, lookups.item_attributes(pairs), ["itemId"], ["lineId"])
 
 
@@ -113,7 +123,7 @@ def customer_sites(relations: Relations, customer_numbers: DataFrame | None = No
     )
     hps = prefixed(
         relations("hz_party_sites"), "hps",
-        ["party_site_id", "location_id", "party_site_name", "party_site_number", "attribute1"],
+        ["party_site_id", "party_id", "location_id", "party_site_name", "party_site_number", "attribute1"],
     )
     hp = prefixed(
         relations("hz_parties"), "hp",
@@ -126,22 +136,32 @@ def customer_sites(relations: Relations, customer_numbers: DataFrame | None = No
         ["cust_account_id", "credit_checking", "credit_hold", "collector_id", "profile_class_id",
          "autocash_hierarchy_id", "autocash_hierarchy_id_for_adr"],
     )
-    return (
-        ac.join(hcas, F.col("ac_customer_id") == F.col("hcas_cust_account_id"))
-        .join(hcsu, F.col("hcas_cust_acct_site_id") == F.col("hcsu_cust_acct_site_id"))
-        .join(hca, F.col("hca_cust_account_id") == F.col("ac_customer_id"))
+    # Accounts are joined first, all by one key but for the party, then the sites with their places;
+    # the uses, of which there are most, come last and are moved once.
+    accounts = (
+        ac.join(hca, F.col("hca_cust_account_id") == F.col("ac_customer_id"))
         .join(profiles, F.col("hcp_cust_account_id") == F.col("hca_cust_account_id"))
         .join(hp, F.col("hca_party_id") == F.col("hp_party_id"))
-        .join(hps, F.col("hcas_party_site_id") == F.col("hps_party_site_id"))
-        .join(hl, F.col("hps_location_id") == F.col("hl_location_id"))
     )
+    places = hps.join(hl, F.col("hps_location_id") == F.col("hl_location_id"))
+    sites = hcas.join(places, F.col("hcas_party_site_id") == F.col("hps_party_site_id"))
+    return (
+        accounts.join(sites, F.col("ac_customer_id") == F.col("hcas_cust_account_id"))
+        .join(hcsu, F.col("hcas_cust_acct_site_id") == F.col("hcsu_cust_acct_site_id"))
+    )
+
 
+def _described(
+    relation: DataFrame, key: str, joined_to: str, on_repeat: str | None = None, **columns: str
+) -> DataFrame:
+    """Description columns of a relation by the site column they are joined to.
 
-def _described(relation: DataFrame, key: str, joined_to: str, **columns: str) -> DataFrame:
-    """Description columns of a relation by the site column they are joined to."""
-    return relation.select(
+    With ``on_repeat`` a key must have one description, see :func:`lookups.single_row`.
+    """
+    rows = relation.select(
         F.col(key).alias(joined_to), *[F.col(old).alias(new) for new, old in columns.items()]
     )
+    return rows if on_repeat is None else lookups.single_row(rows, [joined_to], list(columns), on_repeat)
 
 
 def _site_lookups(sites: DataFrame, relations: Relations, wanted: set[str]) -> DataFrame:
@@ -190,7 +210,7 @@ def _site_lookups(sites: DataFrame, relations: Relations, wanted: set[str]) -> D
             "resourceId",
             lambda: _described(
                 relations("jtf_rs_defresources_v"),
-                "resource_id", "resourceId", salesPerson="resource_name",
+                "resource_id", "resourceId", on_repeat="raise", salesPerson="resource_name",
             ),
         ),
         (
@@ -199,14 +219,15 @@ def _site_lookups(sites: DataFrame, relations: Relations, wanted: set[str]) -> D
             lambda: _described(
                 relations("ra_terms_tl").filter(F.col("language") == "US"),
                 "term_id", "hcsu_payment_term_id",
-                creditTerms="name", termsDescription="description",
+                on_repeat="raise", creditTerms="name", termsDescription="description",
             ),
         ),
         (
             {"collector"},
             "hcp_collector_id",
             lambda: _described(
-                relations("ar_collectors"), "collector_id", "hcp_collector_id", collector="name"
+                relations("ar_collectors"), "collector_id", "hcp_collector_id",
+                on_repeat="raise", collector="name",
             ),
         ),
         (
@@ -214,30 +235,21 @@ def _site_lookups(sites: DataFrame, relations: Relations, wanted: set[str]) -> D
             "hcp_profile_class_id",
             lambda: _described(
                 relations("hz_cust_profile_classes"),
-                "profile_class_id", "hcp_profile_class_id", profileClass="name",
+                "profile_class_id", "hcp_profile_class_id", on_repeat="raise", profileClass="name",
             ),
         ),
         (set(lookups.CREDIT_LIMITS.values()), account_use, lambda: _site_credit_limits(relations)),
-        (
-            {"bankName", "bankAccountNumber", "bankBranchName"},
-            account_site,
-            lambda: _of_own_sites(relations, site_banks(relations)),
-        ),
-        (
-            {"phone", "contactEmail"},
-            account_site,
-            lambda: _of_own_sites(relations, site_contact_points(relations)),
-        ),
-        (
-            {"contactPerson", "jobTitle"},
-            account_site,
-            lambda: _of_own_sites(relations, site_contact_people(relations)),
-        ),
     )
     for gives, key, table in available:
         if gives & wanted:
             sites = lookups.look_up(sites, table(), key)
-    return sites
+    named = [c for c in SITE_DETAILS if c in wanted]
+    if not named:
+        return sites
+    # They hold only where the site's party is the account's own.
+    own = F.col("hps_party_id") == F.col("hca_party_id")
+    detailed = lookups.look_up(sites, site_details(relations, wanted), account_site)
+    return detailed.withColumns({c: F.when(own, F.col(c)) for c in named})
 
 
 def _site_credit_limits(relations: Relations) -> DataFrame:
@@ -251,34 +263,63 @@ def _site_credit_limits(relations: Relations) -> DataFrame:
             F.col("overall_credit_limit").alias("creditLimit"),
         )
     )
-    return lookups.credit_limits(amounts, ["ac_customer_id", "hcsu_site_use_id"])
+    return lookups.single_credit_limits(amounts, ["ac_customer_id", "hcsu_site_use_id"])
 
 
-def _of_own_sites(relations: Relations, rows: DataFrame) -> DataFrame:
-    """Look-up rows of account sites whose party site is one of the account's own party."""
-    accounts = relations("hz_cust_accounts").select(
-        F.col("cust_account_id").alias("ac_customer_id"), "party_id"
-    )
-    sites = relations("hz_cust_acct_sites_all").select(
-        F.col("cust_account_id").alias("ac_customer_id"),
-        F.col("cust_acct_site_id").alias("hcas_cust_acct_site_id"),
-        "party_site_id",
-    )
-    party_sites = relations("hz_party_sites").select("party_site_id", "party_id")
-    own = sites.join(accounts, "ac_customer_id").join(
-        party_sites, ["party_site_id", "party_id"], "left_semi"
-    )
-    return rows.join(own, ["ac_customer_id", "hcas_cust_acct_site_id"], "left_semi")
+# Columns that are looked up by account site, by what they are taken from.
+_BANK = ("bankName", "bankAccountNumber", "bankBranchName")
+_PHONE, _MAIL = ("phone",), ("contactEmail",)
+_PERSON = ("contactPerson", "jobTitle")
+SITE_DETAILS = (*_BANK, *_PHONE, *_MAIL, *_PERSON)
+_ACCOUNT_SITE = ("ac_customer_id", "hcas_cust_acct_site_id")
 
 
-def site_banks(relations: Relations) -> DataFrame:
-    """Bank, branch and account number of a customer's account site: the first account.
+def site_details(relations: Relations, wanted: set[str]) -> DataFrame:
+    """What is looked up by account site, all of it in one shuffle and one aggregate.
+
+    Candidates of all kinds are put below each other with their rank, and each kind's first by
+    rank is picked, so its columns stay together. Kinds that give no wanted column are left out.
+    """
+    kinds, parts = [], []
+    if wanted & set(_BANK):
+        kinds.append(("bank", _BANK))
+        parts.append(_bank_candidates(relations))
+    if wanted & {*_PHONE, *_MAIL, *_PERSON}:
+        people = bool(wanted & set(_PERSON))
+        kinds += [("phone", _PHONE), ("mail", _MAIL), *([("person", _PERSON)] if people else [])]
+        parts.append(_contact_candidates(relations, people))
+    candidates = reduce(DataFrame.unionByName, parts)
+    first = {
+        kind: F.min_by(F.struct("v1", "v2", "v3"), F.when(F.col("kind") == kind, F.struct("n1", "n2", "v1", "v3")))
+        for kind, _ in kinds
+    }
+    found = candidates.groupBy(*_ACCOUNT_SITE).agg(*[pick.alias(kind) for kind, pick in first.items()])
+    return found.select(
+        *_ACCOUNT_SITE, *[F.col(f"{kind}.v{k}").alias(c) for kind, columns in kinds for k, c in enumerate(columns, 1)]
+    )
+
+
+def _candidate(kind: str, rank: tuple[str, str | None], values: tuple[str, ...]) -> list[Column]:
+    """Columns of a candidate: the rank is two numbers, then the values themselves."""
+    n1, n2 = rank
+    texts = [F.col(v).cast("string") for v in values] + [F.lit(None).cast("string")] * (3 - len(values))
+    return [
+        F.lit(kind).alias("kind"), F.col(n1).cast("bigint").alias("n1"),
+        (F.lit(0) if n2 is None else F.col(n2)).cast("bigint").alias("n2"),
+        *[t.alias(f"v{k}") for k, t in enumerate(texts, 1)],
+    ]
+
+
+def _bank_candidates(relations: Relations) -> DataFrame:
+    """Bank, account number and branch of a customer's account sites; the first account ranks first.
 
     An account is held by one site use; it counts for all uses of that account site.
     All three come from one joined relation, so they describe the same account.
     """
-    parties = relations("hz_parties").select("party_id", "party_type", "party_name")
     organizations = relations("hz_organization_profiles").select("party_id").distinct()
+    parties = relations("hz_parties").select("party_id", "party_type", "party_name").join(
+        organizations, "party_id", "left_semi"
+    )
     branch_of = (
         relations("hz_relationships")
         .filter(
@@ -293,14 +334,11 @@ def site_banks(relations: Relations) -> DataFrame:
             F.col("subject_type").alias("branchType"),
         )
     )
-    bank = parties.join(organizations, "party_id", "left_semi").select(
-        F.col("party_id").alias("bank_id"),
-        F.col("party_type").alias("bankType"),
-        F.col("party_name").alias("bankName"),
+    bank = parties.select(
+        F.col("party_id").alias("bank_id"), F.col("party_type").alias("bankType"), F.col("party_name").alias("bankName")
     )
-    branch = parties.join(organizations, "party_id", "left_semi").select(
-        F.col("party_id").alias("branch_id"),
-        F.col("party_type").alias("branchType"),
+    branch = parties.select(
+        F.col("party_id").alias("branch_id"), F.col("party_type").alias("branchType"),
         F.col("party_name").alias("bankBranchName"),
     )
     uses = relations("iby_pmt_instr_uses_all").select(
@@ -319,33 +357,19 @@ def site_banks(relations: Relations) -> DataFrame:
         "ext_bank_account_id", "bank_id", "branch_id",
         F.col("bank_account_num").alias("bankAccountNumber"),
     )
+    # Banks and branches are few and joined first; the accounts then move once for them.
+    named = branch_of.join(bank, ["bank_id", "bankType"]).join(branch, ["branch_id", "branchType"])
     joined = (
-        accounts.join(branch_of, ["bank_id", "branch_id"])
-        .join(bank, ["bank_id", "bankType"])
-        .join(branch, ["branch_id", "branchType"])
+        accounts.join(named, ["bank_id", "branch_id"])
         .join(uses, "ext_bank_account_id")
         .join(payers, "ext_payer_id")
         .join(site_uses, "site_use_id")
     )
-    return lookups.first_match(
-        joined,
-        keys=["ac_customer_id", "hcas_cust_acct_site_id"],
-        order=["ext_bank_account_id", "bankName", "bankBranchName"],
-        columns=["bankName", "bankAccountNumber", "bankBranchName"],
-    )
-
-
-def _contact_roles(relations: Relations) -> DataFrame:
-    """Contact roles of account sites whose organization has a registered contact."""
-    accounts = relations("hz_cust_accounts").select("cust_account_id", F.col("party_id").alias("orgPartyId"))
-    roles = relations("hz_cust_account_roles").select(
-        "cust_account_id", "cust_acct_site_id", F.col("party_id").alias("rolePartyId")
-    )
-    return roles.join(accounts, "cust_account_id")
+    return joined.select(*_ACCOUNT_SITE, *_candidate("bank", ("ext_bank_account_id", None), _BANK))
 
 
 def _registered_contacts(relations: Relations) -> DataFrame:
-    """Organization party and contact id of each registered relationship."""
+    """Per organization party and registered contact, whether its relationship has an active owner."""
     contacts = relations("hz_org_contacts").select(
         F.col("party_relationship_id").alias("relationship_id"), "org_contact_id"
     )
@@ -356,89 +380,65 @@ def _registered_contacts(relations: Relations) -> DataFrame:
         F.col("party_id").alias("relationshipPartyId"),
     )
     people = relations("hz_parties").select(F.col("party_id").alias("personPartyId"))
-    return related.join(contacts, "relationship_id").join(people, "personPartyId", "left_semi")
-
-
-def site_contact_points(relations: Relations) -> DataFrame:
-    """First phone number and e-mail address per account site, in one aggregate."""
-    organizations = (
-        relations("hz_parties")
-        .filter(F.col("party_type") == "ORGANIZATION")
-        .select(F.col("party_id").alias("orgPartyId"))
-    )
-    roles = (
-        _contact_roles(relations)
-        .join(organizations, "orgPartyId", "left_semi")
-        .join(_registered_contacts(relations), "orgPartyId", "left_semi")
+    active = (
+        relations("hz_contact_points").filter(F.col("status") == "A")
+        .select(F.col("owner_table_id").alias("relationshipPartyId"), F.lit(True).alias("active")).distinct()
     )
-    points = (
-        relations("hz_contact_points")
-        .filter(F.col("contact_point_type").isin("PHONE", "EMAIL"))
-        .select(
-            F.col("owner_table_id").alias("rolePartyId"),
-            "contact_point_id",
-            "contact_point_type",
-            codes.join_text(
-                "-", F.col("phone_country_code"), F.col("phone_area_code"), F.col("phone_number")
-            ).alias("phone"),
-            F.col("email_address").alias("contactEmail"),
-        )
-    )
-    is_phone = F.col("contact_point_type") == "PHONE"
-    is_email = F.col("contact_point_type") == "EMAIL"
-    point = F.col("contact_point_id")
-    return (
-        roles.join(points, "rolePartyId")
-        .groupBy(
-            F.col("cust_account_id").alias("ac_customer_id"),
-            F.col("cust_acct_site_id").alias("hcas_cust_acct_site_id"),
-        )
-        .agg(
-            F.min_by(F.when(is_phone, F.col("phone")), F.when(is_phone, point)).alias("phone"),
-            F.min_by(F.when(is_email, F.col("contactEmail")), F.when(is_email, point)).alias(
-                "contactEmail"
-            ),
-        )
+    registered = related.join(contacts, "relationship_id").join(people, "personPartyId", "left_semi")
+    return registered.join(active, "relationshipPartyId", "left").groupBy("orgPartyId", "org_contact_id").agg(
+        F.coalesce(F.max("active"), F.lit(False)).alias("active")
     )
 
 
-def site_contact_people(relations: Relations) -> DataFrame:
-    """First contact person and job title per account site, from the same contact."""
-    active_owners = (
-        relations("hz_contact_points")
-        .filter(F.col("status") == "A")
-        .select(F.col("owner_table_id").alias("relationshipPartyId"))
-    )
-    registered = _registered_contacts(relations).join(
-        active_owners, "relationshipPartyId", "left_semi"
+def _contact_candidates(relations: Relations, with_people: bool) -> DataFrame:
+    """Phone numbers, e-mail addresses and, if wanted, people of account sites.
+
+    Numbers and addresses count where the account's party is an organization with a registered
+    contact, people where they are a registered contact whose relationship has an active owner.
+    """
+    accounts = relations("hz_cust_accounts").select("cust_account_id", F.col("party_id").alias("orgPartyId"))
+    roles = relations("hz_cust_account_roles").select(
+        "cust_account_id", "cust_acct_site_id", F.col("party_id").alias("rolePartyId")
     )
-    organizations = registered.select("orgPartyId", "org_contact_id").distinct()
     points = relations("hz_contact_points").select(
-        F.col("owner_table_id").alias("rolePartyId"), "contact_point_id"
-    )
-    people = relations("ar_contacts_v").select(
+        F.col("owner_table_id").alias("rolePartyId"),
         "contact_point_id",
-        "org_contact_id",
-        codes.join_text(" ", F.col("first_name"), F.col("last_name")).alias("contactPerson"),
-        F.col("job_title").alias("jobTitle"),
-    )
-    joined = (
-        _contact_roles(relations)
+        "contact_point_type",
+        codes.join_text(
+            "-", F.col("phone_country_code"), F.col("phone_area_code"), F.col("phone_number")
+        ).alias("phone"),
+        F.col("email_address").alias("contactEmail"),
+    )
+    registered = written(_registered_contacts(relations), "registered")
+    organizations = relations("hz_parties").filter(F.col("party_type") == "ORGANIZATION").select(
+        F.col("party_id").alias("orgPartyId")
+    ).join(registered.select("orgPartyId"), "orgPartyId", "left_semi").distinct()
+    rows = (
+        roles.join(accounts, "cust_account_id")
+        .join(organizations.withColumn("registered", F.lit(True)), "orgPartyId", "left")
         .join(points, "rolePartyId")
-        .join(people, "contact_point_id")
-        .join(organizations, ["orgPartyId", "org_contact_id"], "left_semi")
         .select(
-            F.col("cust_account_id").alias("ac_customer_id"),
-            F.col("cust_acct_site_id").alias("hcas_cust_acct_site_id"),
-            "contact_point_id", "org_contact_id", "contactPerson", "jobTitle",
+            F.col("cust_account_id").alias("ac_customer_id"), F.col("cust_acct_site_id").alias("hcas_cust_acct_site_id"),
+            "orgPartyId", "registered", "contact_point_id", "contact_point_type", "phone", "contactEmail",
         )
     )
-    return lookups.first_match(
-        joined,
-        keys=["ac_customer_id", "hcas_cust_acct_site_id"],
-        order=["contact_point_id", "org_contact_id"],
-        columns=["contactPerson", "jobTitle"],
-    )
+    is_kind = lambda kind: F.col("registered") & (F.col("contact_point_type") == kind)
+    point = ("contact_point_id", None)
+    shaped = [
+        F.when(is_kind("PHONE"), F.struct(*_candidate("phone", point, _PHONE))),
+        F.when(is_kind("EMAIL"), F.struct(*_candidate("mail", point, _MAIL))),
+    ]
+    if with_people:
+        people = relations("ar_contacts_v").select(
+            "contact_point_id",
+            "org_contact_id",
+            codes.join_text(" ", F.col("first_name"), F.col("last_name")).alias("contactPerson"),
+            F.col("job_title").alias("jobTitle"),
+        ).join(registered.where("active").drop("active"), "org_contact_id")
+        rows = rows.join(people, ["contact_point_id", "orgPartyId"], "left")
+        person = F.struct(*_candidate("person", ("contact_point_id", "org_contact_id"), _PERSON))
+        shaped.append(F.when(F.col("org_contact_id").isNotNull(), person))
+    return rows.select(*_ACCOUNT_SITE, F.explode(F.array_compact(F.array(*shaped))).alias("c")).select(*_ACCOUNT_SITE, "c.*")
 
 
 def _extract_columns() -> dict[str, Column]:
