@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -121,24 +121,24 @@ class Diagram:
             yield tuple(self.order), self.steps()
 
 
-def part_report(masks: Mapping[int, tuple[int, ...]], names: list[str], weights: list[str]) -> pd.DataFrame:
-    """All orders and steps of one part; the first weight counts documents."""
+def part_report(masks: Mapping[int, tuple[int, ...]], names: list[str]) -> list[tuple]:
+    """``(order, step, kept, removed, redundant, unique fails, shapley, further weights lost)`` of one part.
+
+    The first weight counts documents.
+    """
     diagram = Diagram(len(names), masks)
-    failing, alone, shapley = {}, {}, dict.fromkeys(range(len(names)), 0)
-    rows = []
+    failing, alone, shapley, found = {}, {}, dict.fromkeys(range(len(names)), 0), []
     for order, steps in diagram.orders():
         # Where a filter comes first it removes all that fail it, where last those that only it finds.
         failing[order[0]], alone[order[-1]] = steps[0][2][0], steps[-1][2][0]
         text = "".join(names[v] for v in order)
         for at, (variable, kept, removed) in enumerate(steps, 1):
             shapley[variable] += removed[0]
-            rows.append((text, at, variable, kept[0], *removed))
-    lost = [f"{w}_lost" for w in weights[1:]]
-    report = pd.DataFrame(rows, columns=["filter_order", "step", "variable", "kept", "removed", *lost])
-    report["redundant"] = report["variable"].map(failing) - report["removed"]
-    report["unique_fails"] = report["variable"].map(alone)
-    report["shapley"] = report["variable"].map(shapley)
-    return report.drop(columns="variable")
+            found.append((text, at, variable, kept[0], removed))
+    return [
+        (text, at, kept, removed[0], failing[v] - removed[0], alone[v], shapley[v], *removed[1:])
+        for text, at, v, kept, removed in found
+    ]
 
 
 def audit(masks: DataFrame, names: list[str], weights: list[str]) -> DataFrame:
@@ -149,15 +149,18 @@ def audit(masks: DataFrame, names: list[str], weights: list[str]) -> DataFrame:
     back per part, order of the filters and step. All orders are walked, so filters should be
     few: five have 120 orders, eight 40,320. A part may be null; an empty table gives an empty one.
     """
-    counts = ["kept", "removed", "redundant", "unique_fails", *[f"{w}_lost" for w in weights[1:]], "shapley"]
+    counts = ["kept", "removed", "redundant", "unique_fails", "shapley", *[f"{w}_lost" for w in weights[1:]]]
     schema = f"part string, filter_order string, step int, {', '.join(f'{c} bigint' for c in counts)}"
-    columns = ["part", "filter_order", "step", *counts]
+    kinds = [pa.string(), pa.string(), pa.int32(), *[pa.int64()] * len(counts)]
 
-    def one_part(rows: pd.DataFrame) -> pd.DataFrame:
-        table = {int(r[0]): tuple(int(x) for x in r[1:]) for r in rows[["mask", *weights]].itertuples(index=False)}
-        return part_report(table, names, weights).assign(part=rows["part"].iloc[0])[columns]
+    def one_part(rows: pa.Table) -> pa.Table:
+        numbers = zip(rows.column("mask").to_pylist(), *(rows.column(w).to_pylist() for w in weights))
+        part = rows.column("part")[0].as_py()
+        report = [(part, *line) for line in part_report({m: tuple(w) for m, *w in numbers}, names)]
+        columns = [pa.array(values, kind) for values, kind in zip(zip(*report), kinds)]
+        return pa.Table.from_arrays(columns, ["part", "filter_order", "step", *counts])
 
-    return masks.groupBy("part").applyInPandas(one_part, schema)
+    return masks.groupBy("part").applyInArrow(one_part, schema)
 
 
 def text_failures(text: Column) -> dict[str, Column]:
