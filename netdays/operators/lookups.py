@@ -85,7 +85,10 @@ def membership_flag(
     yes: str = "Yes",
     no: str = "No",
 ) -> DataFrame:
-    """Whether the key occurs in ``members``, which may repeat and hold nulls."""
+    """Whether the key occurs in ``members``, which may repeat and hold nulls.
+
+    The rows of a key that very many share are split, see :func:`spread_left_join`.
+    """
     known = members.filter(F.col(key).isNotNull()).select(key).distinct()
     marked = spread_left_join(rows, known.withColumn("_member", F.lit(True)), [key], spread_by)
     return marked.withColumn(flag, F.when(F.col("_member"), yes).otherwise(no)).drop("_member")

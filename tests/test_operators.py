@@ -341,3 +341,31 @@ def test_complete_parties_fills_absent_columns(spark):
     fetched = spark.createDataFrame([("b",)], "customerKey string")
     got = incremental.complete_parties(known, fetched)
     assert {tuple(r) for r in got.collect()} == {("a", "x"), ("b", None)}
+
+
+def test_single_row_keeps_counts_and_flags_what_differs(spark):
+    table = spark.createDataFrame(
+        [(1, "a", 5), (1, "a", 5), (2, "b", 5), (2, "b", 6), (3, None, 1), (3, "c", 1), (4, None, None), (4, None, None), (None, "n", 1)],
+        "k int, t string, v int",
+    )
+    found = {r.k: (r.t, r.v, r.odd) for r in lookups.single_row(table, ["k"], ["t", "v"], "reject", "odd").collect()}
+    assert found == {1: ("a", 5, False), 2: (None, None, True), 3: (None, None, True), 4: (None, None, False), None: ("n", 1, False)}
+    single = lookups.single_row(table, ["k"], ["t", "v"])
+    assert single.where("k = 1").head().t == "a"
+    with pytest.raises(Exception, match="several values of t, v for k = 2"):
+        single.where("k = 2").collect()
+    with pytest.raises(ValueError, match="raise or reject"):
+        lookups.single_row(table, ["k"], ["v"], "ignore")
+    assert lookups.single_row(table.limit(0), ["k"], ["v"]).collect() == []
+
+
+def test_single_limits(spark):
+    rows = spark.createDataFrame(
+        [(1, "KES", 5), (1, "KES", 5), (1, "USD", 2), (1, "USD", 3), (2, "GBP", None), (2, "EUR", 1), (3, "EUR", 1)],
+        "k int, currencyCode string, creditLimit int",
+    )
+    found = lookups.single_credit_limits(rows, ["k"], "reject", "odd")
+    got = {r.k: (r.kesCreditLimit, r.usdCreditLimit, r.gbpCreditLimit, r.odd) for r in found.collect()}
+    assert got == {1: (5, None, None, "usdCreditLimit"), 2: (None, None, None, None)}
+    with pytest.raises(Exception, match="several values of usdCreditLimit for k = 1"):
+        lookups.single_credit_limits(rows, ["k"]).collect()

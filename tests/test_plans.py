@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
-from netdays.operators import lookups
+from netdays.operators import joins, lookups
 from netdays.operators.consolidate import consolidate_lines
 from netdays.params import SAMPLE_CUSTOMER
 from netdays.plans.receivables import receivable_offers
@@ -148,3 +148,24 @@ def test_hot_invoice_is_consolidated(small_skew):
     )
     hot = consolidate_lines(lines, ["lineId"]).filter("invoiceNumber = 0").head()
     assert (str(hot.invoiceGrossValue), hot.customerNumber, hot.invoiceCurrencyCode) == ("25000.00", 0, "USD")
+
+
+def test_only_heavy_keys_are_copied(small_skew):
+    spark = small_skew
+    even = spark.range(0, 30_000, numPartitions=8).select((F.col("id") % 5000).alias("k"), F.col("id").alias("n"))
+    table = spark.range(5000).select((F.col("id") % 4000).alias("k")).groupBy("k").agg(F.count("*").alias("c"))
+    assert joins.heavy_keys(even, ["k"]) == {}
+    plain = joins.spread_left_join(even, table, ["k"], ["n"])
+    assert "_piece" not in plan_text(plain) and plain.columns == ["k", "n", "c"]
+    # A third of the rows on one key, another third without one.
+    skewed = even.withColumn("k", F.when(F.col("n") % 3 == 0, 17).when(F.col("n") % 3 == 1, F.col("k")))
+    heavy = joins.heavy_keys(skewed, ["k"])
+    assert sorted(heavy.values()) == [17, 17]
+    assert joins.heavy_keys(skewed.limit(0), ["k"]) == {}
+    spread = joins.spread_left_join(skewed, table, ["k"], ["n"])
+    expected = skewed.join(table, ["k"], "left")
+    assert spread.exceptAll(expected).isEmpty() and spread.count() == 30_000
+    sizes = spread.where("k = 17").groupBy(F.spark_partition_id()).count()
+    assert max(r["count"] for r in sizes.collect()) < 8_000
+    copied = spread.select("k", "c").distinct().where("k is not null").count()
+    assert copied == skewed.where("k is not null").select("k").distinct().count()
