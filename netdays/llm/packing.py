@@ -14,7 +14,9 @@ the pieces of that length.
 from __future__ import annotations
 
 import os
+import re
 import struct
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -32,8 +34,8 @@ from netdays.llm.common import texts, written
 WORDS = 250_000
 # Longest word that is remembered.
 SHORT = 64
-# Marks that often follow a word.
-MARKS = ".,;:!?%&*$#|"
+# Letters that are lower case already, and the marks that often follow a word.
+plain_word = re.compile("([a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff]+)([.,;:!?%&*$#|]*)").fullmatch
 
 
 class WordTokenizer:
@@ -59,19 +61,20 @@ class WordTokenizer:
     def _new(self, words: list[str]) -> list[bytes]:
         """Ids of new words. Letters and the marks that end them are apart for the tokenizer,
         so letters that are lower case already go straight to its merges."""
-        cut = [(w, len(w.rstrip(MARKS))) for w in words]
-        plain = [0 < n and w[:n].isalpha() and w.islower() and w[n - 1] < "\u0100" and max(w) < "\u0100" for w, n in cut]
-        rest = [w if not p else w[n:] for (w, n), p in zip(cut, plain)]
+        cut = [plain_word(w) for w in words]
+        rest = [w if c is None else c[2] for w, c in zip(words, cut)]
         odd = list({r for r in rest if r})
         ids = dict(zip(odd, self._encode(odd))) | {"": b""}
-        out = []
-        for (w, n), p, r in zip(cut, plain, rest):
-            if p:
-                letters = w[:n] if w.isascii() else w[:n].encode().decode("latin-1").translate(self.visible)
-                found = [t.id for t in self.model.tokenize(letters)]
-                out.append(struct.pack(f"<{len(found)}I", *found) + ids[r])
-            else:
+        out, merge, pack = [], self.model.tokenize, struct.pack
+        for c, r in zip(cut, rest):
+            if c is None:
                 out.append(ids[r])
+                continue
+            letters = c[1]
+            if not letters.isascii():
+                letters = letters.encode().decode("latin-1").translate(self.visible)
+            found = [t.id for t in merge(letters)]
+            out.append(pack(f"<{len(found)}I", *found) + ids[r])
         return out
 
     def _words(self, text: str) -> list[str] | None:
@@ -114,15 +117,17 @@ def tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def tokenized(docs: DataFrame, path: str, capacity: int, end: int) -> DataFrame:
+def tokenized(docs: DataFrame, path: str, capacity: int, end: int, digest: bool = False) -> DataFrame:
     """Pieces of at most ``capacity`` ids: ``(doc_id, piece, start, length, ids, part, nth)``.
 
+    With ``digest``, ``ids_crc32`` takes the place of ``ids``, which then never leave the task.
     A document's ids are those of its text (null is empty), then ``end``. Every row
     of ``docs`` counts by itself, also where ids repeat or are null. ``nth`` is a
     piece's rank among the pieces of its length in its ``part``; the table must be
     written before it is packed, as parts hold only as long as they are not computed anew.
     """
-    names = ["doc_id", "piece", "start", "length", "ids", "part", "nth"]
+    held = "ids_crc32" if digest else "ids"
+    names = ["doc_id", "piece", "start", "length", held, "part", "nth"]
     last = struct.pack("<I", end)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,13 +140,13 @@ def tokenized(docs: DataFrame, path: str, capacity: int, end: int) -> DataFrame:
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     cut = ids[at:at + 4 * capacity]
                     length = len(cut) // 4
-                    rows.append((row, piece, at // 4, length, cut, int(ranks[length])))
+                    rows.append((row, piece, at // 4, length, zlib.crc32(cut) if digest else cut, int(ranks[length])))
                     ranks[length] += 1
             row, piece, start, length, cut, nth = zip(*rows) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()),
-                    pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(cut, pa.binary()),
+                    pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(cut, pa.int64() if digest else pa.binary()),
                     pa.array([part] * len(rows), pa.int32()), pa.array(nth, pa.int64()),
                 ],
                 names,
@@ -149,7 +154,7 @@ def tokenized(docs: DataFrame, path: str, capacity: int, end: int) -> DataFrame:
 
     kind = dict(docs.dtypes)["doc_id"]
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, piece int, start bigint, length bigint, ids binary, part int, nth bigint"
+        run, f"doc_id {kind}, piece int, start bigint, length bigint, {held} {'bigint' if digest else 'binary'}, part int, nth bigint"
     )
 
 

@@ -78,9 +78,8 @@ SEQUENCE, END = 4096, 1
 @query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    pieces = written(packing.tokenized(docs, word_model(), SEQUENCE, END), "pieces")
-    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return packing.pack(digests, SEQUENCE).select(
+    pieces = written(packing.tokenized(docs, word_model(), SEQUENCE, END, digest=True), "pieces")
+    return packing.pack(pieces, SEQUENCE).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
 
