@@ -29,6 +29,8 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a letter; null and empty texts go, and rows that repeat stay. A table
+    without any language label keeps all of them, an empty one is empty."""
     prepare(spark)
     model = langid.fit(docs)
     if not model.languages:
@@ -38,25 +40,32 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest id of each group of near-duplicates; all empty and null texts are one group,
+    rows that repeat id and text are one, and rows without an id stay."""
     prepare(spark)
     return simhash.one_of_each(docs, shingle=3, budget=3).select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without passages of 50 words that one of a smaller id has; texts of fewer
+    words, null ones included, stay as they are."""
     prepare(spark)
     return _counted(suffixes.without_repeats(docs))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, entities replaced by surrogates; a text without any, a null one included,
+    stays as it is."""
     prepare(spark)
     return _counted(surrogates.replaced(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of each text packed into sequences; one row per piece. A null text is empty, a row
+    that repeats counts again, and an empty table gives an empty one."""
     prepare(spark)
-    pieces = written(packing.tokenized(docs, word_model(), SEQUENCE, END), "pieces")
-    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return packing.pack(digests, SEQUENCE).select(
+    pieces = written(packing.tokenized(docs, word_model(), SEQUENCE, END, digest=True), "pieces")
+    return packing.pack(pieces, SEQUENCE).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
 
