@@ -43,4 +43,5 @@ def load() -> None:
         receivable,
         reports,
         runs,
+        varied,
     )

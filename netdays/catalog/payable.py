@@ -237,8 +237,7 @@ SELECT vendorId, min(supplierName) AS supplierName, min(supplierType) AS supplie
 FROM ({SUPPLIER_SQL}) GROUP BY vendorId""")
 def ap_supplier_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical suppliers, one row per vendor."""
-    extract = payables.supplier_extract(standins.supplier_relations(spark, sf_dir))
-    return payables.supplier_master(extract)
+    return payables.supplier_parties(standins.supplier_relations(spark, sf_dir))
 
 
 @query(f"""

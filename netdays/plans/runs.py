@@ -28,6 +28,10 @@ from netdays.sources.relations import Relations, staged_relations
 from netdays.sources.waiting import Waiting
 
 
+# What a run needs of an invoice line.
+LINE_COLUMNS = (*receivable_sources.INVOICE_COLUMNS, *receivable_sources.LINE_ORDER)
+
+
 @dataclass(frozen=True)
 class RunResult:
     watermark: dt.date
@@ -209,14 +213,16 @@ def run_receivables(
     ledger.create()
     relations = staged_relations(relations, receivable_sources.STAGED)
     since = ledger.watermark("customerOffers", as_of)
-    lines = receivable_sources.invoice_lines(relations, since)
-    invoices = written(consolidate_lines(lines, receivable_sources.LINE_ORDER), "receivables")
-    new_parties = ensure_customers(ledger, invoices, relations, created_at)
-
-    held = ledger.held("customerOffers", invoices, "invoiceNumber")
-    new = written(not_yet_offered(invoices, held, "invoiceNumber"), "new-receivables")
+    # The ledger is asked about the numbers alone; lines of invoices it holds, mostly those of the
+    # watermark's day, are left out before they are summed. The lines are fetched once.
+    lines = written(receivable_sources.invoice_lines(relations, since).select(*LINE_COLUMNS), "lines")
+    numbers = written(lines.select("invoiceNumber").where("invoiceNumber is not null").distinct(), "numbers")
+    held = written(ledger.held("customerOffers", numbers, "invoiceNumber"), "held")
+    fresh = not_yet_offered(lines, held, "invoiceNumber")
+    new = written(consolidate_lines(fresh, receivable_sources.LINE_ORDER), "new-receivables")
+    new_parties = ensure_customers(ledger, new, relations, created_at)
     inserted, rejected, waiting = settle_receivables(ledger, new, ledger.read("customers"), params, created_at)
-    return RunResult(since, invoices.count(), new_parties, inserted, rejected, waiting)
+    return RunResult(since, numbers.count(), new_parties, inserted, rejected, waiting)
 
 
 def ensure_suppliers(
@@ -226,8 +232,7 @@ def ensure_suppliers(
     missing = written(missing_parties(invoices, known, "vendorId"), "missing-suppliers")
     if missing.isEmpty():
         return 0
-    extract = payable_sources.supplier_extract(relations, missing)
-    fetched = payable_sources.supplier_master(extract).withColumnRenamed("supplierName", "name")
+    fetched = payable_sources.supplier_parties(relations, missing).withColumnRenamed("supplierName", "name")
     loaded, _ = append_checked(ledger, "suppliers", fetched, "supplierId", created_at=created_at)
     return loaded
 

@@ -237,6 +237,38 @@ def supplier_extract(relations: Relations, vendor_ids: DataFrame | None = None)
     )
 
 
+def supplier_parties(relations: Relations, vendor_ids: DataFrame | None = None) -> DataFrame:
+    """:func:`supplier_master` of the extract, without its sites times contacts.
+
+    Contacts are reduced to one row per vendor before anything is joined, of sites it
+    only matters whether there is one, and no bank is looked up.
+    """
+    vendors = relations("ap_suppliers").filter(F.col("vendor_type_lookup_code") != "EMPLOYEE")
+    if vendor_ids is not None:
+        vendors = only_keys(vendors, vendor_ids.select(F.col("vendorId").alias("vendor_id")), "vendor_id")
+    users = relations("fnd_user").select(F.col("user_id").alias("last_updated_by"))
+    terms = relations("ap_terms").select(F.col("term_id").alias("terms_id"), F.col("name").alias("creditTerms"))
+    named = vendors.join(users, "last_updated_by", "left_semi").join(terms, "terms_id", "left").select(
+        F.col("vendor_id").alias("vendorId"),
+        F.col("vendor_name").alias("supplierName"),
+        F.col("vendor_type_lookup_code").alias("supplierType"),
+        "creditTerms",
+    )
+    has_site = relations("ap_supplier_sites_all").select(F.col("vendor_id").alias("vendorId"))
+    contacts = (
+        relations("po_vendor_contacts")
+        .select(F.col("vendor_id").alias("vendorId"), "phone", F.col("email_address").alias("email"))
+        .groupBy("vendorId")
+        .agg(
+            F.min("phone").alias("phone"),
+            F.min_by("email", F.when(F.col("email").isNotNull(), F.struct("phone", "email"))).alias("email"),
+        )
+        .join(has_site, "vendorId", "left_semi")
+    )
+    firsts = [c for c in SUPPLIER_COLUMNS if c != "vendorId"]
+    return one_row_per_party(named.join(contacts, "vendorId", "left"), "vendorId", firsts, ["phone", "email"])
+
+
 def supplier_rows(extract: DataFrame) -> DataFrame:
     """The six canonical columns, exact repeats removed; a vendor may still repeat."""
     return extract.select(*SUPPLIER_COLUMNS).distinct()
