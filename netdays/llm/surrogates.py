@@ -348,16 +348,14 @@ def replaced(docs: DataFrame, settings: Settings = Settings(), counted: str | No
     column with the number of finds, untitled mentions of names not among them. Equal texts get equal replacements, whatever
     their ids, nulls and repeats. Column names may be anything but start with ``__pii``.
     """
-    marked = docs.withColumn("__pii_found", F.when(F.col("text").rlike(HINT), F.regexp_extract_all("text", F.lit(PATTERN), 0)))
+    # Whether there is a find costs one look at a text; finds are cut out only where there are any.
+    holding = F.coalesce(F.col("text").rlike(HINT) & F.col("text").rlike(PATTERN), F.lit(False))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    finds_of = F.coalesce(F.size("__pii_found"), F.lit(0))
-    number = [] if counted is None else [F.greatest(finds_of, F.lit(0)).alias(counted)]
-    holding = F.coalesce(F.size("__pii_found") > 0, F.lit(False))
+    number = lambda n: [] if counted is None else [n.alias(counted)]
     # Two hashes of the text are its name; rows without a find are never shuffled.
     named = [F.xxhash64("text").alias("__pii_one"), F.xxhash64(F.reverse("text")).alias("__pii_two")]
-    found = written(
-        marked.where(holding).select(*columns, "__pii_found", *named), "found"
-    )
+    finds = F.regexp_extract_all("text", F.lit(PATTERN), 0).alias("__pii_found")
+    found = written(docs.where(holding).select(*columns, finds, *named), "found")
     key = ["__pii_one", "__pii_two"]
     parts = (
         found.select(*key, F.posexplode("__pii_found").alias("__pii_at", "find")).distinct()
@@ -388,4 +386,6 @@ def replaced(docs: DataFrame, settings: Settings = Settings(), counted: str | No
     ).otherwise(between)
     rebuilt = F.array_join(F.zip_with(literal, F.concat("__pii_with", F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
     changed = found.join(rows, key).withColumn("text", rebuilt)
-    return marked.where(~holding).select(*columns, *number).unionByName(changed.select(*columns, *number))
+    return docs.where(~holding).select(*columns, *number(F.lit(0))).unionByName(
+        changed.select(*columns, *number(F.size("__pii_found")))
+    )
