@@ -31,7 +31,7 @@ from pyspark.sql.window import Window
 from netdays.llm.common import texts, written
 
 # Words of each of two generations that one worker remembers.
-WORDS = 250_000
+WORDS = 750_000
 # Longest word that is remembered.
 SHORT = 64
 # Letters that are lower case already, and the marks that often follow a word.
