@@ -16,7 +16,8 @@ RATIO = "decimal(4,2)"
 LINE_GROSS = "decimal(18,2)"
 CREDIT = "decimal(20,2)"
 OFFER = "decimal(20,4)"
-# With an amount of a line this just fits 38 digits, so no product is rounded early.
+# With an amount of a line this just fits 38 digits, so no product is rounded early. A rate of more
+# than 10 places is rounded half up to 10 when it is read; the ERP's own column has fewer.
 RATE = "decimal(19,10)"
 
 # Fixed value: the one currency that is converted to the base currency.

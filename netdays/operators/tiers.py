@@ -10,33 +10,28 @@ from pyspark.sql import functions as F
 from netdays.functions.money import literal
 from netdays.params import CustomerParams, SupplierParams
 
-# More tiers than this are looked up in a constant map, as the CASE would grow too long to compile.
-CASES = 64
 
-
-def _case(days: Column, values: Mapping[int, Column], default: Column) -> Column:
-    if len(values) > CASES:
-        entries = [x for term, value in sorted(values.items()) for x in (F.lit(term), value)]
-        return F.coalesce(F.try_element_at(F.create_map(*entries), days), default)
-    out = None
-    for term, value in sorted(values.items()):
-        out = F.when(days == term, value) if out is None else out.when(days == term, value)
-    return default if out is None else out.otherwise(default)
+def _looked_up(days: Column, values: Mapping[int, Column], default: Column) -> Column:
+    """A value per term out of a constant map, whatever the number of tiers: no join."""
+    if not values:
+        return default
+    entries = [x for term, value in sorted(values.items()) for x in (F.lit(term), value)]
+    return F.coalesce(F.try_element_at(F.create_map(*entries), days), default)
 
 
 def early_days(days: Column, params: CustomerParams | SupplierParams) -> Column:
-    """Days saved for a term, 0 without a tier. A CASE inside the stage: no join."""
+    """Days saved for a term, 0 without a tier."""
     if isinstance(params, SupplierParams):
         values = {k: F.lit(t.early_days) for k, t in params.tiers.items()}
     else:
         values = {k: F.lit(v) for k, v in params.tiers.items()}
-    return _case(days, values, F.lit(0))
+    return _looked_up(days, values, F.lit(0))
 
 
 def tier_percent(days: Column, params: SupplierParams) -> Column:
     """Supplier discount in percent, 0 without a tier."""
     values = {k: literal(t.percent).cast("decimal(7,4)") for k, t in params.tiers.items()}
-    return _case(days, values, F.lit(0).cast("decimal(7,4)"))
+    return _looked_up(days, values, F.lit(0).cast("decimal(7,4)"))
 
 
 def tier_table(spark: SparkSession, params: CustomerParams | SupplierParams) -> DataFrame:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 from decimal import Decimal as D
 
 from erp import relations
@@ -272,3 +273,31 @@ def test_staged_relations_are_fetched_once(spark):
     assert fetched.count("hz_parties") > 1
     text = rows._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in text
+
+
+def test_supplier_parties_are_the_master_of_the_extract(spark):
+    """Random vendors, sites and contacts, with nulls and repeats."""
+    chance = random.Random(9)
+    pick = lambda *values: chance.choice(values)
+    vendors = [
+        dict(vendor_id=v, vendor_name=f"V{v}", vendor_type_lookup_code=pick("VENDOR", "VENDOR", "EMPLOYEE", None), terms_id=pick(1, 2, None),
+             last_updated_by=pick(1, 1, 1, 9), party_id=v)
+        for v in range(60)
+    ]
+    erp = relations(
+        spark,
+        ap_suppliers=vendors,
+        fnd_user=[dict(user_id=1, user_name="u")],
+        ap_terms=[dict(term_id=1, name="30 Days Net"), dict(term_id=2, name=None)],
+        ap_supplier_sites_all=[dict(vendor_id=chance.randrange(60), vendor_site_id=n) for n in range(50)],
+        po_vendor_contacts=[
+            dict(vendor_id=chance.randrange(60), phone=pick(None, "1", "2", "3"), email_address=pick(None, "a", "b", "c"))
+            for _ in range(150)
+        ],
+    )
+    master = payables.supplier_master(payables.supplier_extract(erp))
+    found = payables.supplier_parties(erp)
+    rows = lambda frame: sorted((tuple(r) for r in frame.select(*payables.SUPPLIER_COLUMNS).collect()), key=repr)
+    assert rows(found) == rows(master) != []
+    wanted = spark.createDataFrame([(3,), (4,), (None,)], "vendorId bigint")
+    assert {r.vendorId for r in payables.supplier_parties(erp, wanted).collect()} <= {3, 4}

@@ -169,3 +169,20 @@ def test_only_heavy_keys_are_copied(small_skew):
     assert max(r["count"] for r in sizes.collect()) < 8_000
     copied = spread.select("k", "c").distinct().where("k is not null").count()
     assert copied == skewed.where("k is not null").select("k").distinct().count()
+
+
+def shuffles(frame):
+    return plan_text(frame).count("Exchange hashpartitioning")
+
+
+def test_customer_extract_looks_account_sites_up_once(plain_joins):
+    """All look-ups by account site share one shuffle and one aggregate."""
+    frame = registry.queries()["ar_customer_extract"](plain_joins, SF)
+    assert shuffles(frame) <= 60
+    assert shuffles(registry.queries()["ar_customer_master"](plain_joins, SF)) <= 30
+
+
+def test_supplier_master_multiplies_nothing(plain_joins):
+    frame = registry.queries()["ap_supplier_master"](plain_joins, SF)
+    text = plan_text(frame)
+    assert shuffles(frame) <= 8 and "LeftSemi" in text and text.count("SortMergeJoin") <= 4

@@ -181,3 +181,27 @@ def test_run_without_any_invoice(spark, tmp_path):
     assert (result.invoices, result.inserted, result.message) == (0, 0, "already inserted")
     payables = run_payables(ledger, payable_erp(spark, ap_invoices_v=[]), SAMPLE_SUPPLIER, AS_OF)
     assert (payables.invoices, payables.inserted, payables.new_parties) == (0, 0, 0)
+
+
+def test_number_that_is_none_is_a_reject_and_its_invoices_wait(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+    erp = receivable_erp(spark, [line("1")], ar_customers=[
+        dict(customer_id=70, customer_number="N7", customer_name="Seven", customer_class_code="A", status="A")
+    ])
+    result = run_receivables(ledger, erp, SAMPLE_CUSTOMER, AS_OF)
+    assert (result.inserted, result.new_parties, result.waiting) == (0, 0, 1)
+    reject = ledger.rejects("customers").head()
+    assert reject.rejectReason == "customerNumber not a number" and '"statedNumber":"N7"' in reject.row
+    # The number is put right: what waited is offered, by the run that loads its customer.
+    mended = receivable_erp(spark, [line("1"), line("2", day=dt.datetime(2024, 3, 11))])
+    again = run_receivables(ledger, mended, SAMPLE_CUSTOMER, AS_OF, dt.datetime(2024, 3, 31, 5))
+    assert (again.inserted, again.waiting) == (2, 0)
+    assert {r.createAt for r in ledger.read("customerOffers").collect()} == {dt.datetime(2024, 3, 31, 5)}
+
+
+def test_lines_of_offered_invoices_leave_before_the_sum(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+    run_receivables(ledger, receivable_erp(spark, [line("1"), line("2")]), SAMPLE_CUSTOMER, AS_OF)
+    again = run_receivables(ledger, receivable_erp(spark, [line("1"), line("2", n=5), line("3")]), SAMPLE_CUSTOMER, AS_OF)
+    assert (again.invoices, again.inserted, again.waiting) == (3, 1, 0)
+    assert ledger.read("customerOffers").count() == 3
