@@ -3,12 +3,16 @@
 Of all suffixes only those at minimiser positions are kept: in each window of
 starts, the one whose first words hash lowest. A passage of ``min_words`` words
 selects the same suffix wherever it stands, and that suffix shares its first
-``prefix`` words with its copies. So the kept suffixes are sorted by their
-prefix, and neighbours of different texts that agree are matches. Each match is
-then extended to the left and the right: the passages of ``min_words`` words that
-have a matched suffix as their own are compared in full, and neighbouring ones
-join into spans. Positions are exact; prefixes and passages are compared by 64-bit
-hashes of their words.
+``prefix`` words with its copies. Suffixes whose prefix no other text has are left
+behind. The others meet with the words around them, are sorted by their words, and
+neighbours' common lengths say how far each agrees to the right. Matches are then
+extended to the left: a passage is repeated where suffixes that agree to its right
+end have the same words from its left end on. Repeated passages that touch join
+into spans. Positions are exact; words are compared by 64-bit hashes.
+
+A prefix that more than ``CROWD`` texts have, or that a text has more than ``OFTEN``
+times, doesn't meet in one task: its passages are aggregated one by one, by a hash of
+all their words, which gives the same spans.
 
 Equal texts are one class, of which only the first is looked into; later copies
 repeat as a whole. A passage that recurs only within one text is no repeat.
@@ -24,10 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netdays.llm.common import CHUNK, texts, unit_starts, whole_units, written
+from netdays.llm.common import CHUNK, by_size, texts, unit_starts, whole_units, written
+
+# Texts with one prefix, and passages of a text that select it, which one task holds at most.
+CROWD = 4_000
+OFTEN = 128
 
-# Suffixes with one prefix in one task at most; others are spread, as any two of them match.
-CROWD = 2_000
+PLACED = "doc_id bigint, text_class bigint, at bigint, last bigint, start bigint, end bigint, first_doc_id bigint"
 
 
 @dataclass(frozen=True)
@@ -131,59 +138,168 @@ def _kept(prefixes: np.ndarray, window: int) -> np.ndarray:
 
 
 def _measured(docs: DataFrame, settings: Settings) -> DataFrame:
-    """Each row's text class, size and kept suffixes (their distinct prefixes)."""
+    """Each row's text class, size and kept suffixes: their distinct prefixes, and which are there often."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size, start, end, kept = [], [], [], []
+            size, start, end, kept, often = [], [], [], [], []
             for text in texts(batch):
                 words = Words.of(text)
                 size.append(len(words.hashes))
                 start.append(int(words.starts[0]) if size[-1] else 0)
                 end.append(int(words.ends[-1]) if size[-1] else 0)
-                found = np.zeros(0, np.uint64)
+                found, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
                 if size[-1] >= settings.min_words:
                     prefixes = words.runs(settings.prefix)
-                    found = np.unique(prefixes[_kept(prefixes, settings.window)])
+                    found, counts = np.unique(prefixes[_kept(prefixes, settings.window)], return_counts=True)
                 kept.append(found.view(np.int64))
+                often.append(counts > OFTEN)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), batch.column("text_class"), pa.array(size, pa.int64()),
                     pa.array(start, pa.int64()), pa.array(end, pa.int64()), pa.array(kept, pa.list_(pa.int64())),
+                    pa.array(often, pa.list_(pa.bool_())),
                 ],
-                ["doc_id", "text_class", "n_words", "start", "end", "prefixes"],
+                ["doc_id", "text_class", "n_words", "start", "end", "prefixes", "often"],
             )
 
-    schema = "doc_id bigint, text_class bigint, n_words bigint, start bigint, end bigint, prefixes array<bigint>"
+    schema = (
+        "doc_id bigint, text_class bigint, n_words bigint, start bigint, end bigint, "
+        "prefixes array<bigint>, often array<boolean>"
+    )
     return docs.select("doc_id", "text_class", "text").mapInArrow(run, schema)
 
 
-def _matched(suffixes: DataFrame) -> DataFrame:
-    """The suffixes ``(prefix, text_class, ...)`` whose prefix another text has too: equal neighbours."""
-    crowded = written(
-        suffixes.groupBy("prefix").count().where(F.col("count") > CROWD)
-        .select("prefix", F.ceil(F.col("count") / CROWD).cast("int").alias("spread")),
-        "crowded",
-    )
-    spread = suffixes.join(crowded, "prefix", "left").withColumn(
-        "salt", F.coalesce(F.pmod(F.xxhash64("text_class"), F.col("spread")), F.lit(0)).cast("int")
+def _pieces(docs: DataFrame, settings: Settings) -> DataFrame:
+    """What stands around matched suffixes, from texts with their ``prefixes`` and ``crowded`` ones.
+
+    Neighbouring passages that select the same prefix are one piece ``(prefix, at, start,
+    text)``: the text from the first one's first word to the last one's last. Those of
+    crowded prefixes are rows of their own, ``(passage, at, start, end)``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["prefix", "passage", "doc_id", "text_class", "at", "start", "end", "text"]
+        for batch in batches:
+            for row, text in enumerate(texts(batch)):
+                words = Words.of(text)
+                prefixes = words.runs(settings.prefix)
+                own = prefixes[_kept(prefixes, settings.window)].view(np.int64)
+                crowd = np.isin(own, batch.column("crowded")[row].values.to_numpy())
+                wanted = np.isin(own, batch.column("prefixes")[row].values.to_numpy())
+                new = np.flatnonzero(wanted & ~crowd & np.append(True, (own[1:] != own[:-1])))
+                edges = np.append(np.flatnonzero(own[1:] != own[:-1]) + 1, len(own))
+                last = edges[np.searchsorted(edges, new, "right")] - 1
+                single = np.flatnonzero(crowd)
+                passages = words.runs(settings.min_words).view(np.int64)[single]
+                ids = [batch.column(n)[row].as_py() for n in ("doc_id", "text_class")]
+
+                def rows(at, until, prefix, passage, piece) -> pa.RecordBatch:
+                    columns = (
+                        prefix, passage, *(np.full(len(at), i) for i in ids), at, words.starts[at],
+                        words.ends[until + settings.min_words - 1],
+                    )
+                    kinds = [pa.array(c, pa.int64()) for c in columns]
+                    return pa.RecordBatch.from_arrays([*kinds, pa.array(piece, pa.string())], names)
+
+                for part in range(0, len(new), 10_000):
+                    p, q = new[part:part + 10_000], last[part:part + 10_000]
+                    ends = words.ends[q + settings.min_words - 1]
+                    yield rows(p, q, own[p], [None] * len(p), [text[x:y] for x, y in zip(words.starts[p], ends)])
+                for part in range(0, len(single), 100_000):
+                    p = single[part:part + 100_000]
+                    none = [None] * len(p)
+                    yield rows(p, p, none, passages[part:part + 100_000], none)
+
+    schema = (
+        "prefix bigint, passage bigint, doc_id bigint, text_class bigint, at bigint, start bigint, end bigint, text string"
     )
-    keys = ("prefix", "salt")
-
-    def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_units(batches, keys, 50_000):
-            starts = unit_starts(table, keys)
-            unit = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, table.num_rows)))
-            text = table.column("text_class").to_numpy()
-            # Sorted by text within a prefix, two texts have it if the first and the last differ.
-            lasts = np.append(starts[1:], table.num_rows) - 1
-            several = (text[starts] != text[lasts])[unit]
-            yield from table.select(["prefix", "text_class", "doc_id"]).filter(pa.array(several)).to_batches()
+    return docs.select("doc_id", "text_class", "text", "prefixes", "crowded").mapInArrow(run, schema)
+
+
+def _words_of(pieces: list[str]) -> tuple[Words, np.ndarray]:
+    """All words of some pieces, with characters counted from each piece's start, and each piece's first word."""
+    parts, counts = [], []
+    for low, high in by_size(pieces, len):
+        if high - low == 1:
+            parts.append(Words.of(pieces[low]))
+            counts.append([len(parts[-1].hashes)])
+            continue
+        joined = Words._chunk("\n".join(pieces[low:high]), 0)
+        offsets = np.cumsum([0] + [len(p) + 1 for p in pieces[low:high - 1]])
+        piece = np.searchsorted(offsets, joined.starts, "right") - 1
+        parts.append(Words(joined.hashes, joined.starts - offsets[piece], joined.ends - offsets[piece]))
+        counts.append(np.bincount(piece, minlength=high - low))
+    words = Words(*(np.concatenate([getattr(p, f) for p in parts]) for f in ("hashes", "starts", "ends")))
+    return words, np.append(0, np.cumsum(np.concatenate(counts)))
+
+
+def common_lengths(suffixes: np.ndarray) -> np.ndarray:
+    """How many leading columns each of some sorted rows has in common with the row before it."""
+    same = suffixes[1:] == suffixes[:-1]
+    return np.append(0, np.where(same.all(axis=1), suffixes.shape[1], same.argmin(axis=1)))
+
+
+def _extended(pieces: DataFrame, settings: Settings) -> DataFrame:
+    """Runs of passages that several texts have, from pieces: a suffix array of each task's prefixes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "text_class", "at", "last", "start", "end", "first_doc_id"]
+        for table in whole_units(batches, ("prefix",), 20_000):
+            c = {n: table.column(n).to_numpy() for n in ("prefix", "doc_id", "text_class", "at", "start")}
+            words, offsets = _words_of(table.column("text").to_pylist())
+            hashes, place = words.hashes, np.arange(len(words.hashes))
+            row = np.repeat(np.arange(table.num_rows), np.diff(offsets))
+            stop = offsets[row + 1]
+            prefixes = _ranges(hashes, place, np.minimum(place + settings.prefix, stop)).view(np.int64)
+            anchors = np.flatnonzero((prefixes == c["prefix"][row]) & (place + settings.prefix <= stop))
+
+            # The suffixes in their order: by prefix, then word by word as far as a passage can reach.
+            more = anchors[:, None] + np.arange(settings.prefix, settings.min_words)
+            array = np.zeros((len(anchors), settings.window), np.uint64)
+            array[:, 0] = c["prefix"][row[anchors]].view(np.uint64)
+            array[:, 1:] = np.where(more < stop[anchors][:, None], hashes[np.minimum(more, len(hashes) - 1)], 0)
+            order = np.lexsort(array.T[::-1])
+            common = common_lengths(array[order])
+            # For each length to the right, suffixes in one run have that many words in common.
+            runs = np.empty((settings.window, len(anchors)), np.int64)
+            for length in range(settings.window):
+                runs[length, order] = np.cumsum(common < length + 1)
+
+            # Each passage stands around the first of its suffixes: common words to the right, then to the left.
+            passage = np.flatnonzero(place + settings.min_words <= stop)
+            anchor = np.searchsorted(anchors, passage)
+            left = anchors[anchor] - passage
+            agrees = runs[settings.window - 1 - left, anchor] * settings.window + left
+            before = _ranges(hashes, passage, anchors[anchor])
+            order = np.lexsort((before, agrees))
+            changed = (agrees[order][1:] != agrees[order][:-1]) | (before[order][1:] != before[order][:-1])
+            first = np.flatnonzero(np.append(True, changed))
+            text = c["text_class"][row[passage[order]]]
+            several = np.minimum.reduceat(text, first) != np.maximum.reduceat(text, first)
+            sizes = np.diff(np.append(first, len(order)))
+            shared, owner = np.empty(len(order), bool), np.empty(len(order), np.int64)
+            shared[order] = np.repeat(several, sizes)
+            owner[order] = np.repeat(np.minimum.reduceat(c["doc_id"][row[passage[order]]], first), sizes)
+
+            passage, owner = passage[shared], owner[shared]
+            if not len(passage):
+                continue
+            new = np.append(
+                True, (row[passage][1:] != row[passage][:-1]) | (passage[1:] != passage[:-1] + 1) | (owner[1:] != owner[:-1])
+            )
+            first = np.flatnonzero(new)
+            begin, final = passage[first], passage[np.append(first[1:], len(passage)) - 1]
+            r = row[begin]
+            columns = [
+                c["doc_id"][r], c["text_class"][r], c["at"][r] + begin - offsets[r], c["at"][r] + final - offsets[r],
+                c["start"][r] + words.starts[begin], c["start"][r] + words.ends[final + settings.min_words - 1], owner[first],
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names)
 
     return (
-        spread.repartition(*keys).sortWithinPartitions(*keys, "text_class")
-        .select(*keys, "text_class", "doc_id")
-        .mapInArrow(neighbours, "prefix bigint, text_class bigint, doc_id bigint")
+        pieces.select("prefix", "doc_id", "text_class", "at", "start", "text")
+        .repartition("prefix").sortWithinPartitions("prefix").mapInArrow(run, PLACED)
     )
 
 
@@ -194,8 +310,9 @@ def repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     another text too, from character ``start`` to ``end``. ``kept`` spans stand here
     first, by the smallest id; the others repeat one of document ``first_doc_id``.
     A document has no row if nothing in it repeats; texts that are null or shorter
-    have none. Rows with a null id come last in that order and keep a null id. Other
-    columns are not read.
+    have none, an empty table has no row. Texts of any length are read whole. Rows with a
+    null id come last in that order and keep a null id; rows that repeat with id and text
+    count as one text. Other columns are not read.
     """
     last = F.lit(2**63 - 1)
     named = docs.select(
@@ -208,50 +325,38 @@ def repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     )
     placed = long.join(firsts, "text_class")
     suffixes = written(
-        placed.where("doc_id = first_doc_id").select(F.explode("prefixes").alias("prefix"), "text_class", "doc_id"),
+        placed.where("doc_id = first_doc_id").select(
+            F.explode(F.arrays_zip("prefixes", "often")).alias("s"), "text_class", "doc_id"
+        ).select("s.*", "text_class", "doc_id").withColumnsRenamed({"prefixes": "prefix"}),
         "suffixes",
     )
-    candidates = written(
-        _matched(suffixes).groupBy("doc_id", "text_class").agg(F.collect_set("prefix").alias("prefixes")), "candidates"
+    matched = (
+        suffixes.groupBy("prefix").agg(
+            F.min("text_class").alias("low"), F.max("text_class").alias("high"),
+            (F.bool_or("often") | (F.count(F.lit(1)) > CROWD)).alias("crowd"),
+        ).where("low < high").select("prefix", "crowd")
     )
-
-    def extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["passage", "doc_id", "text_class", "at", "start", "end"]
-        for batch in batches:
-            for row, text in enumerate(texts(batch)):
-                words = Words.of(text)
-                prefixes = words.runs(settings.prefix)
-                own = prefixes[_kept(prefixes, settings.window)]
-                wanted = batch.column("prefixes")[row].values.to_numpy().view(np.uint64)
-                at = np.flatnonzero(np.isin(own, wanted))
-                passages = words.runs(settings.min_words)[at].view(np.int64)
-                for part in range(0, len(at), 100_000):
-                    p = at[part:part + 100_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(passages[part:part + 100_000]),
-                            pa.array(np.full(len(p), batch.column("doc_id")[row].as_py())),
-                            pa.array(np.full(len(p), batch.column("text_class")[row].as_py())),
-                            pa.array(p), pa.array(words.starts[p]), pa.array(words.ends[p + settings.min_words - 1]),
-                        ],
-                        names,
-                    )
-
-    schema = "passage bigint, doc_id bigint, text_class bigint, at bigint, start bigint, end bigint"
-    passages = written(
-        named.join(candidates, ["doc_id", "text_class"]).select("doc_id", "text_class", "text", "prefixes")
-        .mapInArrow(extended, schema),
-        "passages",
+    candidates = written(
+        suffixes.select("prefix", "text_class", "doc_id").join(matched, "prefix").groupBy("doc_id", "text_class").agg(
+            F.collect_set("prefix").alias("prefixes"),
+            F.collect_set(F.when(F.col("crowd"), F.col("prefix"))).alias("crowded"),
+        ),
+        "candidates",
     )
+    pieces = written(_pieces(named.join(candidates, ["doc_id", "text_class"]), settings), "pieces")
+    single = pieces.where("passage is not null")
     shared = written(
-        passages.groupBy("passage").agg(
+        single.groupBy("passage").agg(
             F.min("doc_id").alias("first_doc_id"), F.min("text_class").alias("low"), F.max("text_class").alias("high")
         ).where("low < high").select("passage", "first_doc_id"),
         "shared",
     )
+    crowded = single.join(shared, "passage").select(
+        "doc_id", "text_class", "at", F.col("at").alias("last"), "start", "end", "first_doc_id"
+    )
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Spans from a document's passages in their order; kept and other ones apart."""
+        """Spans from a document's runs of passages in their order; kept and other ones apart."""
         names = ["doc_id", "text_class", "start", "end", "n_words", "first_doc_id", "kept"]
         for table in whole_units(batches, ("doc_id", "text_class", "kept"), 20_000):
             c = {n: table.column(n).to_numpy(zero_copy_only=False) for n in table.column_names}
@@ -259,12 +364,12 @@ def repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
             same = (c["doc_id"][1:] == c["doc_id"][:-1]) & (c["text_class"][1:] == c["text_class"][:-1])
             same &= c["kept"][1:] == c["kept"][:-1]
             # Passages that overlap or touch are one span.
-            new[1:] = ~(same & (c["at"][1:] <= c["at"][:-1] + settings.min_words))
+            new[1:] = ~(same & (c["at"][1:] <= c["last"][:-1] + settings.min_words))
             first = np.flatnonzero(new)
             final = np.append(first[1:], table.num_rows) - 1
             columns = [
                 c["doc_id"][first], c["text_class"][first], c["start"][first], c["end"][final],
-                c["at"][final] - c["at"][first] + settings.min_words,
+                c["last"][final] - c["at"][first] + settings.min_words,
                 np.minimum.reduceat(c["first_doc_id"], first), c["kept"][first],
             ]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names)
@@ -272,9 +377,10 @@ def repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     schema = "doc_id bigint, text_class bigint, start bigint, end bigint, n_words bigint, first_doc_id bigint, kept boolean"
     order = ("doc_id", "text_class", "kept")
     inner = (
-        passages.join(shared, "passage").withColumn("kept", F.col("doc_id") == F.col("first_doc_id"))
+        _extended(pieces.where("passage is null"), settings).unionByName(crowded)
+        .withColumn("kept", F.col("doc_id") == F.col("first_doc_id"))
         .repartition("doc_id", "text_class").sortWithinPartitions(*order, "at")
-        .select(*order, "at", "start", "end", "first_doc_id").mapInArrow(joined, schema)
+        .select(*order, "at", "last", "start", "end", "first_doc_id").mapInArrow(joined, schema)
     )
     whole = placed.where("copies > 1").select(
         "doc_id", "text_class", "start", "end", "n_words", "first_doc_id", (F.col("doc_id") == F.col("first_doc_id")).alias("kept")

@@ -148,6 +148,26 @@ def test_repeats_are_those_of_all_passages(docs, small, settings):
         assert cut[d] == (None if text is None else left + text[at:])
 
 
+@pytest.mark.parametrize("crowd, often", [(4_000, 128), (0, 128), (4_000, 2), (20, 6)])
+def test_repeats_among_few_words(docs, monkeypatch, crowd, often):
+    """Passages that match in every alignment, in sorted tasks as in aggregates."""
+    monkeypatch.setattr(suffixes, "CROWD", crowd)
+    monkeypatch.setattr(suffixes, "OFTEN", often)
+    chance = random.Random(7)
+    texts = {i: " ".join(chance.choices("ab", k=chance.randrange(60))) for i in range(60)}
+    texts |= {60: "a " * 300, 61: "b " + "a " * 200, 62: "a b " * 90, 63: "c " + "b a " * 40, 64: "d " * 70}
+    settings = suffixes.Settings(8, 5)
+    found = collections.defaultdict(list)
+    for r in suffixes.repeats(docs(list(texts.items())), settings).where("not kept").collect():
+        found[r["doc_id"]].append((r["start"], r["end"]))
+    assert {d: sorted(s) for d, s in found.items()} == plain_repeats(texts, settings.min_words)
+
+
+def test_common_lengths_of_neighbours():
+    rows = np.array([[1, 2, 3], [1, 2, 3], [1, 2, 4], [1, 3, 4], [2, 3, 4]], np.uint64)
+    assert suffixes.common_lengths(rows).tolist() == [0, 3, 2, 1, 0]
+
+
 def test_repeats_with_nulls_and_repeated_rows(docs):
     passage = " ".join(f"v{i}" for i in range(55))
     rows = docs([(None, passage), (4, passage), (4, passage), (2, "z " + passage)])
