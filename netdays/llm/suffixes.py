@@ -34,6 +34,9 @@ from netdays.llm.common import CHUNK, by_size, texts, unit_starts, whole_units,
 CROWD = 4_000
 OFTEN = 128
 
+# Size of the bitmap that tells which texts to look into again: 8 MB, whatever the corpus.
+BITS = 1 << 26
+
 PLACED = "doc_id bigint, text_class bigint, at bigint, last bigint, start bigint, end bigint, first_doc_id bigint"
 
 
@@ -170,6 +173,22 @@ def _measured(docs: DataFrame, settings: Settings) -> DataFrame:
     return docs.select("doc_id", "text_class", "text").mapInArrow(run, schema)
 
 
+def _likely(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` without most of those whose keys ``wanted`` lacks, so that fewer go into a join.
+
+    Keys are looked up in a bitmap of ``BITS`` bits; where it is crowded more rows stay, but none is lost.
+    """
+
+    def marked(frame: DataFrame) -> DataFrame:
+        bit = F.pmod(F.xxhash64(*keys), F.lit(BITS))
+        return frame.withColumns({"bucket": F.bitmap_bucket_number(bit), "bit": F.bitmap_bit_position(bit)})
+
+    bitmaps = marked(wanted.select(*keys)).groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    octet = F.conv(F.hex(F.expr("substring(bits, int(bit div 8) + 1, 1)")), 16, 10).cast("int")
+    is_set = F.expr("1 << int(bit % 8)").bitwiseAND(octet) > 0
+    return marked(rows).join(F.broadcast(bitmaps), "bucket").where(is_set).select(*rows.columns)
+
+
 def _pieces(docs: DataFrame, settings: Settings) -> DataFrame:
     """What stands around matched suffixes, from texts with their ``prefixes`` and ``crowded`` ones.
 
@@ -343,7 +362,8 @@ def repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         ),
         "candidates",
     )
-    pieces = written(_pieces(named.join(candidates, ["doc_id", "text_class"]), settings), "pieces")
+    key = ["doc_id", "text_class"]
+    pieces = written(_pieces(_likely(named, candidates, key).join(candidates, key), settings), "pieces")
     single = pieces.where("passage is not null")
     shared = written(
         single.groupBy("passage").agg(

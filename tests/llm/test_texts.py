@@ -163,6 +163,16 @@ def test_repeats_among_few_words(docs, monkeypatch, crowd, often):
     assert {d: sorted(s) for d, s in found.items()} == plain_repeats(texts, settings.min_words)
 
 
+def test_likely_rows_lose_none(llm, monkeypatch):
+    rows = llm.range(3_000).selectExpr("id a", "id % 7 b", "'x' text")
+    wanted = rows.where("a % 50 = 3").select("b", "a")
+    for bits, most in ((1 << 26, 62), (1 << 20, 80), (8, 3_000)):
+        monkeypatch.setattr(suffixes, "BITS", bits)
+        found = {r["a"] for r in suffixes._likely(rows, wanted, ["a", "b"]).collect()}
+        assert found >= set(range(3, 3_000, 50)) and len(found) <= most
+    assert suffixes._likely(rows, wanted.limit(0), ["a", "b"]).collect() == []
+
+
 def test_common_lengths_of_neighbours():
     rows = np.array([[1, 2, 3], [1, 2, 3], [1, 2, 4], [1, 3, 4], [2, 3, 4]], np.uint64)
     assert suffixes.common_lengths(rows).tolist() == [0, 3, 2, 1, 0]
