@@ -159,6 +159,28 @@ def test_seats():
     assert tables.mean() == pytest.approx(np.mean(slow), abs=0.08)
 
 
+def test_every_customer_draws_a_seat(monkeypatch):
+    """Tables of dishes with many customers spread as they do when seated one after the other."""
+    chance = np.random.default_rng(6)
+    size, customers, discount = 1_500, 2_000, 0.6
+    key = chance.integers(0, 2**63, size).astype(np.uint64)
+    weight, per_table = np.full(size, 2.0), np.full(size, 0.02)
+    tables = pitman_yor.seated(np.full(size, customers), weight, discount, key)
+    plain, grown = np.ones(size), np.ones(size)
+    for i in range(1, customers):
+        plain += chance.random(size) < 2.0 / (2.0 + i - discount * plain)
+        w = weight + per_table * grown
+        draw = pitman_yor._uniform(key, i)
+        grown += draw * (w + i - discount * grown) < w
+    assert tables.mean() == pytest.approx(plain.mean(), abs=0.5)
+    assert tables.std() == pytest.approx(plain.std(), rel=0.1)
+    # The same draws give the same tables, in runs of any size.
+    for run in (1 << 18, 100):
+        monkeypatch.setattr(pitman_yor, "CUSTOMERS", run)
+        mixed = pitman_yor.seated(np.full(size, customers), weight, discount, key, per_table)
+        assert (mixed == grown).all()
+
+
 def test_empty_tables_of_models(llm, docs):
     assert langid.predict(docs([]), langid.fit(docs([]))).collect() == []
     assert quality.scored(docs([]), None).collect() == []
