@@ -170,11 +170,32 @@ def ap_ledger_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.read("suppliers").select("vendorId", "name", "supplierType", "creditTerms", "phone", "email")
 
 
-def _feed(rows: list[DataFrame], path: str) -> str:
-    """Files of a feed in their order, one each."""
-    for some in rows:
-        some.coalesce(1).write.mode("append").parquet(path)
-    return path
+# A batch of a feed lies in a file per so many rows, up to so many files.
+FEED_ROWS = 250_000
+FEED_FILES = 16
+
+
+def _feed(batches: list[tuple[DataFrame, int]], path: str) -> int:
+    """Write the batches of a feed in their order, each given with its row count; how many files each has.
+
+    All have as many files as the batches of more than :data:`FEED_FILES` rows can fill, so that a
+    stream that takes that number of files takes a batch. A batch of fewer rows gets one file with
+    all of them, and empty files.
+    """
+    many = [n for _, n in batches if n > FEED_FILES]
+    files = min(FEED_FILES, max(1, max(many, default=0) // FEED_ROWS))
+    for rows, n in batches:
+        # Dealt out one after the other from each task, so every file has rows where each task has enough.
+        full = n >= files * FEED_FILES
+        (rows.repartition(files) if full and files > 1 else rows.coalesce(1)).write.mode("append").parquet(path)
+        for _ in range(0 if full else files - 1):
+            rows.limit(0).coalesce(1).write.mode("append").parquet(path)
+    return files
+
+
+def _spread(parties: DataFrame) -> DataFrame:
+    """Parties that every batch of a stream joins, written once and in a file for each core."""
+    return written(parties.repartition(parties.sparkSession.sparkContext.defaultParallelism), "parties")
 
 
 @query(f"""
@@ -189,18 +210,21 @@ def late_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
     offered = standins.offered_headers(spark, sf_dir)
     since = watermark(offered, standins.AS_OF)
     orders = standins.table(spark, sf_dir, "orders").where(F.col("o_orderdate") >= F.lit(since))
-    feed = _feed([orders.where(f"o_orderkey % 2 = {k}") for k in (0, 1)], new_scratch_path(spark, "feed"))
+    halves = [orders.where(f"o_orderkey % 2 = {k}") for k in (0, 1)]
+    feed = new_scratch_path(spark, "feed")
+    files = _feed([(half, half.count()) for half in halves], feed)
     asked: list[int] = []
 
     def customers() -> DataFrame:
         asked.append(1)
-        return standins.customers(spark, sf_dir, F.col("c_mktsegment") != "BUILDING" if len(asked) == 1 else None)
+        known = F.col("c_mktsegment") != "BUILDING" if len(asked) == 1 else None
+        return _spread(standins.customers(spark, sf_dir, known))
 
     def to_invoices(batch: DataFrame) -> DataFrame:
         lines = only_keys(standins.invoice_lines(spark, sf_dir), batch.select("invoiceNumber"), "invoiceNumber")
         return standins.with_customer_key(consolidate_to_headers(batch, lines), spark, sf_dir)
 
-    stream = file_stream(spark, feed, orders.schema, files_per_batch=1)
+    stream = file_stream(spark, feed, orders.schema, files_per_batch=files)
     customer_offer_stream(
         standins.as_headers(stream), to_invoices, customers, ledger, SAMPLE_CUSTOMER,
         new_scratch_path(spark, "stream-state"), offered_elsewhere=offered,
@@ -210,7 +234,7 @@ def late_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
     extract = standins.payable_invoices(spark, sf_dir, watermark(payables, standins.AS_OF), standins.AS_OF)
     invoices = canonical_invoices(extract, with_gl_date=True)
     new = written(not_yet_offered(invoices, payables, "invoiceUniqueKey"), "new-payables")
-    suppliers = standins.suppliers(spark, sf_dir)
+    suppliers = _spread(standins.suppliers(spark, sf_dir))
     settle_payables(ledger, new, suppliers.where("vendorId % 2 = 0"), SAMPLE_SUPPLIER)
     settle_payables(ledger, new.limit(0), suppliers, SAMPLE_SUPPLIER)
 
@@ -228,10 +252,11 @@ def late_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, sides)
 
 
-def _line_feed(spark: SparkSession, sf_dir: str) -> tuple[str, StructType]:
-    """The lines of new invoices in four files by date; odd and even lines part at different days,
-    so that invoices of the days between are split over two files. Two lines without a number then
-    move the time on, and lines of the first week come once more, too late."""
+def _line_feed(spark: SparkSession, sf_dir: str) -> tuple[str, StructType, int]:
+    """The lines of new invoices in four batches by date; odd and even lines part at different days,
+    so that invoices of the days between are split over two batches. Two lines without a number then
+    move the time on, and lines of the first week come once more, too late. With the number
+    of files that a batch has."""
     offered = standins.offered_headers(spark, sf_dir)
     headers = standins.invoice_headers(spark, sf_dir, watermark(offered, standins.AS_OF))
     keyed = standins.with_customer_key(not_yet_offered(headers, offered, "invoiceNumber"), spark, sf_dir)
@@ -245,23 +270,26 @@ def _line_feed(spark: SparkSession, sf_dir: str) -> tuple[str, StructType]:
     first, last = lines.agg(F.min("invoiceDate"), F.max("invoiceDate")).first()
     quarter = (last - first).days // 4 + 1
     shifted = F.datediff("invoiceDate", F.lit(first)) - F.when((F.col("lineId") / 10**18).cast("int") % 2 == 0, 1).otherwise(0)
-    files = [lines.where(F.floor(F.greatest(shifted, F.lit(0)) / quarter) == k) for k in range(4)]
+    batch = F.floor(F.greatest(shifted, F.lit(0)) / quarter)
+    early = F.col("invoiceDate") < F.lit(first + dt.timedelta(days=7))
+    *sizes, late_lines = lines.agg(*[F.count_if(batch == k) for k in range(4)], F.count_if(early)).first()
+    batches = [(lines.where(batch == k), sizes[k]) for k in range(4)]
 
     def silent(days: int) -> DataFrame:
         time = dt.datetime.combine(last, dt.time()) + dt.timedelta(days=days)
         row = (None, None, None, time, None, None, None)
         return spark.createDataFrame([row], lines.schema)
 
-    late = lines.where(F.col("invoiceDate") < F.lit(first + dt.timedelta(days=7)))
-    feed = _feed([*files, silent(10), silent(11), late], new_scratch_path(spark, "feed"))
-    return feed, lines.schema
+    feed = new_scratch_path(spark, "feed")
+    files = _feed([*batches, (silent(10), 1), (silent(11), 1), (lines.where(early), late_lines)], feed)
+    return feed, lines.schema, files
 
 
 def _streamed_lines(spark: SparkSession, sf_dir: str) -> Ledger:
-    feed, schema = _line_feed(spark, sf_dir)
+    feed, schema, files = _line_feed(spark, sf_dir)
     ledger = _new_ledger(spark)
     line_offer_stream(
-        file_stream(spark, feed, schema, files_per_batch=1), standins.customers(spark, sf_dir), ledger,
+        file_stream(spark, feed, schema, files_per_batch=files), _spread(standins.customers(spark, sf_dir)), ledger,
         SAMPLE_CUSTOMER, new_scratch_path(spark, "stream-state"),
     ).awaitTermination()
     return ledger

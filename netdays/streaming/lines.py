@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -128,8 +128,8 @@ def line_offer_stream(
     invoices = completed_invoices(lines, time, delay, span).withColumn("kind", F.lit("invoice"))
     both = invoices.unionByName(lines.select(*line).withColumn("kind", F.lit("line")), allowMissingColumns=True)
 
-    def keep_late(came: DataFrame, number: int) -> None:
-        late = late_lines(came, time, times.until(number - 2), delay, span).where(F.col("invoiceNumber").isNotNull())
+    def keep_late(came: DataFrame, known) -> None:
+        late = late_lines(came, time, known, delay, span).where(F.col("invoiceNumber").isNotNull())
         if late.isEmpty():
             return
         rows = late.groupBy("invoiceNumber", "lineId").agg(
@@ -153,14 +153,18 @@ def line_offer_stream(
         settle_receivables(ledger, new, _now(customers), params)
 
     def append(batch: DataFrame, number: int) -> None:
-        both = written(batch, "batch")
-        came = both.where("kind = 'line'").select(*line)
-        keep_late(came, number)
+        # Of the lines, only those that may be late are written, and the newest time of all is observed.
+        known, newest = times.until(number - 2), Observation()
+        is_line = F.col("kind") == "line"
+        needed = ~is_line if known is None else ~is_line | (F.col(time) < F.lit(known) - F.expr(f"INTERVAL {delay}"))
+        seen = batch.observe(newest, F.max(F.when(is_line, F.col(time))).alias("newest"))
+        both = written(seen.where(needed), "batch")
+        keep_late(both.where(is_line).select(*line), known)
         pieces = both.where("kind = 'invoice' and invoiceNumber is not null")
         completed = written(_in_one_piece(pieces), "completed")
         # Most batches complete nothing.
         if Waiting(ledger, "customerOffers") or not completed.isEmpty():
             offer(completed)
-        times.keep(number, came.agg(F.max(time)).head()[0])
+        times.keep(number, newest.get["newest"])
 
     return _start(both, append, checkpoint, every)

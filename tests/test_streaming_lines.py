@@ -7,6 +7,7 @@ import itertools
 import random
 from decimal import Decimal as D
 
+from netdays.catalog import ledgers
 from netdays.params import SAMPLE_CUSTOMER
 from netdays.sources.ledger import Ledger
 from netdays.streaming.lines import line_offer_stream
@@ -97,3 +98,20 @@ def test_no_line_is_lost_whatever_the_order(spark, tmp_path):
         if str(r[1]) not in late:
             wanted[r[0]] = wanted.get(r[0], 0) + r[2]
     assert credits(ledger) == wanted
+
+
+def test_feed_batches_of_several_files_stay_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ledgers, "FEED_ROWS", 300)
+    rows = spark.range(3_000)
+    sizes = [2_000, 1, 1, 1_000]
+    feed = str(tmp_path / "feed")
+    files = ledgers._feed([(rows.where(f"id < {n}"), n) for n in sizes], feed)
+    assert files == 6
+    found = {}
+    stream = file_stream(spark, feed, rows.schema, files_per_batch=files)
+    stream.writeStream.foreachBatch(lambda batch, number: found.update({number: batch.count()})).option(
+        "checkpointLocation", str(tmp_path / "checkpoint")
+    ).trigger(availableNow=True).start().awaitTermination()
+    assert [found[k] for k in sorted(found)] == sizes
+    big = [f for f in (tmp_path / "feed").glob("*.parquet") if spark.read.parquet(str(f)).count() > 1]
+    assert len(big) == 12
