@@ -60,11 +60,18 @@ def pack_keys(ledger: Ledger, table: str, entries: Sequence[Entry]) -> Entry:
 
 
 def few_keys(rows: DataFrame, key: str) -> list[str] | None:
-    """The distinct keys of a small load; none of a large one, or where keys are not text."""
+    """The distinct keys of a small load; none of a large one, or where keys are not text.
+
+    The first rows tell most loads apart: where so many differ, no key of the others is shuffled.
+    """
     if not isinstance(rows.schema[key].dataType, StringType):
         return None
-    found = rows.select(key).where(F.col(key).isNotNull()).distinct().limit(LITERALS + 1).collect()
-    return [row[0] for row in found] if len(found) <= LITERALS else None
+    keys = rows.select(key).where(F.col(key).isNotNull())
+    first = keys.limit(2 * LITERALS).collect()
+    found = {row[0] for row in first}
+    if len(found) <= LITERALS and len(first) == 2 * LITERALS:
+        found = {row[0] for row in keys.distinct().limit(LITERALS + 1).collect()}
+    return sorted(found) if len(found) <= LITERALS else None
 
 
 def rows_held(index: DataFrame, rows: DataFrame, key: str) -> DataFrame:

@@ -95,9 +95,14 @@ class Waiting:
         before = self.ledger.version
         live = self.ledger.log.entries(before)
         mine = [e for e in live if e.table == self.name]
-        batches = {row[0] for row in done.select("batch").distinct().collect()}
-        touched = mine if len(mine) > BATCHES else [e for e in mine if e.batch in batches]
-        if not batches:
+        taken = {row[0]: row[1] for row in done.groupBy("batch").agg(F.count(self.key)).collect()}
+        if not taken:
             return
-        left = self._rows(touched).join(done.select(self.key, "batch"), [self.key, "batch"], "left_anti")
-        self.ledger.log.publish((*[e for e in live if e not in touched], *self._batch(left)), before)
+        touched = mine if len(mine) > BATCHES else [e for e in mine if e.batch in taken]
+        # A batch of which all rows are taken leaves nothing to be read.
+        rest = [e for e in touched if taken.get(e.batch) != e.rows]
+        left: list[Entry] = []
+        if rest:
+            rows = self._rows(rest).join(done.select(self.key, "batch"), [self.key, "batch"], "left_anti")
+            left = self._batch(rows)
+        self.ledger.log.publish((*[e for e in live if e not in touched], *left), before)

@@ -224,3 +224,27 @@ def test_settling_loses_nothing_when_it_dies_before_the_acknowledgement(spark, l
     assert run(invoices(("5", "b")), "a", "b", "c") == (2, 0, 0)
     assert numbers(ledger.read("customerOffers")) == [1, 2, 4, 5]
     assert Waiting(ledger, "customerOffers").rows().count() == 0
+
+
+def test_a_batch_of_which_all_rows_are_taken_is_not_read(spark, ledger, monkeypatch):
+    queue = Waiting(ledger, "customerOffers")
+    schema = "invoiceNumber string, customerKey string"
+    queue.put(spark.createDataFrame([("1", "a"), ("2", "b"), ("2", "b"), ("3", "a")], schema))
+    queue.put(spark.createDataFrame([("4", "c"), (None, "c")], schema))
+    parties = spark.createDataFrame([("a",), ("b",)], "customerKey string")
+    ready = queue.ready(parties)
+    assert ready.count() == 4
+    read = queue._rows
+    monkeypatch.setattr(queue, "_rows", lambda entries: 1 / 0)
+    queue.acknowledge(ready)
+    monkeypatch.setattr(queue, "_rows", read)
+    assert {r["invoiceNumber"] for r in queue.rows().collect()} == {"4", None}
+    queue.acknowledge(queue.ready(spark.createDataFrame([("c",)], "customerKey string")))
+    assert [r["invoiceNumber"] for r in queue.rows().collect()] == [None]  # as before, not taken without a key
+
+
+def test_few_keys_of_many_rows(spark, monkeypatch):
+    monkeypatch.setattr(key_index, "LITERALS", 5)
+    rows = spark.range(1_000).select((F.col("id") % 4).cast("string").alias("k"))
+    assert key_index.few_keys(rows, "k") == ["0", "1", "2", "3"]
+    assert key_index.few_keys(spark.range(6).selectExpr("cast(id AS string) k"), "k") is None
