@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netdays.llm.common import CHUNK, texts, written
+from netdays.llm.common import CHUNK, lean, texts, written
 
 UNKNOWN = "und"
 
@@ -95,7 +96,7 @@ def document_frequencies(rows: DataFrame, settings: Settings) -> DataFrame:
             [pa.array(np.append(bucket, -1)), pa.array(np.append(seen[bucket], total))], ["bucket", "documents"]
         )
 
-    counted = rows.select("text").mapInArrow(run, "bucket bigint, documents bigint")
+    counted = rows.select("text").mapInArrow(lean(run), "bucket bigint, documents bigint")
     return counted.groupBy("bucket").agg(F.sum("documents").alias("documents"))
 
 
@@ -137,6 +138,19 @@ def fit_weights(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, se
     return leader(np.arange(size))
 
 
+def _row(packed: tuple[bytes, bytes, int]) -> tuple[np.ndarray, np.ndarray, int]:
+    """A row's buckets and values as they lie in its bytes, nothing copied, and its label."""
+    at, values, label = packed
+    return np.frombuffer(at, "<u4"), np.frombuffer(values, "<f4"), label
+
+
+def _ordered(rows: list[tuple[bytes, bytes, int]]) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """The rows in one order however they arrive: by buckets, and where those are equal by values and label."""
+    rows.sort(key=lambda r: r[0])
+    same = (sorted(run, key=lambda r: (_row(r)[1].astype(float).tobytes(), r[2])) for _, run in groupby(rows, key=lambda r: r[0]))
+    return [_row(r) for run in same for r in run]
+
+
 def fit_temperature(scores: np.ndarray, labels: np.ndarray) -> float:
     """The temperature with the least log loss, by golden section over its logarithm."""
     if not len(scores):
@@ -227,19 +241,17 @@ def fit(training: DataFrame, settings: Settings = Settings()) -> Model:
         train, held = [], []
         for batch in batches:
             for r in batch.to_pylist():
-                row = np.frombuffer(r["at"], "<u4").astype(np.int64), np.frombuffer(r["values"], "<f4").astype(float), r["label"]
-                (held if r["held"] else train).append(row)
-        train.sort(key=lambda r: (r[0].tobytes(), r[1].tobytes(), r[2]))  # however the rows arrive
-        weights = fit_weights(train, len(languages), settings)
-        scores = np.array([v @ weights[a] + weights[-1] for a, v, _ in held]).reshape(len(held), len(languages))
+                (held if r["held"] else train).append((r["at"], r["values"], r["label"]))
+        weights = fit_weights(_ordered(train), len(languages), settings)
+        scores = np.array([v.astype(float) @ weights[a] + weights[-1] for a, v, _ in map(_row, held)]).reshape(len(held), len(languages))
         temperature = fit_temperature(scores, np.array([y for _, _, y in held], int))
         yield pa.RecordBatch.from_arrays(
             [pa.array([weights.astype("<f8").tobytes()], pa.binary()), pa.array([temperature])],
             ["weights", "temperature"],
         )
 
-    features = written(sample.mapInArrow(featured, "at binary, values binary, label int, held boolean"), "language-sample")
-    fitted = features.repartition(1).mapInArrow(trained, "weights binary, temperature double").first()
+    features = written(sample.mapInArrow(lean(featured), "at binary, values binary, label int, held boolean"), "language-sample")
+    fitted = features.repartition(1).mapInArrow(lean(trained), "weights binary, temperature double").first()
     weights = np.frombuffer(fitted["weights"], "<f8").reshape(buckets + 1, len(languages))
     return Model(languages, idf, weights, fitted["temperature"], settings)
 
@@ -261,7 +273,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             )
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {dict(docs.dtypes)['doc_id']}, lang_pred string, score double"
+        lean(run), f"doc_id {dict(docs.dtypes)['doc_id']}, lang_pred string, score double"
     )
 
 
@@ -272,7 +284,7 @@ def lettered(docs: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array([any(map(str.isalpha, t)) for t in texts(batch)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def identified(docs: DataFrame, model: Model, lang_column: str, score_column: str) -> DataFrame:
@@ -292,4 +304,4 @@ def identified(docs: DataFrame, model: Model, lang_column: str, score_column: st
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names)
 
     fields = [*docs.schema.fields, T.StructField(lang_column, T.StringType()), T.StructField(score_column, T.DoubleType())]
-    return docs.mapInArrow(run, T.StructType(fields))
+    return docs.mapInArrow(lean(run), T.StructType(fields))

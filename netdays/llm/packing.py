@@ -19,7 +19,6 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from netdays.llm.common import texts, written
+from netdays.llm.common import lean, remembered, texts, written
 
 # Words of each of two generations that one worker remembers.
 WORDS = 750_000
 # Longest word that is remembered.
 SHORT = 64
+# New words that the tokenizer takes at once: what it returns for each is far larger than its ids.
+ABREAST = 10_000
 # Letters that are lower case already, and the marks that often follow a word.
 plain_word = re.compile("([a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff]+)([.,;:!?%&*$#|]*)").fullmatch
 
@@ -102,7 +103,9 @@ class WordTokenizer:
         self.words.update(kept)
         missing = list(wanted - self.words.keys())
         long = {w for w in missing if len(w) > SHORT}
-        self.words.update(zip(missing, self._new(missing)))
+        for at in range(0, len(missing), ABREAST):
+            part = missing[at:at + ABREAST]
+            self.words.update(zip(part, self._new(part)))
         out = [
             b"".join(map(self.words.__getitem__, words)) if words is not None else self._encode([text])[0]
             for words, text in zip(split, batch)
@@ -112,9 +115,8 @@ class WordTokenizer:
         return out
 
 
-@lru_cache(maxsize=2)
 def tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
+    return remembered(("packing", path), lambda: WordTokenizer(path))
 
 
 def tokenized(docs: DataFrame, path: str, capacity: int, end: int, digest: bool = False) -> DataFrame:
@@ -154,7 +156,7 @@ def tokenized(docs: DataFrame, path: str, capacity: int, end: int, digest: bool
 
     kind = dict(docs.dtypes)["doc_id"]
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, piece int, start bigint, length bigint, {held} {'bigint' if digest else 'binary'}, part int, nth bigint"
+        lean(run, ("packing", path)), f"doc_id {kind}, piece int, start bigint, length bigint, {held} {'bigint' if digest else 'binary'}, part int, nth bigint"
     )
 
 

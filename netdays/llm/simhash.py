@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netdays.llm.common import local_components, texts, written
+from netdays.llm.common import lean, local_components, texts, written
 from netdays.llm.components import components
 
 BITS = 64
@@ -75,7 +75,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, names: tuple[str, ...] = ("d
             )
 
     kinds = dict(docs.dtypes)
-    return docs.select(*names, "text").mapInArrow(run, ", ".join(f"{n} {kinds[n]}" for n in names) + ", simhash bigint")
+    return docs.select(*names, "text").mapInArrow(lean(run), ", ".join(f"{n} {kinds[n]}" for n in names) + ", simhash bigint")
 
 
 def _bit_count(values: np.ndarray) -> np.ndarray:
@@ -267,7 +267,7 @@ def trie_links(marks: DataFrame, budget: int = 3, node_limit: int = NODE_LIMIT)
 
     return (
         units.repartition(*keys).sortWithinPartitions(*keys, "side", "mark")
-        .mapInArrow(run, "a bigint, b bigint")
+        .mapInArrow(lean(run), "a bigint, b bigint")
     )
 
 

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import weakref
 import zlib
 
 import numpy as np
@@ -12,7 +13,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from netdays.llm import packing, piece_bpe, suffixes, surrogates
+from netdays.llm import langid, packing, piece_bpe, simhash, suffixes, surrogates
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -307,3 +308,34 @@ def test_crc_of_packed_ids():
     words = packing.WordTokenizer(WORDS)
     ids = Tokenizer.from_file(WORDS).encode("the cat", add_special_tokens=False).ids
     assert zlib.crc32(words.encode(["the cat"])[0]) == zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_tasks_let_go_of_what_other_operators_remember(docs, monkeypatch):
+    """A worker runs the tasks of all operators, one after the other; the words it knows from packing are large."""
+    rows, found = docs([(1, "the cat", "en")]), []
+    monkeypatch.setattr(type(rows), "mapInArrow", lambda self, run, schema: found.append(run) or self)
+    langid.lettered(rows)
+    langid.predict(rows, langid.Model([], np.zeros(0), np.zeros((1, 0)), 1.0, langid.Settings()))
+    simhash.fingerprints(rows)
+    suffixes._measured(rows.withColumn("text_class", rows.doc_id), suffixes.Settings())
+    assert len(found) == 4
+    for run in found:
+        words = packing.tokenizer(WORDS)
+        assert words.encode(["the cat"]) and packing.tokenizer(WORDS) is words
+        words = weakref.ref(words)
+        list(run(iter([])))
+        assert words() is None
+
+
+def test_training_rows_are_in_one_order_and_stay_in_their_bytes():
+    chance = np.random.default_rng(3)
+    rows = []
+    for _ in range(300):
+        at = np.unique(chance.integers(0, 3, chance.integers(1, 4)))
+        rows.append((at.astype("<u4").tobytes(), chance.integers(1, 4, len(at)).astype("<f4").tobytes(), int(chance.integers(2))))
+    wide = [(np.frombuffer(a, "<u4").astype(np.int64), np.frombuffer(v, "<f4").astype(float), y) for a, v, y in rows]
+    wide.sort(key=lambda r: (r[0].tobytes(), r[1].tobytes(), r[2]))
+    narrow = langid._ordered(list(rows))
+    assert [(a.tolist(), v.tolist(), y) for a, v, y in narrow] == [(a.tolist(), v.tolist(), y) for a, v, y in wide]
+    assert not any(a.flags.owndata or v.flags.owndata for a, v, _ in narrow)
+    assert np.array_equal(langid.fit_weights(narrow, 2, langid.Settings()), langid.fit_weights(wide, 2, langid.Settings()))
