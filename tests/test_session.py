@@ -56,3 +56,26 @@ def test_written_rows_have_a_known_size(spark):
     assert rows.count() == 1000
     size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     assert size < 100_000
+
+
+def test_only_small_tables_are_broadcast(spark):
+    """Files of two million bytes, whose keys take many times as much when they are hashed."""
+    session.configure(spark)
+    nothing = [f"cast(null AS string) AS empty{n}" for n in range(6)]
+    many = session.written(spark.range(400_000).selectExpr("id", *nothing), "many")
+    few = session.written(spark.range(25).selectExpr("id", "id * 2 AS twice"), "few")
+    rows = session.written(spark.range(3_000_000).selectExpr("id", "id * 3 AS amount"), "amounts")
+    plan = lambda df: df._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan(rows.join(many, "id"))
+    assert "BroadcastHashJoin" in plan(rows.join(few, "id"))
+
+
+@pytest.mark.parametrize(("given", "kept"), [("-1", "-1"), ("64k", "64k"), ("10m", str(256 << 10))])
+def test_smaller_broadcasts_stay_as_they_are_set(spark, given, kept):
+    before = spark.conf.get(session.BROADCAST)
+    try:
+        spark.conf.set(session.BROADCAST, given)
+        session.configure(spark)
+        assert spark.conf.get(session.BROADCAST) == kept
+    finally:
+        spark.conf.set(session.BROADCAST, before)
